@@ -46,3 +46,14 @@ def view_minutes(start="VIEW_FROM", end="VIEW_TO") -> Column:
 def last_touched_minute(end="VIEW_TO") -> Column:
     """Minute bucket of the last instant before an exclusive end."""
     return minute_floor(add_micros(end, -1))
+
+
+def minutes_sum(c="VIEW_MINUTES") -> Column:
+    """Exact, order-independent sum of a minutes column.
+
+    Minute values are microsecond counts / 6e7, so each converts back to its
+    integer microseconds exactly; summing BIGINTs and dividing once gives the
+    same double on every engine and every partitioning (a DOUBLE sum does not).
+    """
+    micros = F.round(_col(c) * F.lit(float(MICROS_PER_MINUTE))).cast("bigint")
+    return F.sum(micros).cast("double") / F.lit(float(MICROS_PER_MINUTE))

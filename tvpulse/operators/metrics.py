@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tvpulse.functions.time import minutes_sum
 from tvpulse.schemas import GENRES, NETWORKS
 
 KPI_GROUPS = {
@@ -20,7 +21,7 @@ def kpi_columns() -> list[Column]:
     """Reach (distinct devices, not additive), minutes and sessions."""
     return [
         F.count_distinct("DEVICE_ID").alias("DISTINCT_REACH"),
-        F.round(F.coalesce(F.sum("VIEW_MINUTES"), F.lit(0.0)), 6).alias("TOTAL_MINUTES"),
+        F.coalesce(minutes_sum("VIEW_MINUTES"), F.lit(0.0)).alias("TOTAL_MINUTES"),
         F.coalesce(F.sum("SESSION_COUNT"), F.lit(0)).cast("bigint").alias("TOTAL_SESSIONS"),
     ]
 
@@ -41,7 +42,7 @@ def minutes_per_device(summary: DataFrame) -> DataFrame:
     """Minutes / reach, NULL when reach is 0."""
     return summary.withColumn(
         "MINUTES_PER_DEVICE",
-        F.round(F.try_divide(F.col("TOTAL_MINUTES"), F.nullif(F.col("DISTINCT_REACH"), F.lit(0))), 6))
+        F.try_divide(F.col("TOTAL_MINUTES"), F.nullif(F.col("DISTINCT_REACH"), F.lit(0))))
 
 
 def network_share(daily: DataFrame) -> DataFrame:
@@ -51,10 +52,11 @@ def network_share(daily: DataFrame) -> DataFrame:
     window over it runs on a handful of rows.
     """
     per_station = kpi(daily, "network")
-    total = F.sum("TOTAL_MINUTES").over(Window.partitionBy())
+    micros = F.round(F.col("TOTAL_MINUTES") * F.lit(6e7)).cast("bigint")
+    total = F.sum(micros).over(Window.partitionBy()).cast("double") / F.lit(6e7)
     return per_station.select(
         "NETWORK_ID", "TOTAL_MINUTES",
-        F.round(F.try_divide(F.col("TOTAL_MINUTES"), F.nullif(total, F.lit(0.0))), 9).alias("MINUTE_SHARE"))
+        F.try_divide(F.col("TOTAL_MINUTES"), F.nullif(total, F.lit(0.0))).alias("MINUTE_SHARE"))
 
 
 def date_bounds(daily: DataFrame, audience: DataFrame) -> DataFrame:
@@ -74,7 +76,7 @@ def common_totals(daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("MART_ROWS"),
         F.count_distinct("DEVICE_ID").alias("REACH_DEVICES"),
         F.sum("SESSION_COUNT").cast("bigint").alias("TOTAL_SESSIONS"),
-        F.round(F.sum("VIEW_MINUTES"), 6).alias("TOTAL_MINUTES"),
+        minutes_sum("VIEW_MINUTES").alias("TOTAL_MINUTES"),
         F.min("VIEW_DATE").alias("FIRST_DATE"),
         F.max("VIEW_DATE").alias("LAST_DATE"),
         F.count_distinct("GENRE").alias("GENRES"),
@@ -90,7 +92,7 @@ def minute_totals(audience: DataFrame) -> DataFrame:
 def conditional_sums(daily: DataFrame, key: str = "DEVICE_ID") -> DataFrame:
     """Minutes per genre as columns (one conditional sum per genre)."""
     return daily.groupBy(key).agg(*[
-        F.round(F.sum(F.when(F.col("GENRE") == g, F.col("VIEW_MINUTES")).otherwise(F.lit(0.0))), 6)
+        minutes_sum(F.when(F.col("GENRE") == g, F.col("VIEW_MINUTES")).otherwise(F.lit(0.0)))
         .alias(g + "_MINUTES") for g in GENRES])
 
 
@@ -115,7 +117,7 @@ def reach_7d(calendar: DataFrame) -> DataFrame:
     return calendar.withColumn(
         "REACH_7D",
         F.when(F.count("DISTINCT_REACH").over(w) == 7,
-               F.round(F.avg("DISTINCT_REACH").over(w), 6)))
+               F.avg("DISTINCT_REACH").over(w)))
 
 
 def period_delta(current: Column, previous: Column) -> Column:

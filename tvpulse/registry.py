@@ -11,7 +11,9 @@ from tvpulse.operators import clean as C
 from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.plans import dashboards as D
 from tvpulse.plans.pipeline import Pipeline
+from tvpulse.plans.scope import Scope
 from tvpulse.schemas import AUDIENCE_COLUMNS, DAILY_COLUMNS, NETWORKS
 from tvpulse.sources import testdata
 
@@ -124,6 +126,121 @@ def q_kpi_network(spark, sf):
     return K.kpi(Pipeline(spark, sf).daily, "network")
 
 
+# ---- scopes used by the registered dashboard queries (parameters, defaults
+# cover the whole test period and all stations)
+FULL = Scope.of("2024-01-01", "2024-01-31")
+FOCUS = Scope.of("2024-01-15", "2024-01-28", ("NW01", "NW02", "NW04"))
+MINUTE_DAY = "2024-01-15"
+MINUTE_STATIONS = ("NW01", "NW03", "NW05")
+
+
+@query("scope_filter")
+def q_scope_filter(spark, sf):
+    return FOCUS.apply(Pipeline(spark, sf).daily)
+
+
+@query("kpi_summary")
+def q_kpi_summary(spark, sf):
+    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "summary")
+
+
+@query("kpi_daily")
+def q_kpi_daily(spark, sf):
+    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "daily")
+
+
+@query("kpi_genre")
+def q_kpi_genre(spark, sf):
+    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "genre")
+
+
+@query("kpi_network_genre")
+def q_kpi_network_genre(spark, sf):
+    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "network_genre")
+
+
+@query("minutes_per_device")
+def q_minutes_per_device(spark, sf):
+    return K.minutes_per_device(K.kpi(FOCUS.apply(Pipeline(spark, sf).daily), "summary"))
+
+
+@query("network_share")
+def q_network_share(spark, sf):
+    return K.network_share(FULL.apply(Pipeline(spark, sf).daily))
+
+
+@query("date_bounds")
+def q_date_bounds(spark, sf):
+    p = Pipeline(spark, sf)
+    return K.date_bounds(p.daily, p.audience)
+
+
+@query("common_totals")
+def q_common_totals(spark, sf):
+    return K.common_totals(Pipeline(spark, sf).daily)
+
+
+@query("minute_totals")
+def q_minute_totals(spark, sf):
+    return K.minute_totals(Pipeline(spark, sf).audience)
+
+
+@query("conditional_sums")
+def q_conditional_sums(spark, sf):
+    return K.conditional_sums(Pipeline(spark, sf).daily)
+
+
+@query("calendar_reindex")
+def q_calendar_reindex(spark, sf):
+    return K.calendar_reindex(K.kpi(FULL.apply(Pipeline(spark, sf).daily), "daily"), FULL.start, FULL.end)
+
+
+@query("reach_7d")
+def q_reach_7d(spark, sf):
+    return D.trend_series(Pipeline(spark, sf).daily, FULL)
+
+
+@query("trend_unpivot")
+def q_trend_unpivot(spark, sf):
+    return D.trend_unpivot(Pipeline(spark, sf).daily, FULL)
+
+
+@query("minute_series")
+def q_minute_series(spark, sf):
+    return D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
+
+
+@query("minute_peaks")
+def q_minute_peaks(spark, sf):
+    return K.minute_peaks(D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
+
+
+@query("minute_top_peak")
+def q_minute_top_peak(spark, sf):
+    series = D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
+    return K.minute_top_peak(K.minute_peaks(series))
+
+
+@query("minute_pivot")
+def q_minute_pivot(spark, sf):
+    return K.minute_pivot(D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
+
+
+@query("dash_summary")
+def q_dash_summary(spark, sf):
+    return D.dash_summary(Pipeline(spark, sf).daily, FOCUS)
+
+
+@query("dash_trends")
+def q_dash_trends(spark, sf):
+    return D.dash_trends(Pipeline(spark, sf).daily, FOCUS)
+
+
+@query("dash_minute")
+def q_dash_minute(spark, sf):
+    return D.dash_minute(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
