@@ -11,10 +11,12 @@ from tvpulse.operators import clean as C
 from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.operators import quality as Q
+from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope
-from tvpulse.schemas import AUDIENCE_COLUMNS, DAILY_COLUMNS, NETWORKS
+from tvpulse.schemas import AUDIENCE_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, GENRES, NETWORKS
 from tvpulse.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,6 +243,86 @@ def q_dash_minute(spark, sf):
     return D.dash_minute(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
 
 
+# ---- 2.9 data quality (violating rows; empty = pass) ----------------------------
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return Q.not_null(Pipeline(spark, sf).clean, CLEAN_COLUMNS)
+
+
+@query("dq_unique_grain")
+def q_dq_unique_grain(spark, sf):
+    return Q.unique_grain(Pipeline(spark, sf).daily, DAILY_KEYS)
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    return Q.unique(Pipeline(spark, sf).clean, "EVENT_ID")
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, sf):
+    return Q.accepted_values(Pipeline(spark, sf).clean, "GENRE", GENRES)
+
+
+@query("dq_device_id")
+def q_dq_device_id(spark, sf):
+    return Q.invalid_device_ids(Pipeline(spark, sf).clean)
+
+
+@query("dq_device_id_range")
+def q_dq_device_id_range(spark, sf):
+    return Q.device_id_out_of_range(Pipeline(spark, sf).predictions)
+
+
+@query("dq_valid_intervals")
+def q_dq_valid_intervals(spark, sf):
+    return Q.invalid_intervals(Pipeline(spark, sf).clean)
+
+
+@query("dq_station_volume")
+def q_dq_station_volume(spark, sf):
+    p = Pipeline(spark, sf)
+    return Q.station_volume(p.raw, p.clean, p.daily)
+
+
+@query("dq_minute_expansion")
+def q_dq_minute_expansion(spark, sf):
+    p = Pipeline(spark, sf)
+    return Q.minute_expansion(p.clean, p.minutes)
+
+
+@query("dq_minute_audience")
+def q_dq_minute_audience(spark, sf):
+    p = Pipeline(spark, sf)
+    return Q.minute_audience_matches(p.minutes, p.audience)
+
+
+@query("dq_common_daily")
+def q_dq_common_daily(spark, sf):
+    p = Pipeline(spark, sf)
+    stations = {s: p.daily.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
+    return Q.common_totals_match(stations, p.daily, "daily")
+
+
+@query("dq_common_minute")
+def q_dq_common_minute(spark, sf):
+    p = Pipeline(spark, sf)
+    stations = {s: p.audience.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
+    return Q.common_totals_match(stations, p.audience, "minute")
+
+
+@query("dq_report")
+def q_dq_report(spark, sf):
+    return B.full_report(Pipeline(spark, sf).raw)
+
+
+@query("label_coverage")
+def q_label_coverage(spark, sf):
+    p = Pipeline(spark, sf)
+    return Q.label_coverage(p.labels, p.daily)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
