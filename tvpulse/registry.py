@@ -11,6 +11,7 @@ from tvpulse.operators import clean as C
 from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.operators import intervals as I
 from tvpulse.operators import quality as Q
 from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
@@ -323,6 +324,18 @@ def q_label_coverage(spark, sf):
     return Q.label_coverage(p.labels, p.daily)
 
 
+# ---- 2.3 interval folding --------------------------------------------------------
+
+@query("fold_intervals")
+def q_fold_intervals(spark, sf):
+    return I.fold_intervals(Pipeline(spark, sf).clean)
+
+
+@query("fold_totals")
+def q_fold_totals(spark, sf):
+    return I.fold_totals(I.fold_intervals(Pipeline(spark, sf).clean))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
