@@ -12,6 +12,7 @@ from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.operators import intervals as I
+from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
 from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
@@ -336,6 +337,74 @@ def q_fold_totals(spark, sf):
     return I.fold_totals(I.fold_intervals(Pipeline(spark, sf).clean))
 
 
+# ---- 2.10 prediction snapshot ------------------------------------------------------
+
+def _selected(p: Pipeline, scope: Scope):
+    return P.selected_devices(scope.apply(p.daily))
+
+
+@query("prediction_health")
+def q_prediction_health(spark, sf):
+    return P.prediction_health(Pipeline(spark, sf).predictions)
+
+
+@query("selected_health")
+def q_selected_health(spark, sf):
+    return P.selected_health(_selected(Pipeline(spark, sf), FOCUS))
+
+
+@query("unique_predictions")
+def q_unique_predictions(spark, sf):
+    return P.unique_predictions(Pipeline(spark, sf).predictions)
+
+
+@query("pred_join_strict")
+def q_pred_join_strict(spark, sf):
+    p = Pipeline(spark, sf)
+    return _selected(p, FOCUS).join(P.unique_predictions(p.predictions), "DEVICE_ID", "left")
+
+
+@query("pred_join_compact")
+def q_pred_join_compact(spark, sf):
+    p = Pipeline(spark, sf)
+    return _selected(p, FOCUS).join(p.predictions, "DEVICE_ID")
+
+
+@query("prediction_distribution")
+def q_prediction_distribution(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.prediction_distribution(_selected(p, FOCUS), p.predictions)
+
+
+@query("prediction_snapshot")
+def q_prediction_snapshot(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.prediction_snapshot(FULL.apply(p.daily), p.predictions)
+
+
+@query("prediction_snapshot_compact")
+def q_prediction_snapshot_compact(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.prediction_snapshot_compact(FULL.apply(p.daily), p.predictions)
+
+
+@query("probability_histogram")
+def q_probability_histogram(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.probability_histogram(P.prediction_snapshot(FOCUS.apply(p.daily), p.predictions))
+
+
+@query("prediction_class_counts")
+def q_prediction_class_counts(spark, sf):
+    return P.prediction_class_counts(Pipeline(spark, sf).predictions)
+
+
+@query("dash_predictions")
+def q_dash_predictions(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.prediction_snapshot(FOCUS.apply(p.daily), p.predictions)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
