@@ -16,6 +16,7 @@ from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
 from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
+from tvpulse.plans import semantic as S
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope
 from tvpulse.schemas import AUDIENCE_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, GENRES, NETWORKS
@@ -405,6 +406,24 @@ def q_dash_predictions(spark, sf):
     return P.prediction_snapshot(FOCUS.apply(p.daily), p.predictions)
 
 
+# ---- 2.12 semantic metric view ---------------------------------------------------------
+
+@query("metric_view_total")
+def q_metric_view_total(spark, sf):
+    return S.viewing_metric_view(Pipeline(spark, sf).daily).query(where=FULL.predicate())
+
+
+@query("metric_view_by")
+def q_metric_view_by(spark, sf):
+    view = S.viewing_metric_view(Pipeline(spark, sf).daily)
+    return view.ask(["リーチ", "total_minutes", "セッション数"], ["局", "genre"], default_scope=FULL)
+
+
+@query("metric_view_reconcile")
+def q_metric_view_reconcile(spark, sf):
+    return S.reconcile(S.viewing_metric_view(Pipeline(spark, sf).daily), FULL.predicate())
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
