@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tvpulse.ml.features import device_features, features_labeled, stratified_split
 from tvpulse.operators.clean import clean_viewing
 from tvpulse.operators.marts import device_daily, minute_audience, viewing_minutes
 from tvpulse.operators.sweep import minute_audience_sweep
@@ -65,5 +66,25 @@ class Pipeline:
     def predictions(self) -> DataFrame:
         return testdata.prediction_snapshot(self.spark, self.sf_dir)
 
+    @cached_property
+    def features(self) -> DataFrame:
+        return device_features(self.daily)
+
+    @cached_property
+    def labeled(self) -> DataFrame:
+        return features_labeled(self.features, self.labels)
+
+    @cached_property
+    def split(self) -> DataFrame:
+        return stratified_split(self.labeled)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return self.split.filter(F.col("SPLIT") == "train").drop("SPLIT")
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return self.split.filter(F.col("SPLIT") == "test").drop("SPLIT")
+
     def stations(self) -> tuple[str, ...]:
         return NETWORKS

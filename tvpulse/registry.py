@@ -11,6 +11,8 @@ from tvpulse.operators import clean as C
 from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.ml import evaluate as ME
+from tvpulse.ml import features as MF
 from tvpulse.operators import intervals as I
 from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
@@ -424,6 +426,69 @@ def q_metric_view_reconcile(spark, sf):
     return S.reconcile(S.viewing_metric_view(Pipeline(spark, sf).daily), FULL.predicate())
 
 
+# ---- 2.11 machine learning (data side) ------------------------------------------------
+
+@query("device_features")
+def q_device_features(spark, sf):
+    return Pipeline(spark, sf).features
+
+
+@query("feature_checks")
+def q_feature_checks(spark, sf):
+    p = Pipeline(spark, sf)
+    return MF.feature_checks(p.features, p.labels)
+
+
+@query("features_labeled")
+def q_features_labeled(spark, sf):
+    return Pipeline(spark, sf).labeled
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return Pipeline(spark, sf).split
+
+
+@query("eda_label_counts")
+def q_eda_label_counts(spark, sf):
+    return MF.eda_label_counts(Pipeline(spark, sf).train)
+
+
+@query("eda_box_stats")
+def q_eda_box_stats(spark, sf):
+    return MF.eda_box_stats(Pipeline(spark, sf).train)
+
+
+@query("eda_group_means")
+def q_eda_group_means(spark, sf):
+    return MF.eda_group_means(Pipeline(spark, sf).train)
+
+
+@query("eda_genre_means")
+def q_eda_genre_means(spark, sf):
+    return MF.eda_genre_means(Pipeline(spark, sf).train)
+
+
+def _fixture_scored(p: Pipeline) -> DataFrame:
+    """Test devices scored by the deterministic prediction snapshot (oracle-able)."""
+    return p.test.select("DEVICE_ID", "TARGET_F1").join(p.predictions.select("DEVICE_ID", "PROB_F1"), "DEVICE_ID")
+
+
+@query("eval_auc")
+def q_eval_auc(spark, sf):
+    return ME.eval_auc(_fixture_scored(Pipeline(spark, sf)))
+
+
+@query("eval_threshold_metrics")
+def q_eval_threshold_metrics(spark, sf):
+    return ME.eval_threshold_metrics(_fixture_scored(Pipeline(spark, sf)))
+
+
+@query("eval_confusion")
+def q_eval_confusion(spark, sf):
+    return ME.eval_confusion(_fixture_scored(Pipeline(spark, sf)))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
