@@ -13,6 +13,7 @@ from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.ml import evaluate as ME
 from tvpulse.ml import features as MF
+from tvpulse.ml import jobs as MJ
 from tvpulse.operators import intervals as I
 from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
@@ -489,6 +490,49 @@ def q_eval_confusion(spark, sf):
     return ME.eval_confusion(_fixture_scored(Pipeline(spark, sf)))
 
 
+# ---- 2.11 machine learning (model side) ---------------------------------------------------
+
+@query("train_model")
+def q_train_model(spark, sf):
+    return MJ.test_scores(spark, sf)
+
+
+@query("register_model")
+def q_register_model(spark, sf):
+    path = MJ.register(spark, sf)
+    return spark.read.text(f"{path}/metadata").select(
+        F.get_json_object("value", "$.MODEL_NAME").alias("MODEL_NAME"),
+        F.get_json_object("value", "$.MODEL_VERSION").alias("MODEL_VERSION"),
+        F.get_json_object("value", "$.DATASET_VERSION").alias("DATASET_VERSION"),
+        F.get_json_object("value", "$.METRICS.ROC_AUC").cast("double").alias("ROC_AUC"))
+
+
+@query("explain_model")
+def q_explain_model(spark, sf):
+    return MJ.explanations(spark, sf)
+
+
+@query("explain_ranking")
+def q_explain_ranking(spark, sf):
+    from tvpulse.ml.explain import mean_abs_ranking
+    return mean_abs_ranking(MJ.explanations(spark, sf))
+
+
+@query("score_devices")
+def q_score_devices(spark, sf):
+    return MJ.all_scores(spark, sf)
+
+
+@query("publish_predictions")
+def q_publish_predictions(spark, sf):
+    return MJ.publish(spark, sf)
+
+
+@query("top5_per_class")
+def q_top5_per_class(spark, sf):
+    return MJ.top_per_class(Pipeline(spark, sf).predictions)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -54,3 +54,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def output_dir(spark: SparkSession) -> str:
+    """Shared folder for written tables and the model registry.
+
+    ``tvpulse.output.dir`` when the deployment sets it, else a folder under
+    the shared checkpoint directory (never a machine-local path on a cluster).
+    """
+    configured = spark.conf.get("tvpulse.output.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return checkpoint_dir(spark).rstrip("/") + "/tvpulse-output"
