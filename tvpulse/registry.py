@@ -22,8 +22,11 @@ from tvpulse.plans import dashboards as D
 from tvpulse.plans import semantic as S
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope
-from tvpulse.schemas import AUDIENCE_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, GENRES, NETWORKS
-from tvpulse.sources import testdata
+from tvpulse.schemas import (AUDIENCE_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, GENRES, NETWORKS,
+                             VIEWING_LOG)
+from tvpulse.session import output_dir
+from tvpulse.sources import readers, testdata
+from tvpulse.streaming.ingest import load_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -533,6 +536,51 @@ def q_top5_per_class(spark, sf):
     return MJ.top_per_class(Pipeline(spark, sf).predictions)
 
 
+# ---- 2.1 ingestion and sinks -------------------------------------------------------------
+
+def _ingest_paths(spark, sf):
+    import hashlib
+    tag = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
+    base = f"{output_dir(spark)}/ingest/{tag}"
+    return f"{base}/raw_viewing_log", f"{base}/_checkpoint"
+
+
+def _ingest(spark, sf):
+    events = testdata.table(spark, sf, "events")
+    target, ckpt = _ingest_paths(spark, sf)
+    loaded = None
+    for _ in range(2):  # the second run must append nothing
+        loaded = load_once(spark, f"{sf.rstrip('/')}/events*.parquet", events.schema, target, ckpt,
+                           transform=testdata.viewing_log_from_events, out_schema=VIEWING_LOG)
+    return loaded
+
+
+@query("ingest_load_once")
+def q_ingest_load_once(spark, sf):
+    return _ingest(spark, sf)
+
+
+@query("ingest_row_counts")
+def q_ingest_row_counts(spark, sf):
+    loaded = _ingest(spark, sf)
+    source = Pipeline(spark, sf).raw
+    tables = {f"VIEWING_LOG_{s}": loaded.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
+    expected = {f"VIEWING_LOG_{s}": source.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
+    tables["DEVICE_LABELS"] = expected["DEVICE_LABELS"] = testdata.device_labels(spark, sf)
+    tables["PROGRAM_MASTER"] = expected["PROGRAM_MASTER"] = testdata.program_master(spark, sf)
+    tables["PROGRAM_SCHEDULE"] = expected["PROGRAM_SCHEDULE"] = testdata.program_schedule(spark, sf)
+    return readers.row_counts(tables, expected)
+
+
+@query("sink_predictions")
+def q_sink_predictions(spark, sf):
+    from tvpulse.ml.model import publish_predictions
+    snap = Pipeline(spark, sf).predictions
+    path = f"{MJ.registry_root(spark, sf)}/sink_predictions"
+    return publish_predictions(snap, path, expected_rows=snap.count(),
+                               predicted_at=__import__("datetime").datetime(2024, 2, 1))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
