@@ -17,6 +17,7 @@ from tvpulse.ml import jobs as MJ
 from tvpulse.operators import intervals as I
 from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
+from tvpulse.operators import search as SR
 from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
 from tvpulse.plans import semantic as S
@@ -581,6 +582,22 @@ def q_sink_predictions(spark, sf):
                                predicted_at=__import__("datetime").datetime(2024, 2, 1))
 
 
+# ---- 2.13 search --------------------------------------------------------------------------
+
+@query("search_vector_topk")
+def q_search_vector_topk(spark, sf):
+    vectors = testdata.table(spark, sf, "embeddings")
+    return SR.vector_topk(vectors, SR.label_centroids(vectors), k=3)
+
+
+@query("search_text_topk")
+def q_search_text_topk(spark, sf):
+    docs = testdata.table(spark, sf, "documents")
+    bench = testdata.table(spark, sf, "benchmark").select(F.col("item_id").alias("QUERY_ID"),
+                                                          F.col("text").alias("QUERY_TEXT"))
+    return SR.text_topk(docs, bench, k=3)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
