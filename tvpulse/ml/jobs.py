@@ -1,5 +1,5 @@
 """The model job as reusable steps: train once per data set, register,
-explain, score and publish, each as Spark jobs)."""
+explain, score and publish, each as Spark jobs."""
 
 from __future__ import annotations
 
