@@ -8,6 +8,8 @@ to 9 decimals, then the id, so exact copies tie deterministically.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,12 +73,7 @@ def char_bigrams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return grams.groupBy(id_col, "GRAM").agg(F.count(F.lit(1)).alias("TF"))
 
 
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def _broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast only after counting: the side must be proven small."""
-    return F.broadcast(df) if df.count() <= limit else df
+BROADCAST_GRAM_LIMIT = 2_000_000
 
 
 def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
@@ -86,27 +83,30 @@ def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "
 
     IDF = ln((1 + N) / (1 + df)) + 1 over the (filtered) corpus, N being one
     scalar count (as MLlib's IDF does). Document grams join the query grams
-    on GRAM; the query side is bounded by the query set and the gram table by
-    the alphabet, and each is broadcast only after its size is counted, so a
-    gram present in every document never lands in one shuffle partition."""
+    on GRAM. The query side holds at most (total query characters) rows, a
+    bound checked on the small query table before it is broadcast, so a gram
+    present in every document is never shuffled to one task; the gram / IDF
+    join is left to AQE (runtime broadcast of the measured IDF table, else
+    skew-join splitting)."""
     if filter_col is not None:
         corpus = corpus.filter(F.col(filter_col) == F.lit(filter_value))
     n_docs = corpus.count()
     doc_tf = char_bigrams(corpus, id_col, text_col)
     idf = (doc_tf.groupBy("GRAM").agg(F.count(F.lit(1)).alias("DF"))
            .select("GRAM", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("DF"))) + F.lit(1.0)).alias("IDF")))
-    idf = _broadcast_if_small(idf)
     doc_w = doc_tf.join(idf, "GRAM").select(id_col, "GRAM", (F.col("TF") * F.col("IDF")).alias("WD"))
     doc_norm = doc_w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("WD") * F.col("WD"))).alias("DN"))
-    q_tf = char_bigrams(queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt")),
-                        "QUERY_ID", "_qt")
-    unseen = float(__import__("math").log(1.0 + n_docs) + 1.0)
+    q = queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt"))
+    q_tf = char_bigrams(q, "QUERY_ID", "_qt")
+    unseen = float(math.log(1.0 + n_docs) + 1.0)
     q_w = (q_tf.join(idf, "GRAM", "left")
            .select("QUERY_ID", "GRAM", (F.col("TF") * F.coalesce(F.col("IDF"), F.lit(unseen))).alias("WQ")))
     q_norm = q_w.groupBy("QUERY_ID").agg(F.sqrt(F.sum(F.col("WQ") * F.col("WQ"))).alias("QN"))
-    dots = (doc_w.join(_broadcast_if_small(q_w), "GRAM")
+    query_chars = q.agg(F.coalesce(F.sum(F.length("_qt")), F.lit(0))).first()[0]
+    q_side = F.broadcast(q_w) if query_chars <= BROADCAST_GRAM_LIMIT else q_w
+    dots = (doc_w.join(q_side, "GRAM")
             .groupBy("QUERY_ID", id_col).agg(F.sum(F.col("WD") * F.col("WQ")).alias("DOT")))
-    scored = (dots.join(doc_norm, id_col).join(F.broadcast(q_norm), "QUERY_ID")
+    scored = (dots.join(doc_norm, id_col).join(q_norm, "QUERY_ID")
               .select("QUERY_ID", id_col,
                       F.round(F.col("DOT") / (F.col("DN") * F.col("QN")), 9).alias("SCORE")))
     return _top_k(scored, "QUERY_ID", id_col, k)

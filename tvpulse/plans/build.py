@@ -40,6 +40,21 @@ class StationBuild:
         self.minutes = viewing_minutes(self.clean)
         self.audience = minute_audience_sweep(self.clean)
 
+    @classmethod
+    def view_of(cls, raw, clean, daily, minutes, audience, station: str) -> "StationBuild":
+        """A station's stages as filters of the all-station stages.
+
+        Every stage carries NETWORK_ID (a key of every aggregate and a window
+        partition column of the sweep), so the filter is pushed down to the
+        scan and the rows equal a separate station build, while the plans are
+        built once instead of once per station."""
+        b = cls.__new__(cls)
+        b.station = station
+        on = F.col("NETWORK_ID") == station
+        b.raw, b.clean, b.daily, b.minutes, b.audience = (
+            raw.filter(on), clean.filter(on), daily.filter(on), minutes.filter(on), audience.filter(on))
+        return b
+
 
 def station_checks(b: StationBuild) -> dict[str, DataFrame]:
     return {
@@ -84,14 +99,18 @@ def dq_report(checks: dict[str, DataFrame], scope: str) -> DataFrame:
 
 def full_report(raw_all: DataFrame, stations=NETWORKS, common_daily: DataFrame | None = None,
                 common_audience: DataFrame | None = None) -> DataFrame:
-    """All station checks (15 each) plus the 6 common checks as one DataFrame."""
-    builds = {s: StationBuild(raw_all.filter(F.col("NETWORK_ID") == s), s) for s in stations}
+    """All station checks (15 each) plus the 6 common checks as one DataFrame.
+
+    Stages are planned once for all stations and viewed per station."""
+    clean = clean_viewing(raw_all)
+    daily, minutes, audience = device_daily(clean), viewing_minutes(clean), minute_audience_sweep(clean)
+    builds = {s: StationBuild.view_of(raw_all, clean, daily, minutes, audience, s) for s in stations}
     daily_by = {s: b.daily for s, b in builds.items()}
     aud_by = {s: b.audience for s, b in builds.items()}
     if common_daily is None:
-        common_daily = reduce(DataFrame.unionByName, daily_by.values())
+        common_daily = daily
     if common_audience is None:
-        common_audience = reduce(DataFrame.unionByName, aud_by.values())
+        common_audience = audience
     parts = [dq_report(station_checks(b), s) for s, b in builds.items()]
     parts.append(dq_report(common_checks(daily_by, aud_by, common_daily, common_audience), "COMMON"))
     return reduce(DataFrame.unionByName, parts)
