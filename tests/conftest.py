@@ -1,6 +1,6 @@
 import os
 import sys
-import tempfile
+import uuid
 
 import pytest
 
@@ -12,16 +12,18 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tvpulse.session import get_session
-    scratch = tempfile.mkdtemp(prefix="tvpulse-tests-")
-    s = get_session("local[*]", 8, conf={"spark.checkpoint.dir": scratch + "/ckpt",
-                                         "tvpulse.output.dir": scratch + "/out"})
+    from tvpulse.session import checkpoint_dir, get_session
+    s = get_session("local[*]", 8)
+    # the session's spark.checkpoint.dir is used when the environment names
+    # one; checkpoint_dir() creates a scratch folder only when it is unset
+    checkpoint_dir(s)
     yield s
 
 
 @pytest.fixture(scope="session")
 def scratch(spark):
-    return spark.conf.get("tvpulse.output.dir")
+    from tvpulse.session import output_dir
+    return f"{output_dir(spark)}/tests-{uuid.uuid4().hex[:8]}"
 
 
 def rows(df, *cols):

@@ -539,10 +539,15 @@ def q_top5_per_class(spark, sf):
 
 # ---- 2.1 ingestion and sinks -------------------------------------------------------------
 
+# bump when the streaming plan's shape changes: a checkpoint only resumes the
+# same query, so a new shape gets a new target and checkpoint
+INGEST_LAYOUT = "v2"
+
+
 def _ingest_paths(spark, sf):
     import hashlib
     tag = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
-    base = f"{output_dir(spark)}/ingest/{tag}"
+    base = f"{output_dir(spark)}/ingest/{tag}/{INGEST_LAYOUT}"
     return f"{base}/raw_viewing_log", f"{base}/_checkpoint"
 
 

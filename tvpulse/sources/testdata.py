@@ -116,13 +116,17 @@ def program_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def program_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every program aired on every observed day (days are few and bounded)."""
+    """Every program (part keys 0..59) aired on every observed day.
+
+    Each observed day lists the 60 program keys and equi-joins ``part`` on the
+    key (the 60-row program side is broadcast), instead of a Cartesian product."""
     k = F.col("p_partkey")
-    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+    days = (table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
+            .select("d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(59).cast("bigint"))).alias("p_partkey")))
+    programs = table(spark, sf_dir, "part").filter(k < 60).select("p_partkey")
     start_min = (k - k % 5) * 24
     day_start = F.col("d").cast("timestamp_ntz")
-    # the day list is at most one row per calendar day: broadcast is size-bounded
-    return table(spark, sf_dir, "part").filter(k < 60).join(F.broadcast(days), how="cross").select(
+    return days.join(F.broadcast(programs), "p_partkey").select(
         F.concat(F.lit("P"), F.lpad(k.cast("string"), 4, "0")).alias("PROGRAM_ID"),
         F.concat(F.lit("NW0"), (k % 5 + 1).cast("string")).alias("NETWORK_ID"),
         F.col("d").alias("AIR_DATE"),
