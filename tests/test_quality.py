@@ -131,8 +131,8 @@ def test_publish_gate(spark, scratch):
     import uuid
     raw = Pipeline(spark, SF001).raw
     out = f"{scratch}/build-{uuid.uuid4().hex}"
-    paths = B.publish_common(raw, out)
-    assert spark.read.parquet(paths["COMMON/viewing_daily"]).count() == Pipeline(spark, SF001).daily.count()
+    B.publish_common(raw, out)
+    assert B.read_common(spark, out, "viewing_daily").count() == Pipeline(spark, SF001).daily.count()
     bad_out = f"{scratch}/build-{uuid.uuid4().hex}"
     eid = Pipeline(spark, SF001).clean.orderBy("EVENT_ID").first().EVENT_ID
     broken = raw.withColumn("DEVICE_ID", F.when(F.col("EVENT_ID") == eid, F.lit("C999999"))

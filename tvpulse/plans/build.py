@@ -8,6 +8,7 @@ selected check of every station and of common reported zero violations.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -169,12 +170,23 @@ def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[
     required = {s: STATION_CHECKS for s in stations}
     required["COMMON"] = COMMON_CHECKS
     assert_all_passed(rows, required)
+    # write the new common version beside the current one, then switch the
+    # pointer: readers never see a half-written or failed build
+    run_id = uuid.uuid4().hex
     for name, df in (("viewing_daily", common_daily), ("minute_audience", common_aud)):
-        path = f"{out_dir}/common/{name}"
+        path = f"{out_dir}/common/run={run_id}/{name}"
         df.write.mode("overwrite").parquet(path)
         paths[f"COMMON/{name}"] = path
+    spark.createDataFrame([(run_id,)], "RUN_ID string").coalesce(1).write.mode("overwrite") \
+        .text(f"{out_dir}/common/_CURRENT")
     return paths
 
 
+def read_common(spark, out_dir: str, name: str):
+    """Read the published common mart ``name`` through the _CURRENT pointer."""
+    run_id = spark.read.text(f"{out_dir}/common/_CURRENT").first()[0]
+    return spark.read.parquet(f"{out_dir}/common/run={run_id}/{name}")
+
+
 __all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report",
            "assert_all_passed", "publish_common", "GateError", "minute_audience"]

@@ -541,7 +541,7 @@ def q_top5_per_class(spark, sf):
 
 # bump when the streaming plan's shape changes: a checkpoint only resumes the
 # same query, so a new shape gets a new target and checkpoint
-INGEST_LAYOUT = "v2"
+INGEST_LAYOUT = "v3"
 
 
 def _ingest_paths(spark, sf):
@@ -557,7 +557,8 @@ def _ingest(spark, sf):
     loaded = None
     for _ in range(2):  # the second run must append nothing
         loaded = load_once(spark, f"{sf.rstrip('/')}/events*.parquet", events.schema, target, ckpt,
-                           transform=testdata.viewing_log_from_events, out_schema=VIEWING_LOG)
+                           transform=testdata.viewing_log_from_events, out_schema=VIEWING_LOG,
+                           partition_by=["NETWORK_ID"])
     return loaded
 
 

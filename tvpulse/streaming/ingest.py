@@ -16,14 +16,19 @@ from pyspark.sql import types as T
 
 def load_once(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str,
               transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet",
-              out_schema: T.StructType | None = None) -> DataFrame:
-    """Append new source files to ``target`` once; returns the target table."""
+              out_schema: T.StructType | None = None, partition_by: list[str] | None = None) -> DataFrame:
+    """Append new source files to ``target`` once; returns the target table.
+
+    ``partition_by`` lays the target out by column values (e.g. NETWORK_ID),
+    so a later per-station read is pruned to that station's folder."""
     stream = spark.readStream.schema(schema).format(fmt).load(source)
     if transform is not None:
         stream = transform(stream)
-    query = (stream.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start(target))
+    writer = (stream.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    query = writer.start(target)
     query.awaitTermination()
     reader = spark.read
     if out_schema is not None:
