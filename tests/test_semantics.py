@@ -151,3 +151,12 @@ def test_probability_bins(spark):
     df = spark.createDataFrame([(0.0,), (0.05,), (0.1,), (0.99,), (1.0,), (1.2,), (float("nan"),)], "p double")
     got = [r.b for r in df.select(probability_bin(F.col("p")).alias("b")).collect()]
     assert got == [0, 0, 1, 9, 9, None, None]
+
+
+def test_union_of_station_marts_equals_the_grouped_pass(spark):
+    from tvpulse.schemas import NETWORKS
+    p = Pipeline(spark, SF01)
+    stations = [M.device_daily(C.clean_viewing(p.station_raw(s))) for s in NETWORKS]
+    assert rows(M.common_viewing_daily(stations)) == rows(p.daily)
+    aud = [minute_audience_sweep(C.valid_intervals_filter(p.station_raw(s))) for s in NETWORKS]
+    assert rows(M.common_minute_audience(aud)) == rows(p.audience)
