@@ -52,3 +52,13 @@ def test_vector_search_returns_members_of_the_label(spark):
     rows = res.collect()
     assert rows and all(r.label == r.QUERY_ID for r in rows)
     assert max(r.RANK for r in rows) == 3
+
+
+def test_text_search_numpy_and_join_paths_agree(spark):
+    docs = testdata.table(spark, SF001, "documents")
+    bench = testdata.table(spark, SF001, "benchmark").select(
+        F.col("item_id").alias("QUERY_ID"), F.col("text").alias("QUERY_TEXT"))
+    a = SR.text_topk(docs, bench, k=3, method="numpy").collect()
+    b = SR.text_topk(docs, bench, k=3, method="join").collect()
+    assert len(a) == len(b) > 0
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
@@ -67,38 +71,101 @@ def char_bigrams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Overlapping bigrams come from one zero-width lookahead match per position
     (linear in the text; index-based substring would rescan UTF-8 from the
-    start for every position)."""
+    start for every position). Kept as the all-JVM reference for
+    ``bigram_counts``."""
     t = normalize_text(F.col(text_col))
     grams = df.select(id_col, F.explode(F.regexp_extract_all(t, F.lit("(?=(..))"), 1)).alias("GRAM"))
     return grams.groupBy(id_col, "GRAM").agg(F.count(F.lit(1)).alias("TF"))
 
 
-BROADCAST_GRAM_LIMIT = 2_000_000
+_CODE_BITS = 21  # every Unicode code point fits in 21 bits
+
+
+def _bigram_counter(id_col: str):
+    def count(batches):
+        for pdf in batches:
+            ids, grams, tfs = [], [], []
+            for doc, text in zip(pdf[id_col].to_numpy(), pdf["_t"].to_numpy()):
+                if text is None or len(text) < 2:
+                    continue
+                cp = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+                codes, counts = np.unique((cp[:-1] << _CODE_BITS) | cp[1:], return_counts=True)
+                ids.append(np.full(len(codes), doc))
+                grams.append(codes)
+                tfs.append(counts)
+            if ids:
+                yield pd.DataFrame({id_col: np.concatenate(ids), "GRAM": np.concatenate(grams),
+                                    "TF": np.concatenate(tfs).astype(np.int64)})
+    return count
+
+
+def bigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, GRAM, TF) with GRAM a 42-bit code of the two code points.
+
+    Normalisation stays a JVM expression; the per-text counting is numpy in
+    Arrow batches (one ``np.unique`` per text), so each text yields one row
+    per distinct bigram instead of one exploded row per character. Ids must
+    be unique per text (one text per row)."""
+    id_type = df.schema[id_col].dataType.simpleString()
+    src = df.select(id_col, normalize_text(F.col(text_col)).alias("_t"))
+    return src.mapInPandas(_bigram_counter(id_col), f"{id_col} {id_type}, GRAM bigint, TF bigint")
+
+
+BROADCAST_GRAM_LIMIT = 2_000_000     # query-gram rows broadcast in the join path
+SCORER_VOCAB_LIMIT = 5_000_000       # corpus bigram vocabulary shipped to the numpy scorer
+SCORER_QUERY_CELLS = 50_000_000      # query vocabulary x queries, dense weight cells
+
+
+def _use_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread a corpus read as fewer splits than cores (a few large files)
+    before the per-text Python stages; a big input already has many splits
+    and is left as is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def _idf_table(doc_tf: DataFrame, n_docs: int) -> DataFrame:
+    return (doc_tf.groupBy("GRAM").agg(F.count(F.lit(1)).alias("DF"))
+            .select("GRAM", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("DF"))) + F.lit(1.0)).alias("IDF")))
 
 
 def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
               query_id: str = "QUERY_ID", query_text: str = "QUERY_TEXT", filter_col: str | None = None,
-              filter_value=None) -> DataFrame:
+              filter_value=None, method: str = "auto") -> DataFrame:
     """character-bigram TF-IDF cosine, top ``k`` corpus texts per query.
 
     IDF = ln((1 + N) / (1 + df)) + 1 over the (filtered) corpus, N being one
-    scalar count (as MLlib's IDF does). Document grams join the query grams
-    on GRAM. The query side holds at most (total query characters) rows, a
-    bound checked on the small query table before it is broadcast, so a gram
-    present in every document is never shuffled to one task; the gram / IDF
-    join is left to AQE (runtime broadcast of the measured IDF table, else
-    skew-join splitting)."""
+    scalar count. Two exact strategies:
+
+    * ``numpy`` (default when both tables fit the limits): like MLlib's IDF,
+      the document-frequency table is aggregated in Spark and the small model
+      (corpus bigram vocabulary with IDF, and the query weight matrix) is
+      broadcast; every text is then counted, weighted, normed and scored
+      against all queries in one vectorised step inside ``mapInPandas``. No
+      (document gram x query) rows are materialised.
+    * ``join``: document grams equi-join the query grams on GRAM (query side
+      broadcast after its size check) and a partial aggregate sums per
+      (query, document); used when the vocabulary or query matrix is too big.
+    """
     if filter_col is not None:
         corpus = corpus.filter(F.col(filter_col) == F.lit(filter_value))
+    corpus = _use_all_cores(corpus, id_col)
     n_docs = corpus.count()
-    doc_tf = char_bigrams(corpus, id_col, text_col)
-    idf = (doc_tf.groupBy("GRAM").agg(F.count(F.lit(1)).alias("DF"))
-           .select("GRAM", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("DF"))) + F.lit(1.0)).alias("IDF")))
-    doc_w = doc_tf.join(idf, "GRAM").select(id_col, "GRAM", (F.col("TF") * F.col("IDF")).alias("WD"))
-    doc_norm = doc_w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("WD") * F.col("WD"))).alias("DN"))
+    doc_tf = bigram_counts(corpus, id_col, text_col)
+    idf = _idf_table(doc_tf, n_docs)
     q = queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt"))
-    q_tf = char_bigrams(q, "QUERY_ID", "_qt")
+    q_tf = bigram_counts(q, "QUERY_ID", "_qt")
     unseen = float(math.log(1.0 + n_docs) + 1.0)
+    if method in ("auto", "numpy"):
+        q_stats = q_tf.agg(F.count_distinct("GRAM").alias("v"), F.count_distinct("QUERY_ID").alias("q")).first()
+        if (q_stats["v"] or 0) * (q_stats["q"] or 0) <= SCORER_QUERY_CELLS or method == "numpy":
+            # one pass: the collect itself is capped one row past the bound
+            model = idf.limit(SCORER_VOCAB_LIMIT + 1).toPandas()
+            if len(model) <= SCORER_VOCAB_LIMIT or method == "numpy":
+                scored = _numpy_scores(corpus, id_col, text_col, model, q_tf, unseen)
+                return _top_k(scored, "QUERY_ID", id_col, k)
+    doc_w = doc_tf.join(idf, "GRAM").select(id_col, "GRAM", (F.col("TF") * F.col("IDF")).alias("WD"))
+    doc_norm = doc_w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("WD") * F.col("WD"))).alias("DN"))
     q_w = (q_tf.join(idf, "GRAM", "left")
            .select("QUERY_ID", "GRAM", (F.col("TF") * F.coalesce(F.col("IDF"), F.lit(unseen))).alias("WQ")))
     q_norm = q_w.groupBy("QUERY_ID").agg(F.sqrt(F.sum(F.col("WQ") * F.col("WQ"))).alias("QN"))
@@ -112,6 +179,58 @@ def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "
     return _top_k(scored, "QUERY_ID", id_col, k)
 
 
+def _numpy_scores(corpus: DataFrame, id_col: str, text_col: str, model: pd.DataFrame, q_tf: DataFrame,
+                  unseen: float) -> DataFrame:
+    """(QUERY_ID, id, SCORE) for every (query, text) pair sharing a bigram;
+    ``model`` is the collected (GRAM, IDF) table (size-checked by the caller)."""
+    spark = corpus.sparkSession
+    model = model.sort_values("GRAM")
+    vocab = model["GRAM"].to_numpy(np.int64)
+    vocab_idf = model["IDF"].to_numpy(np.float64)
+    qp = q_tf.toPandas()                                  # bounded by the query texts
+    pos = np.searchsorted(vocab, qp["GRAM"].to_numpy(np.int64))
+    pos_c = np.minimum(pos, max(len(vocab) - 1, 0))
+    seen = (len(vocab) > 0) & (vocab[pos_c] == qp["GRAM"].to_numpy(np.int64)) if len(vocab) else np.zeros(len(qp), bool)
+    qp["WQ"] = qp["TF"].to_numpy(np.float64) * np.where(seen, vocab_idf[pos_c] if len(vocab) else 0.0, unseen)
+    qp["QN"] = np.sqrt(qp.groupby("QUERY_ID")["WQ"].transform(lambda w: (w * w).sum()))
+    query_ids = np.sort(qp["QUERY_ID"].unique())
+    q_vocab = np.sort(qp["GRAM"].unique())
+    matrix = np.zeros((len(q_vocab), len(query_ids)))
+    matrix[np.searchsorted(q_vocab, qp["GRAM"].to_numpy(np.int64)),
+           np.searchsorted(query_ids, qp["QUERY_ID"].to_numpy())] = (qp["WQ"] / qp["QN"]).to_numpy()
+    shared = spark.sparkContext.broadcast((vocab, vocab_idf, q_vocab, matrix, query_ids))
+    id_type = corpus.schema[id_col].dataType.simpleString()
+    q_type = q_tf.schema["QUERY_ID"].dataType.simpleString()
+
+    def score(batches):
+        v, v_idf, qv, mat, qids = shared.value
+        for pdf in batches:
+            out_q, out_d, out_s = [], [], []
+            for doc, text in zip(pdf[id_col].to_numpy(), pdf["_t"].to_numpy()):
+                if text is None or len(text) < 2:
+                    continue
+                cp = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+                codes, counts = np.unique((cp[:-1] << _CODE_BITS) | cp[1:], return_counts=True)
+                w = counts * v_idf[np.searchsorted(v, codes)]
+                norm = np.sqrt(np.dot(w, w))
+                at = np.searchsorted(qv, codes)
+                hit = at < len(qv)
+                hit[hit] = qv[at[hit]] == codes[hit]
+                if not hit.any():
+                    continue
+                dots = w[hit] @ mat[at[hit]] / norm
+                nz = np.nonzero(dots)[0]
+                out_q.append(qids[nz])
+                out_d.append(np.full(len(nz), doc))
+                out_s.append(np.round(dots[nz], 9))
+            if out_q:
+                yield pd.DataFrame({"QUERY_ID": np.concatenate(out_q), id_col: np.concatenate(out_d),
+                                    "SCORE": np.concatenate(out_s)})
+
+    src = corpus.select(id_col, normalize_text(F.col(text_col)).alias("_t"))
+    return src.mapInPandas(score, f"QUERY_ID {q_type}, {id_col} {id_type}, SCORE double")
+
+
 def genre_guide(spark) -> DataFrame:
     """The five-entry genre guide used by the text-search example (fixed text)."""
     rows = [
