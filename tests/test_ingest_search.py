@@ -62,3 +62,27 @@ def test_text_search_numpy_and_join_paths_agree(spark):
     b = SR.text_topk(docs, bench, k=3, method="join").collect()
     assert len(a) == len(b) > 0
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_typed_reader_matches_names_ignoring_case_and_aborts_on_bad_values(spark, scratch):
+    import datetime as dt
+
+    import pytest
+    from tvpulse.plans.pipeline import Pipeline
+    from tvpulse.sources import readers
+
+    path = f"{scratch}/logs-{uuid.uuid4().hex}"
+    rows = [("E1", "NW01", "C000001", dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 9), "NEWS"),
+            ("E2", "NW02", "C000002", dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 8, 30), "news")]
+    spark.createDataFrame(rows, "event_id string, network_id string, device_id string, view_from timestamp_ntz, "
+                                "view_to timestamp_ntz, genre string").write.partitionBy("network_id").parquet(path)
+    logs = readers.viewing_log(spark, path, "NW02")
+    assert logs.columns == ["EVENT_ID", "NETWORK_ID", "DEVICE_ID", "VIEW_FROM", "VIEW_TO", "GENRE"]
+    assert [r.EVENT_ID for r in logs.collect()] == ["E2"]
+    assert Pipeline.from_files(spark, path).daily.count() == 2
+    bad = f"{scratch}/bad-{uuid.uuid4().hex}"
+    spark.createDataFrame([("E1", "NW01", "C1", "not a time", "2024-01-01 09:00:00", "NEWS")],
+                          "EVENT_ID string, NETWORK_ID string, DEVICE_ID string, VIEW_FROM string, VIEW_TO string, "
+                          "GENRE string").write.parquet(bad)
+    with pytest.raises(Exception):
+        readers.viewing_log(spark, bad).collect()

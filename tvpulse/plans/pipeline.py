@@ -29,6 +29,16 @@ class Pipeline:
         self.sf_dir = sf_dir
         self._raw = raw
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, logs_path: str, labels_path: str | None = None) -> "Pipeline":
+        """Deployed data: typed logs (ideally one dataset partitioned by
+        NETWORK_ID, so station filters prune directories) and optional labels."""
+        from tvpulse.sources import readers
+        p = cls(spark, logs_path, raw=readers.viewing_log(spark, logs_path))
+        if labels_path is not None:
+            p.__dict__["labels"] = readers.device_labels(spark, labels_path)
+        return p
+
     @cached_property
     def raw(self) -> DataFrame:
         return self._raw if self._raw is not None else testdata.viewing_log(self.spark, self.sf_dir)

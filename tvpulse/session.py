@@ -19,6 +19,26 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(shuffle_partitions: int = 8000) -> dict:
+    """Settings for the large-cluster case (about 100 TB of logs).
+
+    Start with many shuffle partitions and let AQE coalesce them to about
+    256 MB each; split scans at 256 MB; let AQE split skewed join partitions
+    and turn joins into broadcasts only for sides measured under 64 MB at
+    runtime. Pass as ``get_session(conf=cluster_conf())``."""
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tvpulse", conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.

@@ -21,8 +21,18 @@ def _typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "par
     missing = [f.name for f in schema.fields if f.name.lower() not in lower]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    # explicit casts: ANSI mode raises on a value that does not fit
-    return df.select(*[F.col(lower[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields])
+    cols = []
+    for f in schema.fields:
+        src = F.col(lower[f.name.lower()])
+        if df.schema[lower[f.name.lower()]].dataType == f.dataType:
+            cols.append(src.alias(f.name))
+            continue
+        # fail the load on a value that does not convert, whatever the ANSI setting
+        converted = src.try_cast(f.dataType)
+        cols.append(F.when(src.isNotNull() & converted.isNull(),
+                           F.raise_error(F.lit(f"{path}: bad value in column {f.name}")))
+                    .otherwise(converted).alias(f.name))
+    return df.select(*cols)
 
 
 def viewing_log(spark: SparkSession, path: str, station: str | None = None) -> DataFrame:
