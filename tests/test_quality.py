@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tvpulse.operators import quality as Q
 from tvpulse.operators.clean import clean_viewing
-from tvpulse.operators.marts import device_daily, minute_audience, viewing_minutes
-from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.operators.marts import device_daily
 from tvpulse.plans import build as B
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.schemas import CLEAN_COLUMNS, DAILY_KEYS, GENRES, NETWORKS
@@ -148,5 +147,3 @@ def test_report_gate_requires_every_check():
     with pytest.raises(B.GateError):
         B.assert_all_passed(rows, {"NW01": B.STATION_CHECKS})
 
-
-__all__ = ["minute_audience", "minute_audience_sweep", "viewing_minutes"]

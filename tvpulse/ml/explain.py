@@ -20,12 +20,11 @@ sum(contributions) + BASE_VALUE = RAW_SCORE = log(p / (1 - p)).
 from __future__ import annotations
 
 import glob
-import itertools
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,8 +210,8 @@ def mean_abs_ranking(explained: DataFrame, feature_cols=FEATURE_COLUMNS) -> Data
     """Global importance: mean |contribution| per feature, ranked (12 rows)."""
     wide = explained.agg(*[F.avg(F.abs(c + "_EXPLANATION")).alias(c) for c in feature_cols])
     long = wide.unpivot([], list(feature_cols), "FEATURE", "MEAN_ABS_SHAP")
-    return long.withColumn("RANK", F.row_number().over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(F.col("MEAN_ABS_SHAP").desc(), "FEATURE")))
+    # twelve rows (one per feature): the keyless window is bounded
+    return long.withColumn("RANK", F.row_number().over(Window.orderBy(F.col("MEAN_ABS_SHAP").desc(), "FEATURE")))
 
 
 def device_direction(explained: DataFrame, device_id: str, feature_cols=FEATURE_COLUMNS) -> DataFrame:
@@ -225,4 +224,4 @@ def device_direction(explained: DataFrame, device_id: str, feature_cols=FEATURE_
 
 
 __all__ = ["explain", "shap_values", "leaf_table", "read_tree_table", "mean_abs_ranking", "device_direction",
-           "leaf_pattern_weights", "itertools"]
+           "leaf_pattern_weights"]

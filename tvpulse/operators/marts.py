@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tvpulse.functions.time import last_touched_minute, micros_between, minute_floor
-from tvpulse.schemas import AUDIENCE_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, MICROS_PER_MINUTE, MINUTE_COLUMNS
+from tvpulse.schemas import AUDIENCE_COLUMNS, DAILY_COLUMNS, MICROS_PER_MINUTE, MINUTE_COLUMNS
 
 
 def device_daily(clean: DataFrame) -> DataFrame:
@@ -68,5 +68,5 @@ def common_minute_audience(station_marts: list[DataFrame]) -> DataFrame:
     return union_marts(station_marts, AUDIENCE_COLUMNS)
 
 
-__all__ = ["device_daily", "viewing_minutes", "minute_audience", "common_viewing_daily",
-           "common_minute_audience", "DAILY_KEYS"]
+__all__ = ["device_daily", "viewing_minutes", "minute_audience", "union_marts", "common_viewing_daily",
+           "common_minute_audience"]

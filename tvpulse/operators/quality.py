@@ -212,4 +212,4 @@ def label_coverage(labels: DataFrame, daily: DataFrame) -> DataFrame:
 
 __all__ = ["unique_grain", "not_null", "unique", "accepted_values", "invalid_device_ids",
            "device_id_out_of_range", "invalid_intervals", "station_volume", "minute_expansion",
-           "minute_audience_matches", "common_totals_match", "label_coverage", "DAILY_KEYS"]
+           "minute_audience_matches", "common_totals_match", "label_coverage"]

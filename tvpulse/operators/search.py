@@ -232,7 +232,8 @@ def _numpy_scores(corpus: DataFrame, id_col: str, text_col: str, model: pd.DataF
 
 
 def genre_guide(spark) -> DataFrame:
-    """The five-entry genre guide used by the text-search example (fixed text)."""
+    """The five-entry genre guide used by the text-search example."""
+    # The guide texts and the sample question, as the reference states them.
     rows = [
         ("NEWS", "NEWS ニュース。社会の出来事、地域の話題、政治や経済の動きを伝えるジャンル。教材用の架空説明です。"),
         ("DRAMA", "DRAMA ドラマ。登場人物の関係や成長を物語として描くジャンル。教材用の架空説明です。"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tvpulse.operators import quality as Q
 from tvpulse.operators.clean import clean_viewing
-from tvpulse.operators.marts import device_daily, minute_audience, viewing_minutes
+from tvpulse.operators.marts import device_daily, viewing_minutes
 from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.schemas import (AUDIENCE_COLUMNS, AUDIENCE_KEYS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS,
                              GENRES, MINUTE_COLUMNS, NETWORKS)
@@ -189,4 +189,4 @@ def read_common(spark, out_dir: str, name: str):
 
 
 __all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report",
-           "assert_all_passed", "publish_common", "GateError", "minute_audience"]
+           "assert_all_passed", "publish_common", "read_common", "GateError"]

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tvpulse.operators import clean as C
-from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
 from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.ml import evaluate as ME
@@ -23,7 +22,7 @@ from tvpulse.plans import dashboards as D
 from tvpulse.plans import semantic as S
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope
-from tvpulse.schemas import (AUDIENCE_COLUMNS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS, GENRES, NETWORKS,
+from tvpulse.schemas import (CLEAN_COLUMNS, DAILY_KEYS, GENRES, NETWORKS,
                              VIEWING_LOG)
 from tvpulse.session import output_dir
 from tvpulse.sources import readers, testdata
@@ -608,4 +607,4 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-__all__ = ["queries", "QUERIES", "DAILY_COLUMNS", "AUDIENCE_COLUMNS", "F"]
+__all__ = ["queries", "QUERIES"]

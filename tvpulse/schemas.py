@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fixed values that must equal the reference's for the same results:
-# stations, genre codes (this order is also the fixture's event_id % 8 rule),
-# device id range, model / dataset identity, threshold and split seed.
+# Fixed values that must equal the reference's for the same results, in
+# natural order: the five stations; the eight genre codes (this order is also
+# the test-data rule's event_id % 8 code); the characters trimmed from raw
+# genres (space, tab, CR, LF, ideographic space U+3000); the device id range;
+# model and dataset identity; the decision threshold; the split seed; and the
+# dashboard's prediction-group labels.
 NETWORKS = ("NW01", "NW02", "NW03", "NW04", "NW05")
 GENRES = ("NEWS", "DRAMA", "VARIETY", "ANIME", "SPORTS", "MUSIC", "MOVIE", "INFO")
+GENRE_TRIM_CHARS = " \t\r\n\u3000"
 DEVICE_ID_MIN = "C000001"
 DEVICE_ID_MAX = "C020000"
 DEVICE_NUMBER_MAX = 20000
@@ -19,10 +23,6 @@ DATASET_VERSION = "F1_SIGNAL_V2"
 THRESHOLD = 0.50
 SPLIT_SEED = 20260918
 EXPECTED_DEVICES = 20000
-# Trim set applied to raw genres before upper-casing: space, tab, CR, LF and
-# the ideographic space U+3000.
-GENRE_TRIM_CHARS = " \t\r\n　"
-# Prediction-group labels shown by the dashboard (fixed display values).
 GROUP_POSITIVE = "F1在籍あり（予測1）"
 GROUP_NEGATIVE = "F1在籍なし（予測0）"
 GROUP_NONE = "予測なし"
