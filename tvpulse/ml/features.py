@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tvpulse.functions.ranking import cumulative_before, log_bucket
 from tvpulse.functions.time import minutes_sum
+from tvpulse.operators.metrics import share_unpivot
 from tvpulse.operators.quality import unique_grain
 from tvpulse.schemas import FEATURE_COLUMNS, GENRES, SPLIT_SEED
 
@@ -133,6 +134,5 @@ def eda_group_means(train: DataFrame, features=MEAN_FEATURES) -> DataFrame:
 def eda_genre_means(train: DataFrame) -> DataFrame:
     """M7: mean share of each genre per label, long form, suffix stripped."""
     wide = train.groupBy("TARGET_F1").agg(*[F.avg(g + "_SHARE").alias(g + "_SHARE") for g in GENRES])
-    long = wide.unpivot(["TARGET_F1"], [g + "_SHARE" for g in GENRES], "GENRE", "AVERAGE_SHARE")
-    return long.select("TARGET_F1", F.regexp_replace("GENRE", "_SHARE$", "").alias("GENRE"),
-                       F.round("AVERAGE_SHARE", 9).alias("AVERAGE_SHARE"))
+    long = share_unpivot(wide, ["TARGET_F1"])
+    return long.select("TARGET_F1", "GENRE", F.round("AVERAGE_SHARE", 9).alias("AVERAGE_SHARE"))

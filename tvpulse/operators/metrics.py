@@ -35,7 +35,8 @@ def kpi(daily: DataFrame, group: str = "summary") -> DataFrame:
     dims = KPI_GROUPS[group]
     if not dims:
         return daily.agg(*kpi_columns())
-    return daily.groupBy(*dims).agg(*kpi_columns())
+    # O2: ordered by the dimensions (the sort runs on the aggregated rows)
+    return daily.groupBy(*dims).agg(*kpi_columns()).orderBy(*dims)
 
 
 def minutes_per_device(summary: DataFrame) -> DataFrame:
