@@ -18,6 +18,7 @@ from tvpulse.operators import quality as Q
 from tvpulse.operators.clean import clean_viewing
 from tvpulse.operators.marts import device_daily, viewing_minutes
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.session import checkpoint_dir
 from tvpulse.schemas import (AUDIENCE_COLUMNS, AUDIENCE_KEYS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS,
                              GENRES, MINUTE_COLUMNS, NETWORKS)
 
@@ -99,12 +100,19 @@ def dq_report(checks: dict[str, DataFrame], scope: str) -> DataFrame:
 
 
 def full_report(raw_all: DataFrame, stations=NETWORKS, common_daily: DataFrame | None = None,
-                common_audience: DataFrame | None = None) -> DataFrame:
+                common_audience: DataFrame | None = None, materialize: bool = False) -> DataFrame:
     """All station checks (15 each) plus the 6 common checks as one DataFrame.
 
-    Stages are planned once for all stations and viewed per station."""
+    Stages are planned once for all stations and viewed per station. With
+    ``materialize`` every stage is computed once and written to the shared
+    checkpoint folder (eager ``checkpoint()``, which also cuts the lineage), so
+    the 81 checks read stored stages instead of recomputing them from the raw
+    logs; the station filters then prune those stored stages."""
     clean = clean_viewing(raw_all)
     daily, minutes, audience = device_daily(clean), viewing_minutes(clean), minute_audience_sweep(clean)
+    if materialize:
+        checkpoint_dir(raw_all.sparkSession)
+        clean, daily, minutes, audience = (df.checkpoint(eager=True) for df in (clean, daily, minutes, audience))
     builds = {s: StationBuild.view_of(raw_all, clean, daily, minutes, audience, s) for s in stations}
     daily_by = {s: b.daily for s, b in builds.items()}
     aud_by = {s: b.audience for s, b in builds.items()}

@@ -323,7 +323,7 @@ def q_dq_common_minute(spark, sf):
 
 @query("dq_report")
 def q_dq_report(spark, sf):
-    return B.full_report(Pipeline(spark, sf).raw)
+    return B.full_report(Pipeline(spark, sf).raw, materialize=True)
 
 
 @query("label_coverage")
