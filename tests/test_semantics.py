@@ -160,3 +160,16 @@ def test_union_of_station_marts_equals_the_grouped_pass(spark):
     assert rows(M.common_viewing_daily(stations)) == rows(p.daily)
     aud = [minute_audience_sweep(C.valid_intervals_filter(p.station_raw(s))) for s in NETWORKS]
     assert rows(M.common_minute_audience(aud)) == rows(p.audience)
+
+
+def test_metric_view_synonyms_refusal_describe_and_empty_scope(spark):
+    from tvpulse.plans import semantic as S
+    view = S.viewing_metric_view(Pipeline(spark, SF01).daily)
+    assert view.metric("リーチ").name == "distinct_reach" and view.dimension("局").column == "NETWORK_ID"
+    with pytest.raises(S.MetricViewError):
+        view.metric("viewers")
+    assert view.describe(spark).count() == 6
+    empty = view.ask(["total_minutes"], scope=Scope.of("2030-01-01", "2030-01-31"))
+    assert empty.count() == 0
+    total = view.ask(["リーチ"], default_scope=Scope.of("2024-01-01", "2024-01-31")).first()
+    assert total.DISTINCT_REACH == K.kpi(Pipeline(spark, SF01).daily).first().DISTINCT_REACH
