@@ -14,7 +14,6 @@ from tvpulse.ml import evaluate as ME
 from tvpulse.ml import explain as MX
 from tvpulse.ml import model as MM
 from tvpulse.plans.pipeline import Pipeline
-from tvpulse.schemas import MODEL_NAME, MODEL_VERSION
 from tvpulse.session import output_dir
 
 _TRAINED: dict[tuple[int, str], PipelineModel] = {}
@@ -54,15 +53,15 @@ def register(spark: SparkSession, sf_dir: str) -> str:
 
 
 def registered_model_dir(spark: SparkSession, sf_dir: str) -> str:
-    path = MM.model_path(registry_root(spark, sf_dir), MODEL_NAME, MODEL_VERSION)
+    """The registered version's model folder; registers first when this
+    session has not trained it (or nothing is registered yet)."""
+    root = registry_root(spark, sf_dir)
     if _key(spark, sf_dir) not in _TRAINED:
-        register(spark, sf_dir)
-    else:
-        try:
-            MM.load_metadata(registry_root(spark, sf_dir))
-        except Exception:  # noqa: BLE001 - not registered yet
-            register(spark, sf_dir)
-    return path + "/model"
+        return register(spark, sf_dir) + "/model"
+    try:
+        return MM.current_run(root) + "/model"
+    except Exception:  # noqa: BLE001 - not registered yet
+        return register(spark, sf_dir) + "/model"
 
 
 def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -55,26 +56,36 @@ def model_path(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION)
 def register_model(model: PipelineModel, root: str, metrics: dict, name: str = MODEL_NAME,
                    version: str = MODEL_VERSION, threshold: float = THRESHOLD,
                    dataset_version: str = DATASET_VERSION) -> str:
-    """Save under root/name/version (same version is replaced) with one
-    metadata row (metrics, threshold, dataset, feature list)."""
-    path = model_path(root, name, version)
-    model.write().overwrite().save(f"{path}/model")
+    """Register under root/name/version; registering the same version
+    again replaces it. Each registration is written under its own run id
+    (model + one metadata row: metrics, threshold, dataset, features) and only
+    then the version's _CURRENT pointer is switched, so an interrupted save
+    never leaves a broken version behind. Returns the run folder."""
+    base = model_path(root, name, version)
+    run = f"{base}/runs/{uuid.uuid4().hex}"
+    model.write().save(f"{run}/model")
     meta = {"MODEL_NAME": name, "MODEL_VERSION": version, "PREDICTION_THRESHOLD": threshold,
             "DATASET_VERSION": dataset_version, "FEATURES": list(FEATURE_COLUMNS),
             "METRICS": {k: (None if v is None else float(v)) for k, v in metrics.items()},
             "REGISTERED_AT": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat()}
     session = _session()
     session.createDataFrame([(json.dumps(meta, ensure_ascii=False),)], "METADATA string") \
-        .coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
-    return path
+        .coalesce(1).write.mode("overwrite").text(f"{run}/metadata")
+    session.createDataFrame([(run,)], "RUN string").coalesce(1).write.mode("overwrite").text(f"{base}/_CURRENT")
+    return run
+
+
+def current_run(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION) -> str:
+    """The run folder the version's pointer names (raises if never registered)."""
+    return _session().read.text(f"{model_path(root, name, version)}/_CURRENT").first()[0]
 
 
 def load_model(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION) -> PipelineModel:
-    return PipelineModel.load(f"{model_path(root, name, version)}/model")
+    return PipelineModel.load(f"{current_run(root, name, version)}/model")
 
 
 def load_metadata(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION) -> dict:
-    row = _session().read.text(f"{model_path(root, name, version)}/metadata").first()
+    row = _session().read.text(f"{current_run(root, name, version)}/metadata").first()
     return json.loads(row[0])
 
 
