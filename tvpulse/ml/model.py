@@ -99,7 +99,8 @@ def publish_predictions(scored: DataFrame, path: str, expected_rows: int | None
         "DEVICE_ID", F.col("PROB_F1").cast("double").alias("PROB_F1"),
         F.col("PREDICTED_HAS_F1").cast("int").alias("PREDICTED_HAS_F1"),
         F.lit(name).alias("MODEL_NAME"), F.lit(version).alias("MODEL_VERSION"),
-        F.lit(when).cast("timestamp_ntz").alias("PREDICTED_AT"),
+        # from text: a datetime literal would pass through the process time zone
+        F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz").alias("PREDICTED_AT"),
         F.lit(float(threshold)).alias("PREDICTION_THRESHOLD"), F.lit(dataset_version).alias("DATASET_VERSION"))
     out.write.mode("overwrite").parquet(path)
     published = scored.sparkSession.read.schema(PREDICTIONS).parquet(path)
