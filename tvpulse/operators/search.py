@@ -112,8 +112,8 @@ def bigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 BROADCAST_GRAM_LIMIT = 2_000_000     # query-gram rows broadcast in the join path
-SCORER_VOCAB_LIMIT = 5_000_000       # corpus bigram vocabulary shipped to the numpy scorer
-SCORER_QUERY_CELLS = 50_000_000      # query vocabulary x queries, dense weight cells
+SCORER_VOCAB_LIMIT = 2_000_000       # corpus bigram vocabulary shipped to the numpy scorer (~32 MB)
+SCORER_QUERY_CELLS = 10_000_000      # query vocabulary x queries, dense weight cells (~80 MB)
 
 
 def _use_all_cores(df: DataFrame, key: str) -> DataFrame:
