@@ -173,3 +173,15 @@ def test_metric_view_synonyms_refusal_describe_and_empty_scope(spark):
     assert empty.count() == 0
     total = view.ask(["リーチ"], default_scope=Scope.of("2024-01-01", "2024-01-31")).first()
     assert total.DISTINCT_REACH == K.kpi(Pipeline(spark, SF01).daily).first().DISTINCT_REACH
+
+
+def test_grouping_sets_dashboard_equals_the_four_kpi_groupings(spark):
+    from tvpulse.plans.dashboards import TREND_SETS, dash_trends
+    scope = Scope.of("2024-01-10", "2024-01-20", ["NW01", "NW03"])
+    daily = Pipeline(spark, SF01).daily
+    trends = dash_trends(daily, scope)
+    for view, dims in TREND_SETS.items():
+        got = rows(trends.filter(F.col("TREND_VIEW") == view), *dims, "DISTINCT_REACH", "TOTAL_MINUTES",
+                   "TOTAL_SESSIONS")
+        want = rows(K.kpi(scope.apply(daily), view), *dims, "DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS")
+        assert got == want
