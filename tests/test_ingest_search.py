@@ -86,3 +86,14 @@ def test_typed_reader_matches_names_ignoring_case_and_aborts_on_bad_values(spark
                           "GENRE string").write.parquet(bad)
     with pytest.raises(Exception):
         readers.viewing_log(spark, bad).collect()
+
+
+def test_command_line_writes_station_partitioned_logs(spark, scratch, capsys):
+    from tvpulse.__main__ import main
+    out = f"{scratch}/cli-{uuid.uuid4().hex}"
+    assert main(["testdata", "--sf", SF001, "--out", out]) == 0
+    logs = spark.read.parquet(out)
+    assert logs.count() == testdata.viewing_log(spark, SF001).count()
+    import os
+    assert sorted(d for d in os.listdir(out) if d.startswith("NETWORK_ID=")) == [
+        f"NETWORK_ID=NW0{i}" for i in range(1, 6)]
