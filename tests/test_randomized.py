@@ -30,7 +30,12 @@ def random_intervals(seed: int, n: int = 400) -> pd.DataFrame:
                      f + dt.timedelta(microseconds=int(length[i])), ["NEWS", "DRAMA"][i % 3 == 0]))
     df = pd.DataFrame(rows, columns=["EVENT_ID", "NETWORK_ID", "DEVICE_ID", "VIEW_FROM", "VIEW_TO", "GENRE"])
     dup = df.sample(frac=0.05, random_state=seed)
-    return pd.concat([df, dup], ignore_index=True)
+    # same device, station, genre and start, another end (and event id)
+    same_start = df.sample(frac=0.05, random_state=seed + 100).copy()
+    same_start["EVENT_ID"] = same_start["EVENT_ID"] + "S"
+    same_start["VIEW_TO"] = same_start["VIEW_FROM"] + pd.to_timedelta(
+        rng.integers(1, 3 * 3600 * 10**6, len(same_start)), unit="us")
+    return pd.concat([df, dup, same_start], ignore_index=True)
 
 
 def plain_fold(pdf: pd.DataFrame) -> list:

@@ -16,7 +16,9 @@ the running quantities are computed as a two-level prefix instead:
    is again local running max plus a chunk carry of earlier chunks;
 4. a grouped aggregate on (group, fold start) yields start, end, SOURCE_ROWS.
 
-All windows are bounded by one hour of one group, or by the chunk count.
+Rows sharing a start are combined first (map-side), so every window is
+bounded by the distinct starts of one hour of one group, or by the chunk
+count.
 """
 
 from __future__ import annotations
@@ -36,9 +38,17 @@ def _hour_chunk(ts: str):
 
 def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end: str = "VIEW_TO",
                    tiebreak: str = "EVENT_ID") -> DataFrame:
+    """Folded intervals (keys, start, end, SOURCE_ROWS).
+
+    Rows of a group with the same start are interchangeable for the fold (the
+    first may open a new interval, the others cannot), so they are first
+    combined map-side into one row with the latest end and their row count:
+    exact copies or bursts sharing a start never pile up in one window. The
+    ``tiebreak`` column only orders rows that this step already combines."""
     keys = list(keys)
     ck = keys + ["_chunk"]
-    rows = df.select(*keys, start, end, tiebreak, _hour_chunk(start).alias("_chunk"))
+    rows = (df.groupBy(*keys, start).agg(F.max(end).alias(end), F.count(F.lit(1)).alias("_w"))
+            .withColumn("_chunk", _hour_chunk(start)))
     earlier_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
 
     # 1. carry-in of max end from earlier chunks
@@ -46,8 +56,8 @@ def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end:
                  .select(*ck, F.max("_cmax").over(earlier_chunks).alias("_carry_end")))
     rows = rows.join(chunk_max, ck)
 
-    # 2. open flag from carry + local running max
-    local = Window.partitionBy(*ck).orderBy(start, end, tiebreak)
+    # 2. open flag from carry + local running max (starts are unique per group now)
+    local = Window.partitionBy(*ck).orderBy(start)
     before = local.rowsBetween(Window.unboundedPreceding, -1)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
     prev_end = F.greatest(F.col("_carry_end"), F.max(end).over(before))
@@ -62,7 +72,7 @@ def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end:
 
     # 4. one row per folded interval
     return (rows.groupBy(*keys, "_fold")
-            .agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("SOURCE_ROWS"))
+            .agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("_w").alias("SOURCE_ROWS"))
             .select(*keys, start, end, "SOURCE_ROWS"))
 
 
