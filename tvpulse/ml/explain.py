@@ -188,13 +188,15 @@ def read_tree_table(spark: SparkSession, model_dir: str) -> LeafTable:
 def explain(spark: SparkSession, model_dir: str, features: DataFrame, feature_cols=FEATURE_COLUMNS,
             id_col: str = "DEVICE_ID") -> DataFrame:
     """Per-row contributions (``<FEATURE>_EXPLANATION``), BASE_VALUE and RAW_SCORE."""
-    table = read_tree_table(spark, model_dir)
+    # one copy per executor (the table is bounded by the model, not the data)
+    shared = spark.sparkContext.broadcast(read_tree_table(spark, model_dir))
     cols = list(feature_cols)
     schema = T.StructType([T.StructField(id_col, T.StringType())]
                           + [T.StructField(c + "_EXPLANATION", T.DoubleType()) for c in cols]
                           + [T.StructField("BASE_VALUE", T.DoubleType()), T.StructField("RAW_SCORE", T.DoubleType())])
 
     def run(batches):
+        table = shared.value
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
             phi = shap_values(table, x)
