@@ -18,7 +18,7 @@ from tvpulse.operators import quality as Q
 from tvpulse.operators.clean import clean_viewing
 from tvpulse.operators.marts import device_daily, viewing_minutes
 from tvpulse.operators.sweep import minute_audience_sweep
-from tvpulse.session import checkpoint_dir
+from tvpulse.session import output_dir
 from tvpulse.schemas import (AUDIENCE_COLUMNS, AUDIENCE_KEYS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS,
                              GENRES, MINUTE_COLUMNS, NETWORKS)
 
@@ -104,15 +104,22 @@ def full_report(raw_all: DataFrame, stations=NETWORKS, common_daily: DataFrame |
     """All station checks (15 each) plus the 6 common checks as one DataFrame.
 
     Stages are planned once for all stations and viewed per station. With
-    ``materialize`` every stage is computed once and written to the shared
-    checkpoint folder (eager ``checkpoint()``, which also cuts the lineage), so
-    the 81 checks read stored stages instead of recomputing them from the raw
-    logs; the station filters then prune those stored stages."""
+    ``materialize`` every stage (raw included) is computed once and written as
+    a table partitioned by NETWORK_ID under a run id in the shared output
+    folder, which also cuts the lineage: the 81 checks then read stored stages
+    instead of recomputing them, and each station's checks read only that
+    station's folder."""
     clean = clean_viewing(raw_all)
     daily, minutes, audience = device_daily(clean), viewing_minutes(clean), minute_audience_sweep(clean)
     if materialize:
-        checkpoint_dir(raw_all.sparkSession)
-        clean, daily, minutes, audience = (df.checkpoint(eager=True) for df in (clean, daily, minutes, audience))
+        spark = raw_all.sparkSession
+        base = f"{output_dir(spark)}/report/run={uuid.uuid4().hex}"
+        stored = []
+        for name, df in (("raw", raw_all), ("clean", clean), ("daily", daily), ("minutes", minutes),
+                         ("audience", audience)):
+            df.write.mode("overwrite").partitionBy("NETWORK_ID").parquet(f"{base}/{name}")
+            stored.append(spark.read.parquet(f"{base}/{name}").select(*df.columns))
+        raw_all, clean, daily, minutes, audience = stored
     builds = {s: StationBuild.view_of(raw_all, clean, daily, minutes, audience, s) for s in stations}
     daily_by = {s: b.daily for s, b in builds.items()}
     aud_by = {s: b.audience for s, b in builds.items()}
