@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvpulse.operators import clean as C
-from tvpulse.operators import metrics as K
-from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.functions.time import view_minutes
 from tvpulse.ml import evaluate as ME
 from tvpulse.ml import features as MF
+from tvpulse.ml import explain as MX
 from tvpulse.ml import jobs as MJ
+from tvpulse.ml import model as MM
+from tvpulse.operators import clean as C
+from tvpulse.operators import metrics as K
 from tvpulse.operators import intervals as I
 from tvpulse.operators import predictions as P
 from tvpulse.operators import quality as Q
 from tvpulse.operators import search as SR
+from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.plans import build as B
 from tvpulse.plans import dashboards as D
 from tvpulse.plans import semantic as S
@@ -86,7 +92,6 @@ def q_genre_normalize(spark, sf):
 
 @query("view_minutes")
 def q_view_minutes(spark, sf):
-    from tvpulse.functions.time import view_minutes
     return C.valid_intervals_filter(Pipeline(spark, sf).raw).select(
         "EVENT_ID", "NETWORK_ID", "VIEW_FROM", "VIEW_TO", view_minutes().alias("VIEW_MINUTES"))
 
@@ -517,8 +522,7 @@ def q_explain_model(spark, sf):
 
 @query("explain_ranking")
 def q_explain_ranking(spark, sf):
-    from tvpulse.ml.explain import mean_abs_ranking
-    return mean_abs_ranking(MJ.explanations(spark, sf))
+    return MX.mean_abs_ranking(MJ.explanations(spark, sf))
 
 
 @query("score_devices")
@@ -544,7 +548,6 @@ INGEST_LAYOUT = "v3"
 
 
 def _ingest_paths(spark, sf):
-    import hashlib
     tag = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
     base = f"{output_dir(spark)}/ingest/{tag}/{INGEST_LAYOUT}"
     return f"{base}/raw_viewing_log", f"{base}/_checkpoint"
@@ -580,11 +583,10 @@ def q_ingest_row_counts(spark, sf):
 
 @query("sink_predictions")
 def q_sink_predictions(spark, sf):
-    from tvpulse.ml.model import publish_predictions
     snap = Pipeline(spark, sf).predictions
     path = f"{MJ.registry_root(spark, sf)}/sink_predictions"
-    return publish_predictions(snap, path, expected_rows=snap.count(),
-                               predicted_at=__import__("datetime").datetime(2024, 2, 1))
+    return MM.publish_predictions(snap, path, expected_rows=snap.count(),
+                               predicted_at=dt.datetime(2024, 2, 1))
 
 
 # ---- 2.13 search --------------------------------------------------------------------------
