@@ -1,10 +1,16 @@
-"""Query registry: one callable (spark, sf_dir) -> DataFrame per operator key."""
+"""Query registry: one callable (spark, sf_dir) -> DataFrame per operator key.
+
+Every key reads the test tables under ``sf_dir`` (through the adapter in
+``sources.testdata``) and builds its stages lazily with ``Pipeline``, so the
+work of each key grows with the data. Scopes are parameters: FULL covers the
+whole test period and all stations; FOCUS and the minute day exercise the
+scope filter, previous-period comparison and one-day views.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
