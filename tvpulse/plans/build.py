@@ -188,9 +188,14 @@ def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[
     # write the new common version beside the current one, then switch the
     # pointer: readers never see a half-written or failed build
     run_id = uuid.uuid4().hex
-    for name, df in (("viewing_daily", common_daily), ("minute_audience", common_aud)):
+    # station folders prune station filters; range partitioning on (station,
+    # date, third key) keeps each file's dates narrow, so date scopes skip row
+    # groups, and its sampled bounds split a hot station-day over several tasks
+    for name, df, order in (("viewing_daily", common_daily, ["NETWORK_ID", "VIEW_DATE", "DEVICE_ID"]),
+                            ("minute_audience", common_aud, ["NETWORK_ID", "VIEW_DATE", "MINUTE_AT"])):
         path = f"{out_dir}/common/run={run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        (df.repartitionByRange(*order).sortWithinPartitions(*order)
+         .write.mode("overwrite").partitionBy("NETWORK_ID").parquet(path))
         paths[f"COMMON/{name}"] = path
     spark.createDataFrame([(run_id,)], "RUN_ID string").coalesce(1).write.mode("overwrite") \
         .text(f"{out_dir}/common/_CURRENT")
@@ -200,7 +205,8 @@ def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[
 def read_common(spark, out_dir: str, name: str):
     """Read the published common mart ``name`` through the _CURRENT pointer."""
     run_id = spark.read.text(f"{out_dir}/common/_CURRENT").first()[0]
-    return spark.read.parquet(f"{out_dir}/common/run={run_id}/{name}")
+    columns = DAILY_COLUMNS if name == "viewing_daily" else AUDIENCE_COLUMNS
+    return spark.read.parquet(f"{out_dir}/common/run={run_id}/{name}").select(*columns)
 
 
 __all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report",
