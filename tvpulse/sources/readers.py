@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tvpulse.schemas import DEVICE_LABELS, PROGRAM_MASTER, PROGRAM_SCHEDULE, VIEWING_LOG
+from tvpulse.schemas import DEVICE_LABELS, PREDICTIONS, PROGRAM_MASTER, PROGRAM_SCHEDULE, VIEWING_LOG
 
 
 def _typed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -53,6 +53,11 @@ def program_schedule(spark: SparkSession, path: str) -> DataFrame:
     return _typed(spark, path, PROGRAM_SCHEDULE)
 
 
+def predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The published prediction table (M15), for the snapshot views (H1-H6)."""
+    return _typed(spark, path, PREDICTIONS)
+
+
 def versioned(root: str, dataset_version: str, table: str) -> str:
     """The dataset version is a folder level (root/VERSION/table)."""
     return f"{root.rstrip('/')}/{dataset_version}/{table}"
