@@ -30,4 +30,5 @@ def test_sf001_golden_counts(spark):
 def test_sf01_clean_and_audience_counts(spark):
     p = Pipeline(spark, SF01.replace("sf0.01", "sf0.1"))
     assert p.clean.count() == 97544
+    assert p.minutes.count() == 6220918
     assert p.audience.count() == 220644

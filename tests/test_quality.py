@@ -131,7 +131,11 @@ def test_publish_gate(spark, scratch):
     raw = Pipeline(spark, SF001).raw
     out = f"{scratch}/build-{uuid.uuid4().hex}"
     B.publish_common(raw, out)
-    assert B.read_common(spark, out, "viewing_daily").count() == Pipeline(spark, SF001).daily.count()
+    published = B.read_common(spark, out, "viewing_daily")
+    assert published.columns == Pipeline(spark, SF001).daily.columns
+    assert sorted(published.collect()) == sorted(Pipeline(spark, SF001).daily.collect())
+    assert sorted(B.read_common(spark, out, "minute_audience").collect()) == sorted(
+        Pipeline(spark, SF001).audience.collect())
     bad_out = f"{scratch}/build-{uuid.uuid4().hex}"
     eid = Pipeline(spark, SF001).clean.orderBy("EVENT_ID").first().EVENT_ID
     broken = raw.withColumn("DEVICE_ID", F.when(F.col("EVENT_ID") == eid, F.lit("C999999"))
