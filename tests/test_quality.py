@@ -136,6 +136,13 @@ def test_publish_gate(spark, scratch):
     assert sorted(published.collect()) == sorted(Pipeline(spark, SF001).daily.collect())
     assert sorted(B.read_common(spark, out, "minute_audience").collect()) == sorted(
         Pipeline(spark, SF001).audience.collect())
+    # the model job runs on the published build (command-line path, few rounds)
+    from tvpulse.__main__ import run_model_job
+    from tvpulse.sources import testdata
+    testdata.device_labels(spark, SF001).write.parquet(f"{out}/labels")
+    metrics = run_model_job(spark, out, f"{out}/labels", rounds=3)
+    assert set(metrics) == {"ROC_AUC", "PRECISION", "RECALL", "F1_SCORE"}
+    assert spark.read.parquet(f"{out}/predictions").count() == Pipeline(spark, SF001).features.count()
     bad_out = f"{scratch}/build-{uuid.uuid4().hex}"
     eid = Pipeline(spark, SF001).clean.orderBy("EVENT_ID").first().EVENT_ID
     broken = raw.withColumn("DEVICE_ID", F.when(F.col("EVENT_ID") == eid, F.lit("C999999"))

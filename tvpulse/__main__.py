@@ -5,6 +5,8 @@
   report   --logs PATH                  print the data-quality report (one row per check)
   kpi      --out DIR [--group G] [--from D --to D] [--networks NW01,NW02]
                                         reach / minutes / sessions over the published common mart
+  model    --out DIR --labels PATH [--rounds N]
+                                        features, split, train, evaluate, register, score and publish
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ def main(argv=None) -> int:
     k.add_argument("--from", dest="start")
     k.add_argument("--to", dest="end")
     k.add_argument("--networks", default=",".join(NETWORKS))
+    m = sub.add_parser("model")
+    m.add_argument("--out", required=True)
+    m.add_argument("--labels", required=True)
+    m.add_argument("--rounds", type=int, default=None, help="boosting rounds (default 200)")
     ap.add_argument("--master", default=None, help="e.g. local[*]; leave unset on a cluster")
     args = ap.parse_args(argv)
 
@@ -69,8 +75,42 @@ def main(argv=None) -> int:
         print("\t".join(cols))
         for row in out.collect():
             print("\t".join(str(row[c]) for c in cols))
+    elif args.cmd == "model":
+        run_model_job(spark, args.out, args.labels, args.rounds)
     return 0
 
 
+def run_model_job(spark, out_dir: str, labels_path: str, rounds: int | None = None) -> dict:
+    """The model job over a published build: M1-M3, M8-M12, M14, M15."""
+    from pyspark.sql import functions as F
+
+    from tvpulse.ml import evaluate as ME
+    from tvpulse.ml import features as MF
+    from tvpulse.ml import model as MM
+    from tvpulse.plans.build import read_common
+    from tvpulse.sources import readers
+
+    daily = read_common(spark, out_dir, "viewing_daily")
+    features = MF.device_features(daily)
+    labels = readers.device_labels(spark, labels_path)
+    split = MF.stratified_split(MF.features_labeled(features, labels))
+    train = split.filter(F.col("SPLIT") == "train").drop("SPLIT")
+    test = split.filter(F.col("SPLIT") == "test").drop("SPLIT")
+    model = MM.train_model(train, **({"maxIter": rounds} if rounds else {}))
+    scored = MM.score_devices(model, test).join(test.select("DEVICE_ID", "TARGET_F1"), "DEVICE_ID")
+    auc = ME.eval_auc(scored).first()
+    thr = ME.eval_threshold_metrics(scored).first()
+    metrics = {"ROC_AUC": auc["ROC_AUC"], "PRECISION": thr["PRECISION"], "RECALL": thr["RECALL"],
+               "F1_SCORE": thr["F1_SCORE"]}
+    run = MM.register_model(model, f"{out_dir}/registry", metrics)
+    published = MM.publish_predictions(MM.score_devices(model, features), f"{out_dir}/predictions",
+                                       expected_rows=features.count())
+    for key, value in metrics.items():
+        print(f"{key}\t{value}")
+    print(f"model\t{run}")
+    print(f"predictions\t{published.count()}")
+    return metrics
+
+
 if __name__ == "__main__":
     sys.exit(main())
