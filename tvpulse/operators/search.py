@@ -143,20 +143,21 @@ def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "
       broadcast; every text is then counted, weighted, normed and scored
       against all queries in one vectorised step inside ``mapInPandas``. No
       (document gram x query) rows are materialised.
-    * ``join``: document grams equi-join the query grams on GRAM (query side
-      broadcast after its size check) and a partial aggregate sums per
-      (query, document); used when the vocabulary or query matrix is too big.
+    * ``join``: all JVM. String bigrams from ``regexp_extract_all``, document
+      grams equi-join the query grams on GRAM (query side broadcast after its
+      size check) and a partial aggregate sums per (query, document); used
+      when the vocabulary or query matrix is too big.
     """
     if filter_col is not None:
         corpus = corpus.filter(F.col(filter_col) == F.lit(filter_value))
     corpus = _use_all_cores(corpus, id_col)
     n_docs = corpus.count()
-    doc_tf = bigram_counts(corpus, id_col, text_col)
-    idf = _idf_table(doc_tf, n_docs)
     q = queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt"))
-    q_tf = bigram_counts(q, "QUERY_ID", "_qt")
     unseen = float(math.log(1.0 + n_docs) + 1.0)
     if method in ("auto", "numpy"):
+        doc_tf = bigram_counts(corpus, id_col, text_col)
+        idf = _idf_table(doc_tf, n_docs)
+        q_tf = bigram_counts(q, "QUERY_ID", "_qt")
         q_stats = q_tf.agg(F.count_distinct("GRAM").alias("v"), F.count_distinct("QUERY_ID").alias("q")).first()
         if (q_stats["v"] or 0) * (q_stats["q"] or 0) <= SCORER_QUERY_CELLS or method == "numpy":
             # one pass: the collect itself is capped one row past the bound
@@ -164,6 +165,10 @@ def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "
             if len(model) <= SCORER_VOCAB_LIMIT or method == "numpy":
                 scored = _numpy_scores(corpus, id_col, text_col, model, q_tf, unseen)
                 return _top_k(scored, "QUERY_ID", id_col, k)
+    # all-JVM path: string bigrams from regexp_extract_all, joins and aggregates
+    doc_tf = char_bigrams(corpus, id_col, text_col)
+    idf = _idf_table(doc_tf, n_docs)
+    q_tf = char_bigrams(q, "QUERY_ID", "_qt")
     doc_w = doc_tf.join(idf, "GRAM").select(id_col, "GRAM", (F.col("TF") * F.col("IDF")).alias("WD"))
     doc_norm = doc_w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("WD") * F.col("WD"))).alias("DN"))
     q_w = (q_tf.join(idf, "GRAM", "left")
