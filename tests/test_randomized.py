@@ -71,3 +71,18 @@ def test_sweep_equals_explode_on_random_intervals(spark, seed):
     a = M.minute_audience(M.viewing_minutes(clean))
     b = minute_audience_sweep(C.valid_intervals_filter(df))
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_minute_floor_and_last_touched_minute_match_python(spark):
+    from tvpulse.functions.time import last_touched_minute, minute_floor
+    rng = np.random.default_rng(11)
+    epoch = dt.datetime(1970, 1, 1)
+    micros = rng.integers(-20 * 365 * 86400 * 10**6, 60 * 365 * 86400 * 10**6, 500)
+    micros[:50] = (micros[:50] // 60_000_000) * 60_000_000          # exact minute boundaries
+    ts = [epoch + dt.timedelta(microseconds=int(m)) for m in micros]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz")
+    got = df.select("t", minute_floor("t").alias("f"), last_touched_minute("t").alias("l")).collect()
+    for r in got:
+        assert r.f == r.t.replace(second=0, microsecond=0)
+        before = r.t - dt.timedelta(microseconds=1)
+        assert r.l == before.replace(second=0, microsecond=0)
