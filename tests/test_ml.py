@@ -118,3 +118,11 @@ def test_feature_checks_fire(spark):
     bad = p.features.limit(1).withColumn("DRAMA_SHARE", F.lit(float("nan")))
     names = {r.CHECK_NAME for r in MF.feature_checks(p.features.unionByName(bad), p.labels).collect()}
     assert names == {"feature_device_unique", "feature_finite"}
+
+
+def test_model_job_refuses_failing_features(spark):
+    p = Pipeline(spark, SF01)
+    MF.require_clean_features(p.features, p.labels)
+    dup_label = p.labels.filter("LABEL_AVAILABLE").limit(1)
+    with pytest.raises(MF.FeatureCheckError):
+        MF.require_clean_features(p.features, p.labels.unionByName(dup_label))

@@ -93,6 +93,7 @@ def run_model_job(spark, out_dir: str, labels_path: str, rounds: int | None = No
     daily = read_common(spark, out_dir, "viewing_daily")
     features = MF.device_features(daily)
     labels = readers.device_labels(spark, labels_path)
+    MF.require_clean_features(features, labels)
     split = MF.stratified_split(MF.features_labeled(features, labels))
     train = split.filter(F.col("SPLIT") == "train").drop("SPLIT")
     test = split.filter(F.col("SPLIT") == "test").drop("SPLIT")

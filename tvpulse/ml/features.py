@@ -136,3 +136,15 @@ def eda_genre_means(train: DataFrame) -> DataFrame:
     wide = train.groupBy("TARGET_F1").agg(*[F.avg(g + "_SHARE").alias(g + "_SHARE") for g in GENRES])
     long = share_unpivot(wide, ["TARGET_F1"])
     return long.select("TARGET_F1", "GENRE", F.round("AVERAGE_SHARE", 9).alias("AVERAGE_SHARE"))
+
+
+class FeatureCheckError(ValueError):
+    """Features or labels failed M2; the model job does not train on them."""
+
+
+def require_clean_features(features: DataFrame, labels: DataFrame) -> None:
+    """Raise unless every M2 check is empty (only failing check names, at most
+    five, reach the driver)."""
+    failed = sorted(r.CHECK_NAME for r in feature_checks(features, labels).select("CHECK_NAME").distinct().collect())
+    if failed:
+        raise FeatureCheckError(f"feature/label checks failed: {failed}")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tvpulse.ml import evaluate as ME
 from tvpulse.ml import explain as MX
 from tvpulse.ml import model as MM
+from tvpulse.ml.features import require_clean_features
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.session import output_dir
 
@@ -32,7 +33,9 @@ def trained(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """M8 once per session and data set; later steps reuse the fitted model."""
     key = _key(spark, sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = MM.train_model(Pipeline(spark, sf_dir).train)
+        p = Pipeline(spark, sf_dir)
+        require_clean_features(p.features, p.labels)
+        _TRAINED[key] = MM.train_model(p.train)
     return _TRAINED[key]
 
 
