@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, partial
 
 from pyspark.sql import functions as F
 
-from tvpulse.llm import byte_bpe, decontaminate, line_spread, simhash, toxicity
-from tvpulse.llm.common import read
+from tvpulse.llm import byte_bpe, decontaminate, langid, line_spread, multi_index, secrets, simhash, toxicity
+from tvpulse.llm.common import read, shared_folder
 
 QUERIES = {}
 
@@ -37,11 +37,39 @@ def op4_toxicity(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op5_multi_index(spark, sf_dir):
+    vectors = multi_index.valid_vectors(read(spark, sf_dir, "embeddings"))
+    index, entries = multi_index.build(vectors)
+    return multi_index.search(vectors.filter("vec_id % 20 = 0"), index, entries)
+
+
+def _of_kind(kind, span):
+    return span["kind"] == kind
+
+
+@query
+def op6_secret_ledger(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(spark, shared_folder(spark, "secret-ledger"))
+    secrets.update(docs, ledger)
+    spans, base = F.col("spans"), F.filter("spans", lambda s: s["order"] < len(secrets.BASE))
+    count = [F.size(F.filter("spans", partial(_of_kind, r.kind))).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
+    return secrets.findings_of(docs, ledger).select(
+        "doc.doc_id", *count, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
+
+
 @query
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op8_langid(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 @query
 def op9_line_spread(spark, sf_dir):
     kept = line_spread.remove_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -57,4 +85,4 @@ def op10_decontaminate(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-ORACLES = {"op9_line_spread": line_spread.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
+ORACLES = {"op6_secret_ledger": secrets.ORACLE, "op9_line_spread": line_spread.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
