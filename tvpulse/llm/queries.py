@@ -6,7 +6,7 @@ from functools import cache, partial
 
 from pyspark.sql import functions as F
 
-from tvpulse.llm import byte_bpe, decontaminate, langid, line_spread, multi_index, secrets, simhash, toxicity
+from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, secrets, simhash, toxicity
 from tvpulse.llm.common import read, shared_folder
 
 QUERIES = {}
@@ -23,6 +23,12 @@ def public_bpe(name: str = "byte_bpe_50k.tiktoken") -> byte_bpe.ByteBPE:
     return byte_bpe.ByteBPE(byte_bpe.load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN)
 
 
+@query
+def op1_html_blocks(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.train(pages))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(read(spark, sf_dir, "documents"), public_bpe())
