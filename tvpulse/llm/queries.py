@@ -6,7 +6,7 @@ from functools import cache, partial
 
 from pyspark.sql import functions as F
 
-from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, secrets, simhash, toxicity
+from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, secrets, simhash, suffix_dedup, toxicity
 from tvpulse.llm.common import read, shared_folder
 
 QUERIES = {}
@@ -29,6 +29,11 @@ def op1_html_blocks(spark, sf_dir):
     return html_blocks.extract(pages, html_blocks.train(pages))
 
 
+@query
+def op2_suffix_merge(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(read(spark, sf_dir, "documents"), public_bpe())
