@@ -39,6 +39,8 @@ SHARE = 0.75
 CHUNK = 2048
 #: Queries ranked against a chunk at a time.
 QUERIES = 256
+#: Partial results that a task holds at most, to combine them.
+HOLD = 600_000
 
 
 def valid_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -124,9 +126,34 @@ def build(vectors: DataFrame, sample: int = SAMPLE, max_centroids: int = MAX_CEN
     return MultiIndex(index.books, sizes), entries
 
 
+def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k best rows of every query: falling score, then rising id."""
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    first = np.concatenate(([True], query[1:] != query[:-1])) if len(query) else np.zeros(0, bool)
+    place = np.arange(len(query)) - np.flatnonzero(first)[np.cumsum(first) - 1] if len(query) else query
+    return query[place < k], ids[place < k], score[place < k]
+
+
+def _combined(found, k: int):
+    """Partial results of many cells, combined inside the task before they leave
+    it: at most ``k`` rows a query, unless more than HOLD rows are held."""
+    held, size = [], 0
+    for rows in found:
+        held.append(rows)
+        size += len(rows[0])
+        if size > HOLD:
+            held = [_best(*(np.concatenate(x) for x in zip(*held)), k)]
+            size = len(held[0][0])
+            if size > HOLD // 2:
+                yield held.pop()
+                size = 0
+    if size:
+        yield _best(*(np.concatenate(x) for x in zip(*held)), k)
+
+
 def _rank(batches: Iterator[pa.RecordBatch], k: int):
     """Rows sorted by (cell, chunk, side): entries first, then the queries that visit."""
-    names = ["query_id", "vec_id", "score"]
     at, ids, rows, waiting = None, [], [], []
 
     def flush():
@@ -146,7 +173,7 @@ def _rank(batches: Iterator[pa.RecordBatch], k: int):
             best = free[np.argsort(-s, kind="stable")[:k]]
             out.append((np.full(len(best), q), own[best], score[best]))
         waiting.clear()
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
+        return tuple(np.concatenate(c) for c in zip(*out))
 
     for b in batches:
         key = np.stack([b.column(i).to_numpy() for i in range(3)], axis=1)
@@ -203,7 +230,8 @@ def search(queries: DataFrame, index: MultiIndex, entries: DataFrame, k: int = 2
             F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("long"))
     both = split.select("cell", "chunk", F.lit(0).cast("long").alias("side"), "vec_id", "v").unionByName(visits)
     found = both.repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "side").mapInArrow(
-        lambda it: _rank(it, k), "query_id long, vec_id long, score double")
+        lambda it: (pa.RecordBatch.from_arrays([pa.array(c) for c in rows], names=["query_id", "vec_id", "score"])
+                    for rows in _combined(_rank(it, k), k)), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
