@@ -66,7 +66,7 @@ def op6_secret_ledger(spark, sf_dir):
     secrets.update(docs, ledger)
     spans, base = F.col("spans"), F.filter("spans", lambda s: s["order"] < len(secrets.BASE))
     count = [F.size(F.filter("spans", partial(_of_kind, r.kind))).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
-    return secrets.findings_of(docs, ledger).select(
+    return secrets.findings_of(docs, ledger, keep=["doc_id"]).select(
         "doc.doc_id", *count, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
 
 

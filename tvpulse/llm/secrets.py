@@ -112,15 +112,17 @@ def update(docs: DataFrame, ledger: Ledger, text: str = "text", rules: tuple[Rul
     return ledger.scans().count() - before
 
 
-def findings_of(docs: DataFrame, ledger: Ledger, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def findings_of(docs: DataFrame, ledger: Ledger, text: str = "text", rules: tuple[Rule, ...] = RULES,
+                keep: list[str] | None = None) -> DataFrame:
     """(doc struct, spans): spans are (start, order, kind, end), sorted; ``doc``
-    holds every input column, ``order`` is the rule's place in ``rules``."""
+    holds the columns ``keep`` (all by default), ``order`` is the rule's place
+    in ``rules``."""
     current = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.lit(i).alias("order"))
                         for i, r in enumerate(rules)])
     rule = F.filter(current, lambda r: (r["kind"] == F.col("kind")) & (r["version"] == F.col("version")))
     spans = ledger.findings().withColumn("order", F.get(rule, F.lit(0))["order"]).filter("`order` IS NOT NULL") \
         .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "order", "kind", "end"))).alias("spans"))
-    rows = docs.select(F.struct("*").alias("doc"), blob_id(text).alias("blob"))
+    rows = docs.select(F.struct(*(keep or ["*"])).alias("doc"), blob_id(text).alias("blob"))
     none = F.array().cast("array<struct<start:bigint,order:int,kind:string,end:bigint>>")
     return rows.join(spans, "blob", "left").select("doc", F.coalesce("spans", none).alias("spans"))
 
