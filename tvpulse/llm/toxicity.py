@@ -173,7 +173,7 @@ class ToxicityModel:
 
 def prior_weights() -> np.ndarray:
     """Before any label: a clause counts less if negated or reported, more if aimed."""
-    w = [(3.0 if kind == INSULT else 2.0) + aimed - 1.5 * negated - 1.0 * reported for kind, aimed, negated, reported in PATTERNS]
+    w = [(4.0 if kind == INSULT else 3.0) + aimed - 1.5 * negated - 1.0 * reported for kind, aimed, negated, reported in PATTERNS]
     return np.array([*w, 0.5, 0.2, -2.5])
 
 
