@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tvpulse.functions.joins import join_null_safe
+
 
 def cumulative_before(df: DataFrame, partition_cols: list[str], order_cols: list[str], bucket: Column,
                       weight: Column | None = None, out: str = "_before") -> DataFrame:
@@ -22,7 +24,7 @@ def cumulative_before(df: DataFrame, partition_cols: list[str], order_cols: list
     totals = b.groupBy(*keys).agg(F.sum("_w").alias("_bw"))
     over_buckets = Window.partitionBy(*partition_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*keys, F.coalesce(F.sum("_bw").over(over_buckets), F.lit(0)).alias("_carry"))
-    b = b.join(totals, keys)
+    b = join_null_safe(b, totals, keys)
     inside = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     return (b.withColumn(out, F.col("_carry") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
             .drop("_bucket", "_w", "_carry"))

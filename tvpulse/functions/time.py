@@ -52,8 +52,9 @@ def minutes_sum(c="VIEW_MINUTES") -> Column:
     """Exact, order-independent sum of a minutes column.
 
     Minute values are microsecond counts / 6e7, so each converts back to its
-    integer microseconds exactly; summing BIGINTs and dividing once gives the
+    integer microseconds exactly; summing them as DECIMAL(38,0), which can't
+    overflow, and dividing once gives the
     same double on every engine and every partitioning (a DOUBLE sum does not).
     """
-    micros = F.round(_col(c) * F.lit(float(MICROS_PER_MINUTE))).cast("bigint")
+    micros = F.round(_col(c) * F.lit(float(MICROS_PER_MINUTE))).cast("decimal(28,0)")
     return F.sum(micros).cast("double") / F.lit(float(MICROS_PER_MINUTE))

@@ -17,11 +17,12 @@ def eval_auc(scored: DataFrame, label: str = "TARGET_F1", score: str = "PROB_F1"
     the bucketed prefix (probabilities bucket into 1,024 slices)."""
     per_score = scored.groupBy(score).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg"))
+    pos = F.col("_pos").cast("decimal(19,0)")
     ranked = cumulative_before(per_score, [], [score], unit_bucket(F.col(score)), F.col("_neg"), "_neg_below")
-    agg = ranked.agg(F.sum(F.col("_pos") * F.col("_neg_below") * 2 + F.col("_pos") * F.col("_neg")).alias("_num2"),
+    agg = ranked.agg(F.sum(pos * (F.col("_neg_below") * 2 + F.col("_neg")).cast("decimal(19,0)")).alias("_num2"),
                      F.sum("_pos").alias("POSITIVES"), F.sum("_neg").alias("NEGATIVES"))
     return agg.select(
-        (F.col("_num2").cast("double") / F.nullif(F.col("POSITIVES") * F.col("NEGATIVES") * 2, F.lit(0)).cast("double"))
+        (F.col("_num2").cast("double") / F.nullif(F.col("POSITIVES").cast("double") * F.col("NEGATIVES") * 2, F.lit(0.0)))
         .alias("ROC_AUC"), "POSITIVES", "NEGATIVES")
 
 

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tvpulse.functions.joins import join_null_safe
 from tvpulse.functions.time import micros_between
 
 FOLD_KEYS = ("DEVICE_ID", "NETWORK_ID", "GENRE")
@@ -36,15 +37,14 @@ def _hour_chunk(ts: str):
     return F.floor(micros_between(F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(ts)) / F.lit(_HOUR_MICROS))
 
 
-def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end: str = "VIEW_TO",
-                   tiebreak: str = "EVENT_ID") -> DataFrame:
+def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end: str = "VIEW_TO") -> DataFrame:
     """Folded intervals (keys, start, end, SOURCE_ROWS).
 
     Rows of a group with the same start are interchangeable for the fold (the
     first may open a new interval, the others cannot), so they are first
     combined map-side into one row with the latest end and their row count:
-    exact copies or bursts sharing a start never pile up in one window. The
-    ``tiebreak`` column only orders rows that this step already combines."""
+    exact copies or bursts sharing a start never pile up in one window. NULL
+    keys form groups of their own."""
     keys = list(keys)
     ck = keys + ["_chunk"]
     rows = (df.groupBy(*keys, start).agg(F.max(end).alias(end), F.count(F.lit(1)).alias("_w"))
@@ -54,7 +54,7 @@ def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end:
     # 1. carry-in of max end from earlier chunks
     chunk_max = (rows.groupBy(*ck).agg(F.max(end).alias("_cmax"))
                  .select(*ck, F.max("_cmax").over(earlier_chunks).alias("_carry_end")))
-    rows = rows.join(chunk_max, ck)
+    rows = join_null_safe(rows, chunk_max, ck)
 
     # 2. open flag from carry + local running max (starts are unique per group now)
     local = Window.partitionBy(*ck).orderBy(start)
@@ -67,7 +67,7 @@ def fold_intervals(df: DataFrame, keys=FOLD_KEYS, start: str = "VIEW_FROM", end:
     # 3. fold id = latest opening start, carrying across chunks
     chunk_open = (rows.groupBy(*ck).agg(F.max("_local_open").alias("_copen"))
                   .select(*ck, F.max("_copen").over(earlier_chunks).alias("_carry_open")))
-    rows = rows.join(chunk_open, ck).withColumn(
+    rows = join_null_safe(rows, chunk_open, ck).withColumn(
         "_fold", F.coalesce(F.col("_local_open"), F.col("_carry_open")))
 
     # 4. one row per folded interval

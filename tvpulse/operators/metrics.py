@@ -53,7 +53,7 @@ def network_share(daily: DataFrame) -> DataFrame:
     window over it runs on a handful of rows.
     """
     per_station = kpi(daily, "network")
-    micros = F.round(F.col("TOTAL_MINUTES") * F.lit(6e7)).cast("bigint")
+    micros = F.round(F.col("TOTAL_MINUTES") * F.lit(6e7)).cast("decimal(28,0)")
     total = F.sum(micros).over(Window.partitionBy()).cast("double") / F.lit(6e7)
     return per_station.select(
         "NETWORK_ID", "TOTAL_MINUTES",

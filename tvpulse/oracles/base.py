@@ -17,9 +17,9 @@ base AS (
          CASE WHEN user_id % 6 = 0 AND event_id % 3 <> 0 THEN 'DRAMA' ELSE {_GENRE_CASE} END AS g
   FROM events
 ), typed AS (
-  SELECT 'E' || lpad(cast(event_id AS varchar), 8, '0') AS EVENT_ID,
+  SELECT 'E' || lpad(cast(event_id AS varchar), greatest(8, length(cast(event_id AS varchar)))::INTEGER, '0') AS EVENT_ID,
          'NW0' || cast(event_id % 5 + 1 AS varchar) AS NETWORK_ID,
-         'C' || lpad(cast(user_id + 1 AS varchar), 6, '0') AS DEVICE_ID,
+         'C' || lpad(cast(user_id + 1 AS varchar), greatest(6, length(cast(user_id + 1 AS varchar)))::INTEGER, '0') AS DEVICE_ID,
          ts AS VIEW_FROM,
          CASE WHEN event_id % 101 = 7 THEN ts - INTERVAL '5' MINUTE
               WHEN event_id % 103 = 9 THEN ts + INTERVAL '86401' SECOND
@@ -75,7 +75,7 @@ audience AS (
 
 LABELS = """
 device_labels AS (
-  SELECT 'C' || lpad(cast(user_id + 1 AS varchar), 6, '0') AS DEVICE_ID,
+  SELECT 'C' || lpad(cast(user_id + 1 AS varchar), greatest(6, length(cast(user_id + 1 AS varchar)))::INTEGER, '0') AS DEVICE_ID,
          user_id % 2 = 0 AS LABEL_AVAILABLE,
          CASE WHEN user_id % 2 = 0 THEN cast(CASE WHEN user_id % 6 = 0 THEN 1 ELSE 0 END AS int) END AS TARGET_F1
   FROM (SELECT DISTINCT user_id FROM events) u
@@ -87,28 +87,27 @@ predictions AS (
          'TV_F1_PRESENCE_MODEL' AS MODEL_NAME, 'V1' AS MODEL_VERSION,
          cast('2024-02-01 00:00:00' AS timestamp) AS PREDICTED_AT,
          cast(0.5 AS double) AS PREDICTION_THRESHOLD, 'F1_SIGNAL_V2' AS DATASET_VERSION
-  FROM (SELECT 'C' || lpad(cast(user_id + 1 AS varchar), 6, '0') AS DEVICE_ID,
+  FROM (SELECT 'C' || lpad(cast(user_id + 1 AS varchar), greatest(6, length(cast(user_id + 1 AS varchar)))::INTEGER, '0') AS DEVICE_ID,
                cast((user_id * 37) % 101 AS double) / 100 AS PROB_F1
         FROM (SELECT DISTINCT user_id FROM events) u) x
 )"""
 
 PROGRAM_MASTER = f"""
 program_master AS (
-  SELECT 'P' || lpad(cast(p_partkey AS varchar), 4, '0') AS PROGRAM_ID, p_name AS PROGRAM_NAME,
+  SELECT 'P' || lpad(cast(p_partkey AS varchar), greatest(4, length(cast(p_partkey AS varchar)))::INTEGER, '0') AS PROGRAM_ID, p_name AS PROGRAM_NAME,
          'NW0' || cast(p_partkey % 5 + 1 AS varchar) AS NETWORK_ID, {_PART_GENRE} AS GENRE,
-         CASE WHEN p_partkey < 20 THEN 'MORNING' WHEN p_partkey < 40 THEN 'DAY' ELSE 'PRIME' END AS TIME_SLOT,
+         CASE WHEN p_partkey % 60 < 20 THEN 'MORNING' WHEN p_partkey % 60 < 40 THEN 'DAY' ELSE 'PRIME' END AS TIME_SLOT,
          cast((p_partkey % 4 + 1) * 30 AS decimal(4,0)) AS DURATION_MIN, p_type AS SYNOPSIS
-  FROM part WHERE p_partkey < 60
+  FROM part
 )"""
 
 PROGRAM_SCHEDULE = """
 program_schedule AS (
-  SELECT 'P' || lpad(cast(p_partkey AS varchar), 4, '0') AS PROGRAM_ID,
+  SELECT 'P' || lpad(cast(p_partkey AS varchar), greatest(4, length(cast(p_partkey AS varchar)))::INTEGER, '0') AS PROGRAM_ID,
          'NW0' || cast(p_partkey % 5 + 1 AS varchar) AS NETWORK_ID, d AS AIR_DATE,
-         cast(d AS timestamp) + INTERVAL '1' MINUTE * ((p_partkey - p_partkey % 5) * 24) AS AIR_FROM,
-         cast(d AS timestamp) + INTERVAL '1' MINUTE * ((p_partkey - p_partkey % 5) * 24 + (p_partkey % 4 + 1) * 30) AS AIR_TO
+         cast(d AS timestamp) + INTERVAL '1' MINUTE * ((p_partkey % 60 - p_partkey % 5) * 24) AS AIR_FROM,
+         cast(d AS timestamp) + INTERVAL '1' MINUTE * ((p_partkey % 60 - p_partkey % 5) * 24 + (p_partkey % 4 + 1) * 30) AS AIR_TO
   FROM part CROSS JOIN (SELECT DISTINCT cast(ts AS date) AS d FROM events) days
-  WHERE p_partkey < 60
 )"""
 
 _ORDER = ["RAW", "CLEAN", "DAILY", "MINUTES", "AUDIENCE", "LABELS", "PREDICTIONS",

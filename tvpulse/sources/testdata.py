@@ -30,8 +30,14 @@ def _genre_by_code(code: Column) -> Column:
     return F.element_at(F.array(*[F.lit(g) for g in GENRES]), (code + 1).cast("int"))
 
 
+def _padded(number, width: int):
+    """Zero-padded text; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def _device_id(user_id: Column) -> Column:
-    return F.concat(F.lit("C"), F.lpad((user_id + 1).cast("string"), 6, "0"))
+    return F.concat(F.lit("C"), _padded(user_id + 1, 6))
 
 
 def viewing_log_from_events(events: DataFrame) -> DataFrame:
@@ -55,7 +61,7 @@ def viewing_log_from_events(events: DataFrame) -> DataFrame:
              .when(eid % 13 == 5, F.concat(F.lit("　"), g, F.lit("\t")))
              .otherwise(g))
     typed = events.select(
-        F.concat(F.lit("E"), F.lpad(eid.cast("string"), 8, "0")).alias("EVENT_ID"),
+        F.concat(F.lit("E"), _padded(eid, 8)).alias("EVENT_ID"),
         F.concat(F.lit("NW0"), (eid % 5 + 1).cast("string")).alias("NETWORK_ID"),
         _device_id(uid).alias("DEVICE_ID"),
         ts.alias("VIEW_FROM"),
@@ -102,32 +108,33 @@ def prediction_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def program_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """60 program types from ``part``."""
+    """A program per row of ``part``; keys repeat 60 kinds of programs."""
     k = F.col("p_partkey")
-    return table(spark, sf_dir, "part").filter(k < 60).select(
-        F.concat(F.lit("P"), F.lpad(k.cast("string"), 4, "0")).alias("PROGRAM_ID"),
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), _padded(k, 4)).alias("PROGRAM_ID"),
         F.col("p_name").alias("PROGRAM_NAME"),
         F.concat(F.lit("NW0"), (k % 5 + 1).cast("string")).alias("NETWORK_ID"),
         _genre_by_code(k % 8).alias("GENRE"),
-        F.when(k < 20, "MORNING").when(k < 40, "DAY").otherwise("PRIME").alias("TIME_SLOT"),
+        F.when(k % 60 < 20, "MORNING").when(k % 60 < 40, "DAY").otherwise("PRIME").alias("TIME_SLOT"),
         ((k % 4 + 1) * 30).cast("decimal(4,0)").alias("DURATION_MIN"),
         F.col("p_type").alias("SYNOPSIS"),
     )
 
 
 def program_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every program (part keys 0..59) aired on every observed day.
+    """Every program aired on every observed day.
 
-    Each observed day lists the 60 program keys and equi-joins ``part`` on the
-    key (the 60-row program side is broadcast), instead of a Cartesian product."""
+    The observed days (as many as the calendar has) become one array, which
+    every program explodes."""
     k = F.col("p_partkey")
-    days = (table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
-            .select("d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(59).cast("bigint"))).alias("p_partkey")))
-    programs = table(spark, sf_dir, "part").filter(k < 60).select("p_partkey")
-    start_min = (k - k % 5) * 24
+    days = [r["d"] for r in table(spark, sf_dir, "events").filter("ts IS NOT NULL")
+            .select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
+    dates = F.array(*[F.lit(d) for d in days]).cast("array<date>")
+    programs = table(spark, sf_dir, "part").select("p_partkey", F.explode(dates).alias("d"))
+    start_min = (k % 60 - k % 5) * 24
     day_start = F.col("d").cast("timestamp_ntz")
-    return days.join(F.broadcast(programs), "p_partkey").select(
-        F.concat(F.lit("P"), F.lpad(k.cast("string"), 4, "0")).alias("PROGRAM_ID"),
+    return programs.select(
+        F.concat(F.lit("P"), _padded(k, 4)).alias("PROGRAM_ID"),
         F.concat(F.lit("NW0"), (k % 5 + 1).cast("string")).alias("NETWORK_ID"),
         F.col("d").alias("AIR_DATE"),
         F.timestamp_add("MINUTE", start_min, day_start).alias("AIR_FROM"),
