@@ -54,14 +54,49 @@ def test_vector_search_returns_members_of_the_label(spark):
     assert max(r.RANK for r in rows) == 3
 
 
-def test_text_search_numpy_and_join_paths_agree(spark):
-    docs = testdata.table(spark, SF001, "documents")
-    bench = testdata.table(spark, SF001, "benchmark").select(
-        F.col("item_id").alias("QUERY_ID"), F.col("text").alias("QUERY_TEXT"))
-    a = SR.text_topk(docs, bench, k=3, method="numpy").collect()
-    b = SR.text_topk(docs, bench, k=3, method="join").collect()
-    assert len(a) == len(b) > 0
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+def test_text_search_equals_brute_force_in_any_blocks(spark, monkeypatch):
+    """Emoji, line separators, ties and empty texts; one block and many."""
+    import math
+    import re
+    from collections import Counter
+
+    texts = {1: "one \U0001F600 two", 2: "one \u2028 two\u0085", 3: None, 4: "", 5: "x", 6: "One  two",
+             7: "one two", 8: "\U0001F600\U0001F600\U0001F600", 9: "nothing like it: 7531"}
+    asked = {1: "one two", 2: "a \u2028 b", 3: "\U0001F600\U0001F600", 4: "", 5: "zq#~"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string").repartition(3)
+    queries = spark.createDataFrame(list(asked.items()), "QUERY_ID int, QUERY_TEXT string")
+
+    def grams(t):
+        t = re.sub(r"[ \t\n\x0b\f\r]+", " ", (t or "").lower())
+        return Counter(zip(t, t[1:]))
+
+    tf = {i: grams(t) for i, t in texts.items()}
+    df = Counter(g for c in tf.values() for g in c)
+    weigh = lambda c: {g: n * (math.log((1 + len(texts)) / (1 + df[g])) + 1) for g, n in c.items()}
+    norm = lambda w: math.sqrt(sum(v * v for v in w.values()))
+    want = []
+    for q, t in asked.items():
+        w = weigh(grams(t))
+        found = []
+        for i, c in tf.items():
+            d = weigh(c)
+            if set(w) & set(d):
+                found.append((-round(sum(w[g] * d[g] for g in set(w) & set(d)) / norm(w) / norm(d), 9), i))
+        want += [(q, i, -s, r) for r, (s, i) in enumerate(sorted(found)[:3], 1)]
+    for cells in (SR.BLOCK_CELLS, 1):
+        monkeypatch.setattr(SR, "BLOCK_CELLS", cells)
+        got = SR.text_topk(docs, queries, k=3).select("QUERY_ID", "doc_id", "SCORE", "RANK").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_text_search_tasks_keep_at_most_k_rows_per_query(spark):
+    import pandas as pd
+
+    weights = pd.DataFrame({"QUERY_ID": [1, 2], "GRAM": [(97 << 21) | 98, (98 << 21) | 97], "W": [1.0, 1.0]})
+    batches = [pd.DataFrame({"doc_id": range(n, n + 3000), "_t": ["aba"] * 3000, "_norm": [1.0] * 3000})
+               for n in (0, 3000)]
+    kept = pd.concat(SR._block_best(spark, "doc_id", weights, 3)(iter(batches)))
+    assert sorted(zip(kept.QUERY_ID, kept.doc_id)) == [(q, d) for q in (1, 2) for d in (0, 1, 2)]
 
 
 def test_typed_reader_matches_names_ignoring_case_and_aborts_on_bad_values(spark, scratch):

@@ -1,6 +1,7 @@
 """Every check is empty on the clean pipeline and fires on its mutation."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +159,13 @@ def test_report_gate_requires_every_check():
     with pytest.raises(B.GateError):
         B.assert_all_passed(rows, {"NW01": B.STATION_CHECKS})
 
+
+
+def test_publishing_rows_of_an_unknown_station_fails(spark, scratch):
+    raw = Pipeline(spark, SF001).raw
+    for station in ("NW09", None):
+        odd = raw.withColumn("NETWORK_ID", F.when(F.col("EVENT_ID") == "E00000001", F.lit(station))
+                             .otherwise(F.col("NETWORK_ID")))
+        assert B.outside_stations(odd).count() == 1
+    with pytest.raises(B.GateError, match="raw_network"):
+        B.publish_common(odd, f"{scratch}/unknown-{uuid.uuid4().hex}")

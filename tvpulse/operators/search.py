@@ -1,14 +1,14 @@
 """top-k similarity search over vectors and over whole texts.
 
-Both are equi-joins between a (small, bounded) query side and the full
-corpus, followed by a per-query top-k that Catalyst limits partially before
-the shuffle. Scores are cosine similarities; ranking uses the score rounded
+F1 joins its queries to the corpus on the filter value; F2 scores blocks of
+queries in each task. A per-query top-k, limited before the shuffle, follows. Scores are cosine similarities; ranking uses the score rounded
 to 9 decimals, then the id, so exact copies tie deterministically.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tvpulse.session import checkpoint_dir
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -48,12 +49,16 @@ def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col="vec_i
     docs = corpus.select(id_col, *( [filter_col] if filter_col else []),
                          F.col(vec_col).cast("array<double>").alias("_v"))
     docs = docs.withColumn("_n", _norm(F.col("_v")))
-    q = queries.withColumn("_qn", _norm(F.col("QUERY_VECTOR")))
-    if filter_col:
-        joined = docs.join(q, docs[filter_col] == q["FILTER_VALUE"])
-    else:
+    if not filter_col:
         raise ValueError("an attribute filter column is required (unfiltered search would pair every row "
                          "with every query)")
+    checkpoint_dir(corpus.sparkSession)
+    q = queries.withColumn("_qn", _norm(F.col("QUERY_VECTOR"))).checkpoint()
+    # a few labels hold most rows, so the corpus isn't shuffled by label while
+    # the queries are small; beyond that AQE splits the skewed labels
+    if (q.agg(F.sum(F.size("QUERY_VECTOR"))).first()[0] or 0) <= BLOCK_CELLS:
+        q = F.broadcast(q)
+    joined = docs.join(q, docs[filter_col] == q["FILTER_VALUE"])
     scored = joined.select(
         "QUERY_ID", id_col,
         F.round(_dot(F.col("_v"), F.col("QUERY_VECTOR")) / (F.col("_n") * F.col("_qn")), 9).alias("SCORE"))
@@ -66,19 +71,13 @@ def normalize_text(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"\s+", " ")
 
 
-def char_bigrams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, GRAM, TF) for every character bigram of the whole normalised text.
-
-    Overlapping bigrams come from one zero-width lookahead match per position
-    (linear in the text; index-based substring would rescan UTF-8 from the
-    start for every position). Kept as the all-JVM reference for
-    ``bigram_counts``."""
-    t = normalize_text(F.col(text_col))
-    grams = df.select(id_col, F.explode(F.regexp_extract_all(t, F.lit("(?=(..))"), 1)).alias("GRAM"))
-    return grams.groupBy(id_col, "GRAM").agg(F.count(F.lit(1)).alias("TF"))
+_CODE_BITS = 21  # every Unicode code point fits in 21 bits
 
 
-_CODE_BITS = 21  # every Unicode code point fits in 21 bits
+def _codes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct bigram codes of a text and their counts."""
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    return np.unique((cp[:-1] << _CODE_BITS) | cp[1:], return_counts=True)
 
 
 def _bigram_counter(id_col: str):
@@ -88,8 +87,7 @@ def _bigram_counter(id_col: str):
             for doc, text in zip(pdf[id_col].to_numpy(), pdf["_t"].to_numpy()):
                 if text is None or len(text) < 2:
                     continue
-                cp = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-                codes, counts = np.unique((cp[:-1] << _CODE_BITS) | cp[1:], return_counts=True)
+                codes, counts = _codes(text)
                 ids.append(np.full(len(codes), doc))
                 grams.append(codes)
                 tfs.append(counts)
@@ -111,129 +109,113 @@ def bigram_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.mapInPandas(_bigram_counter(id_col), f"{id_col} {id_type}, GRAM bigint, TF bigint")
 
 
-BROADCAST_GRAM_LIMIT = 2_000_000     # query-gram rows broadcast in the join path
-SCORER_VOCAB_LIMIT = 2_000_000       # corpus bigram vocabulary shipped to the numpy scorer (~32 MB)
-SCORER_QUERY_CELLS = 10_000_000      # query vocabulary x queries, dense weight cells (~80 MB)
-
+#: Weight cells (bigrams x queries) that one block of queries may broadcast (80 MB).
+BLOCK_CELLS = 10_000_000
+#: Texts that are scored together against a block.
+SCORED_TOGETHER = 1024
 
-def _use_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a corpus read as fewer splits than cores (a few large files)
-    before the per-text Python stages; a big input already has many splits
-    and is left as is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
-
-def _idf_table(doc_tf: DataFrame, n_docs: int) -> DataFrame:
-    return (doc_tf.groupBy("GRAM").agg(F.count(F.lit(1)).alias("DF"))
-            .select("GRAM", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("DF"))) + F.lit(1.0)).alias("IDF")))
+def _query_blocks(q_tf: DataFrame):
+    """Lists of query ids whose weight matrix stays within BLOCK_CELLS (one
+    query is always a block of its own at least)."""
+    block, grams = [], 0
+    for row in q_tf.groupBy("QUERY_ID").agg(F.count(F.lit(1)).alias("n")).orderBy("QUERY_ID").toLocalIterator():
+        if block and (grams + row["n"]) * (len(block) + 1) > BLOCK_CELLS:
+            yield block
+            block, grams = [], 0
+        block.append(row["QUERY_ID"])
+        grams += row["n"]
+    if block:
+        yield block
 
 
 def text_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
               query_id: str = "QUERY_ID", query_text: str = "QUERY_TEXT", filter_col: str | None = None,
-              filter_value=None, method: str = "auto") -> DataFrame:
+              filter_value=None) -> DataFrame:
     """character-bigram TF-IDF cosine, top ``k`` corpus texts per query.
 
-    IDF = ln((1 + N) / (1 + df)) + 1 over the (filtered) corpus, N being one
-    scalar count. Two exact strategies:
-
-    * ``numpy`` (default when both tables fit the limits): like MLlib's IDF,
-      the document-frequency table is aggregated in Spark and the small model
-      (corpus bigram vocabulary with IDF, and the query weight matrix) is
-      broadcast; every text is then counted, weighted, normed and scored
-      against all queries in one vectorised step inside ``mapInPandas``. No
-      (document gram x query) rows are materialised.
-    * ``join``: all JVM. String bigrams from ``regexp_extract_all``, document
-      grams equi-join the query grams on GRAM (query side broadcast after its
-      size check) and a partial aggregate sums per (query, document); used
-      when the vocabulary or query matrix is too big.
-    """
+    A bigram is two neighbouring code points of the normalised text, and
+    IDF = ln((1 + N) / (1 + df)) + 1 over the (filtered) corpus. One exact
+    method at every size:
+
+    1. document frequencies and the norm of every text are Spark aggregates
+       (the IDF table is checkpointed and never collected);
+    2. queries are dealt into blocks of at most BLOCK_CELLS weights, and each
+       block's weights, already divided by the query's norm, are broadcast;
+    3. each block scores every text in one vectorised pass in which a task
+       keeps only its best ``k`` per query, so at most k x queries rows leave
+       a task.
+
+    Null texts and texts of one character share no bigram and are never found.
+    Ids must be unique and not null."""
     if filter_col is not None:
         corpus = corpus.filter(F.col(filter_col) == F.lit(filter_value))
-    corpus = _use_all_cores(corpus, id_col)
+    checkpoint_dir(corpus.sparkSession)
     n_docs = corpus.count()
-    q = queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt"))
-    unseen = float(math.log(1.0 + n_docs) + 1.0)
-    if method in ("auto", "numpy"):
-        doc_tf = bigram_counts(corpus, id_col, text_col)
-        idf = _idf_table(doc_tf, n_docs)
-        q_tf = bigram_counts(q, "QUERY_ID", "_qt")
-        q_stats = q_tf.agg(F.count_distinct("GRAM").alias("v"), F.count_distinct("QUERY_ID").alias("q")).first()
-        if (q_stats["v"] or 0) * (q_stats["q"] or 0) <= SCORER_QUERY_CELLS or method == "numpy":
-            # one pass: the collect itself is capped one row past the bound
-            model = idf.limit(SCORER_VOCAB_LIMIT + 1).toPandas()
-            if len(model) <= SCORER_VOCAB_LIMIT or method == "numpy":
-                scored = _numpy_scores(corpus, id_col, text_col, model, q_tf, unseen)
-                return _top_k(scored, "QUERY_ID", id_col, k)
-    # all-JVM path: string bigrams from regexp_extract_all, joins and aggregates
-    doc_tf = char_bigrams(corpus, id_col, text_col)
-    idf = _idf_table(doc_tf, n_docs)
-    q_tf = char_bigrams(q, "QUERY_ID", "_qt")
-    doc_w = doc_tf.join(idf, "GRAM").select(id_col, "GRAM", (F.col("TF") * F.col("IDF")).alias("WD"))
-    doc_norm = doc_w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("WD") * F.col("WD"))).alias("DN"))
-    q_w = (q_tf.join(idf, "GRAM", "left")
-           .select("QUERY_ID", "GRAM", (F.col("TF") * F.coalesce(F.col("IDF"), F.lit(unseen))).alias("WQ")))
+    q_tf = bigram_counts(queries.select(F.col(query_id).alias("QUERY_ID"), F.col(query_text).alias("_qt")),
+                         "QUERY_ID", "_qt")
+    doc_tf = bigram_counts(corpus, id_col, text_col)
+    idf = (doc_tf.groupBy("GRAM").agg(F.count(F.lit(1)).alias("DF"))
+           .select("GRAM", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("DF"))) + F.lit(1.0)).alias("IDF"))
+           .checkpoint())
+    weight = F.col("TF") * F.coalesce(F.col("IDF"), F.lit(math.log(1.0 + n_docs) + 1.0))
+    norms = (doc_tf.join(idf, "GRAM").groupBy(id_col)
+             .agg(F.sqrt(F.sum(weight * weight)).alias("_norm")))
+    texts = (corpus.select(id_col, normalize_text(F.col(text_col)).alias("_t")).join(norms, id_col))
+    # a text adds TF * IDF per bigram, so the IDF is folded into the query's side
+    q_w = q_tf.join(idf, "GRAM", "left").select("QUERY_ID", "GRAM", weight.alias("WQ"), "IDF").checkpoint()
     q_norm = q_w.groupBy("QUERY_ID").agg(F.sqrt(F.sum(F.col("WQ") * F.col("WQ"))).alias("QN"))
-    query_chars = q.agg(F.coalesce(F.sum(F.length("_qt")), F.lit(0))).first()[0]
-    q_side = F.broadcast(q_w) if query_chars <= BROADCAST_GRAM_LIMIT else q_w
-    dots = (doc_w.join(q_side, "GRAM")
-            .groupBy("QUERY_ID", id_col).agg(F.sum(F.col("WD") * F.col("WQ")).alias("DOT")))
-    scored = (dots.join(doc_norm, id_col).join(q_norm, "QUERY_ID")
-              .select("QUERY_ID", id_col,
-                      F.round(F.col("DOT") / (F.col("DN") * F.col("QN")), 9).alias("SCORE")))
-    return _top_k(scored, "QUERY_ID", id_col, k)
-
-
-def _numpy_scores(corpus: DataFrame, id_col: str, text_col: str, model: pd.DataFrame, q_tf: DataFrame,
-                  unseen: float) -> DataFrame:
-    """(QUERY_ID, id, SCORE) for every (query, text) pair sharing a bigram;
-    ``model`` is the collected (GRAM, IDF) table (size-checked by the caller)."""
-    spark = corpus.sparkSession
-    model = model.sort_values("GRAM")
-    vocab = model["GRAM"].to_numpy(np.int64)
-    vocab_idf = model["IDF"].to_numpy(np.float64)
-    qp = q_tf.toPandas()                                  # bounded by the query texts
-    pos = np.searchsorted(vocab, qp["GRAM"].to_numpy(np.int64))
-    pos_c = np.minimum(pos, max(len(vocab) - 1, 0))
-    seen = (len(vocab) > 0) & (vocab[pos_c] == qp["GRAM"].to_numpy(np.int64)) if len(vocab) else np.zeros(len(qp), bool)
-    qp["WQ"] = qp["TF"].to_numpy(np.float64) * np.where(seen, vocab_idf[pos_c] if len(vocab) else 0.0, unseen)
-    qp["QN"] = np.sqrt(qp.groupby("QUERY_ID")["WQ"].transform(lambda w: (w * w).sum()))
-    query_ids = np.sort(qp["QUERY_ID"].unique())
-    q_vocab = np.sort(qp["GRAM"].unique())
-    matrix = np.zeros((len(q_vocab), len(query_ids)))
-    matrix[np.searchsorted(q_vocab, qp["GRAM"].to_numpy(np.int64)),
-           np.searchsorted(query_ids, qp["QUERY_ID"].to_numpy())] = (qp["WQ"] / qp["QN"]).to_numpy()
-    shared = spark.sparkContext.broadcast((vocab, vocab_idf, q_vocab, matrix, query_ids))
-    id_type = corpus.schema[id_col].dataType.simpleString()
-    q_type = q_tf.schema["QUERY_ID"].dataType.simpleString()
-
-    def score(batches):
-        v, v_idf, qv, mat, qids = shared.value
-        for pdf in batches:
-            out_q, out_d, out_s = [], [], []
-            for doc, text in zip(pdf[id_col].to_numpy(), pdf["_t"].to_numpy()):
-                if text is None or len(text) < 2:
-                    continue
-                cp = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-                codes, counts = np.unique((cp[:-1] << _CODE_BITS) | cp[1:], return_counts=True)
-                w = counts * v_idf[np.searchsorted(v, codes)]
-                norm = np.sqrt(np.dot(w, w))
-                at = np.searchsorted(qv, codes)
-                hit = at < len(qv)
-                hit[hit] = qv[at[hit]] == codes[hit]
-                if not hit.any():
-                    continue
-                dots = w[hit] @ mat[at[hit]] / norm
-                nz = np.nonzero(dots)[0]
-                out_q.append(qids[nz])
-                out_d.append(np.full(len(nz), doc))
-                out_s.append(np.round(dots[nz], 9))
-            if out_q:
-                yield pd.DataFrame({"QUERY_ID": np.concatenate(out_q), id_col: np.concatenate(out_d),
-                                    "SCORE": np.concatenate(out_s)})
-
-    src = corpus.select(id_col, normalize_text(F.col(text_col)).alias("_t"))
-    return src.mapInPandas(score, f"QUERY_ID {q_type}, {id_col} {id_type}, SCORE double")
+    q_w = q_w.filter("IDF IS NOT NULL").join(q_norm, "QUERY_ID") \
+        .select("QUERY_ID", "GRAM", (F.col("WQ") / F.col("QN") * F.col("IDF")).alias("W"))
+    types = {"QUERY_ID": q_tf.schema["QUERY_ID"].dataType, id_col: corpus.schema[id_col].dataType}
+    out = ", ".join(f"`{c}` {t.simpleString()}" for c, t in types.items()) + ", SCORE double"
+    found = [texts.mapInPandas(_block_best(corpus.sparkSession, id_col,
+                                           q_w.filter(F.col("QUERY_ID").isin(block)).toPandas(), k), out)
+             for block in _query_blocks(q_tf)]
+    if not found:
+        found = [corpus.sparkSession.createDataFrame([], out)]
+    return _top_k(reduce(DataFrame.unionByName, found), "QUERY_ID", id_col, k)
+
+
+def _block_best(spark, id_col: str, weights: pd.DataFrame, k: int):
+    """A task's best ``k`` texts for every query of one block, as a function
+    for ``mapInPandas``; ``weights`` holds the block's (QUERY_ID, GRAM, W)."""
+    query_ids, q_at = np.unique(weights["QUERY_ID"].to_numpy(), return_inverse=True)
+    grams, g_at = np.unique(weights["GRAM"].to_numpy(np.int64), return_inverse=True)
+    matrix = np.zeros((len(grams), len(query_ids)))
+    matrix[g_at, q_at] = weights["W"].to_numpy(np.float64)
+    shared = spark.sparkContext.broadcast((query_ids, grams, matrix))
+
+    def cosines(texts, norms, grams, matrix):
+        """(texts x queries) cosines to 9 decimals; 0 shared bigrams give -1."""
+        out = np.full((len(texts), matrix.shape[1]), -1.0)
+        for row, (text, norm) in enumerate(zip(texts, norms)):
+            codes, counts = _codes(text)
+            at = np.minimum(np.searchsorted(grams, codes), len(grams) - 1)
+            hit = grams[at] == codes
+            dots = counts[hit] @ matrix[at[hit]]
+            out[row] = np.where(dots > 0, np.round(dots / norm, 9), -1.0)
+        return out
+
+    def best(batches):
+        query_ids, grams, matrix = shared.value
+        if not len(grams):
+            return
+        kept = []
+        for batch in batches:
+            for start in range(0, len(batch), SCORED_TOGETHER):
+                part = batch.iloc[start:start + SCORED_TOGETHER]
+                score = cosines(part["_t"], part["_norm"], grams, matrix)
+                # all that reach a query's k-th best here, ties included
+                cut = np.partition(score, -k, axis=0)[-k] if len(score) > k else np.full(score.shape[1], -1.0)
+                row, query = np.nonzero((score >= cut) & (score >= 0))
+                kept.append(pd.DataFrame({"QUERY_ID": query_ids[query], id_col: part[id_col].to_numpy()[row],
+                                          "SCORE": score[row, query]}))
+                kept = [pd.concat(kept).sort_values(["QUERY_ID", "SCORE", id_col], ascending=[True, False, True])
+                        .groupby("QUERY_ID").head(k)]
+        yield from kept
+
+    return best
 
 
 def genre_guide(spark) -> DataFrame:

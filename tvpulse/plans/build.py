@@ -29,6 +29,8 @@ STATION_CHECKS = (
     "audience_not_null", "audience_grain", "audience_recount")
 COMMON_CHECKS = ("common_daily_not_null", "common_daily_grain", "common_minute_not_null",
                  "common_minute_grain", "common_daily_totals", "common_minute_totals")
+#: The gate's own check: no raw row is outside the stations that were built.
+GATE_CHECKS = COMMON_CHECKS + ("raw_network",)
 
 
 class StationBuild:
@@ -152,12 +154,20 @@ def assert_all_passed(report_rows, required: dict[str, tuple[str, ...]]) -> None
         raise GateError(f"checks with violations: {failed}")
 
 
+def outside_stations(raw_all: DataFrame, stations=NETWORKS) -> DataFrame:
+    """Raw rows that no station's build takes: unknown or missing NETWORK_ID.
+    Known stations left out on purpose are not counted."""
+    known = F.col("NETWORK_ID").isin(sorted({*stations, *NETWORKS}))
+    return raw_all.filter(~F.coalesce(known, F.lit(False)))
+
+
 def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[str, str]:
     """Build each station, check everything, then write the common marts.
 
     Station marts are written first (full refresh, one folder per station,
     S11/S12) so checks and the common union read materialised tables instead
-    of recomputing lineage; the common marts are written only after the gate.
+    of recomputing lineage; the common marts are written only after the gate,
+    which also fails on raw rows of unknown stations.
     The report itself is a handful of rows (one per check).
     """
     spark = raw_all.sparkSession
@@ -180,10 +190,11 @@ def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[
         b.clean, b.daily, b.audience = read(s, "clean_viewing"), daily_by[s], aud_by[s]
         b.minutes = viewing_minutes(b.clean)
         parts.append(dq_report(station_checks(b), s))
-    parts.append(dq_report(common_checks(daily_by, aud_by, common_daily, common_aud), "COMMON"))
+    parts.append(dq_report(common_checks(daily_by, aud_by, common_daily, common_aud)
+                           | {"raw_network": outside_stations(raw_all, stations)}, "COMMON"))
     rows = reduce(DataFrame.unionByName, parts).collect()  # one row per check
     required = {s: STATION_CHECKS for s in stations}
-    required["COMMON"] = COMMON_CHECKS
+    required["COMMON"] = GATE_CHECKS
     assert_all_passed(rows, required)
     # write the new common version beside the current one, then switch the
     # pointer: readers never see a half-written or failed build
