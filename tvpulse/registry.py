@@ -2,8 +2,8 @@
 
 Every key reads the test tables under ``sf_dir`` (through the adapter in
 ``sources.testdata``) and builds its stages lazily with ``Pipeline``, so the
-work of each key grows with the data. Scopes are parameters: FULL covers the
-whole test period and all stations; FOCUS and the minute day exercise the
+work of each key grows with the data. Scopes are parameters: keys without one
+cover all days and stations; FOCUS and the minute day exercise the
 scope filter, previous-period comparison and one-day views.
 """
 
@@ -148,10 +148,16 @@ def q_kpi_network(spark, sf):
     return K.kpi(Pipeline(spark, sf).daily, "network")
 
 
-# ---- scopes used by the registered dashboard queries (parameters, defaults
-# cover the whole test period and all stations)
-FULL = Scope.of("2024-01-01", "2024-01-31")
+# ---- scopes used by the registered dashboard queries; keys without one cover
+# every day and station of the data
 FOCUS = Scope.of("2024-01-15", "2024-01-28", ("NW01", "NW02", "NW04"))
+def _whole_period(p: Pipeline) -> Scope:
+    """First to last viewing date of the data (A9) and all stations; exact
+    copies don't change it, so one scan of the valid rows is enough."""
+    day = F.to_date("VIEW_FROM")
+    return Scope.of(*C.valid_intervals_filter(p.raw).agg(F.min(day), F.max(day)).first())
+
+
 MINUTE_DAY = "2024-01-15"
 MINUTE_STATIONS = ("NW01", "NW03", "NW05")
 
@@ -163,22 +169,22 @@ def q_scope_filter(spark, sf):
 
 @query("kpi_summary")
 def q_kpi_summary(spark, sf):
-    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "summary")
+    return K.kpi(Pipeline(spark, sf).daily, "summary")
 
 
 @query("kpi_daily")
 def q_kpi_daily(spark, sf):
-    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "daily")
+    return K.kpi(Pipeline(spark, sf).daily, "daily")
 
 
 @query("kpi_genre")
 def q_kpi_genre(spark, sf):
-    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "genre")
+    return K.kpi(Pipeline(spark, sf).daily, "genre")
 
 
 @query("kpi_network_genre")
 def q_kpi_network_genre(spark, sf):
-    return K.kpi(FULL.apply(Pipeline(spark, sf).daily), "network_genre")
+    return K.kpi(Pipeline(spark, sf).daily, "network_genre")
 
 
 @query("minutes_per_device")
@@ -188,7 +194,7 @@ def q_minutes_per_device(spark, sf):
 
 @query("network_share")
 def q_network_share(spark, sf):
-    return K.network_share(FULL.apply(Pipeline(spark, sf).daily))
+    return K.network_share(Pipeline(spark, sf).daily)
 
 
 @query("date_bounds")
@@ -214,17 +220,21 @@ def q_conditional_sums(spark, sf):
 
 @query("calendar_reindex")
 def q_calendar_reindex(spark, sf):
-    return K.calendar_reindex(K.kpi(FULL.apply(Pipeline(spark, sf).daily), "daily"), FULL.start, FULL.end)
+    p = Pipeline(spark, sf)
+    period = _whole_period(p)
+    return K.calendar_reindex(K.kpi(p.daily, "daily"), period.start, period.end)
 
 
 @query("reach_7d")
 def q_reach_7d(spark, sf):
-    return D.trend_series(Pipeline(spark, sf).daily, FULL)
+    p = Pipeline(spark, sf)
+    return D.trend_series(p.daily, _whole_period(p))
 
 
 @query("trend_unpivot")
 def q_trend_unpivot(spark, sf):
-    return D.trend_unpivot(Pipeline(spark, sf).daily, FULL)
+    p = Pipeline(spark, sf)
+    return D.trend_unpivot(p.daily, _whole_period(p))
 
 
 @query("minute_series")
@@ -397,13 +407,13 @@ def q_prediction_distribution(spark, sf):
 @query("prediction_snapshot")
 def q_prediction_snapshot(spark, sf):
     p = Pipeline(spark, sf)
-    return P.prediction_snapshot(FULL.apply(p.daily), p.predictions)
+    return P.prediction_snapshot(p.daily, p.predictions)
 
 
 @query("prediction_snapshot_compact")
 def q_prediction_snapshot_compact(spark, sf):
     p = Pipeline(spark, sf)
-    return P.prediction_snapshot_compact(FULL.apply(p.daily), p.predictions)
+    return P.prediction_snapshot_compact(p.daily, p.predictions)
 
 
 @query("probability_histogram")
@@ -427,18 +437,18 @@ def q_dash_predictions(spark, sf):
 
 @query("metric_view_total")
 def q_metric_view_total(spark, sf):
-    return S.viewing_metric_view(Pipeline(spark, sf).daily).query(where=FULL.predicate())
+    return S.viewing_metric_view(Pipeline(spark, sf).daily).query()
 
 
 @query("metric_view_by")
 def q_metric_view_by(spark, sf):
     view = S.viewing_metric_view(Pipeline(spark, sf).daily)
-    return view.ask(["リーチ", "total_minutes", "セッション数"], ["局", "genre"], default_scope=FULL)
+    return view.ask(["リーチ", "total_minutes", "セッション数"], ["局", "genre"])
 
 
 @query("metric_view_reconcile")
 def q_metric_view_reconcile(spark, sf):
-    return S.reconcile(S.viewing_metric_view(Pipeline(spark, sf).daily), FULL.predicate())
+    return S.reconcile(S.viewing_metric_view(Pipeline(spark, sf).daily), F.lit(True))
 
 
 # ---- 2.11 machine learning (data side) ------------------------------------------------
