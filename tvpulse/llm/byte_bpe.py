@@ -159,7 +159,9 @@ def decode(encoded: DataFrame, bpe: ByteBPE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         coder = shared.value
         for b in slices(batches, 64):
-            raw = [coder.decode(ids) for ids in b.column(1).to_pylist()]
+            at = b.column(1).offsets.to_pylist()
+            ids = b.column(1).values.slice(at[0], at[-1] - at[0]).to_numpy().tolist()
+            raw = [coder.decode(ids[i - at[0]:j - at[0]]) for i, j in zip(at, at[1:])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], names=["doc_id", "ids", "bytes"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
