@@ -3,7 +3,7 @@
 Tier one: a minimal perfect hash (hash and displace) resolves pre-tokens that
 are vocabulary entries as a whole. Tier two: every other pre-token is merged
 by rank with a heap over linked bytes. The distinct pre-tokens of a slice of
-documents are looked up together; a bounded table remembers recent ones.
+documents are looked up together; two bounded tables remember recent ones.
 
 Defined results: a null or empty text has no ids and decodes to no bytes;
 repeated rows each get a row; other columns of the input are ignored; an empty
@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from tvpulse.llm.common import slices
 
-#: Pre-tokens that a Python worker remembers before it starts anew.
-REMEMBER = 150_000
+#: Pre-tokens that a Python worker remembers in each of two tables (some 60 MB
+#: each): when the newer is full it becomes the older, and the older goes.
+REMEMBER = 250_000
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -88,12 +89,13 @@ class ByteBPE:
             self.keys[slot], self.ids[slot] = key, rank
         self.tokens = {rank: key for key, rank in ranks.items()}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "split")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "older", "split")}
 
     def __setstate__(self, state):
-        self.__dict__ |= state | {"known": {}}
+        self.__dict__ |= state | {"known": {}, "older": {}}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Merge the lowest-ranked neighbours first: a heap over linked bytes."""
@@ -129,9 +131,11 @@ class ByteBPE:
             self.split = regex.compile(self.pattern).findall
         pieces = [self.split(t) for t in texts]
         if len(self.known) > REMEMBER:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         new = set(chain.from_iterable(pieces)).difference(self.known)
-        self.learn(list(new))
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        self.learn(list(new - again))
         return [list(chain.from_iterable(map(self.known.__getitem__, p))) for p in pieces]
 
     def decode(self, ids: list[int]) -> bytes:
