@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import pickle
 import re
 
 import duckdb
@@ -110,6 +111,22 @@ def test_bpe_equals_tiktoken(spark, docs, edges, empty):
     assert sorted(bpe.hash.slots(list(bpe.ranks)).tolist()) == list(range(len(bpe.ranks)))
 
 
+def test_bpe_forgets_and_remembers(monkeypatch, docs):
+    tiktoken, tokenizers = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
+    bpe = pickle.loads(pickle.dumps(queries.public_bpe()))
+    own = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=bpe.ranks, special_tokens={})
+    monkeypatch.setattr(byte_bpe, "REMEMBER", 100)
+    asked = []
+    learn = bpe.learn
+    bpe.learn = lambda pieces: (asked.extend(pieces), learn(pieces))
+    texts = ["the first words", "w" + " x".join(map(str, range(200))), "the first words", "the first words"]
+    for text in texts:
+        assert bpe.encode([text]) == [own.encode_ordinary(text)]
+    assert asked.count(" first") == 1 and " first" in bpe.known and " first" in bpe.older  # carried over, not merged again
+    for _, text in docs:
+        assert bpe.encode([text or ""]) == [own.encode_ordinary(text or "")]
+
+
 def test_simhash_equals_brute_force(spark, docs, edges, empty):
     got = by_id(simhash.near_duplicates(read(spark, SF, "documents")))
     want = {}
