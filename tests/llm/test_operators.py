@@ -251,6 +251,18 @@ def test_language_id(spark, edges, empty):
     assert langid.predict(edges, langid.train(empty)).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_id_learns_every_language(spark):
+    words = [f"{a}{b}{c}" for a in "bdfglmnprs" for b in "aeiou" for c in "xyz"][:140]
+    rows = [(i, f"{words[i % 70]} {words[70 + i % 70]} " * 3, f"q{i % 70:02d}") for i in range(700)] + [
+        (701, f"{words[0]} {words[70]} " * 3, "q00")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, per_language=4)
+    assert len(model.langs) == 70
+    got = langid.predict(docs, model).join(docs.distinct(), "doc_id").collect()
+    assert all(r["lang"] == r["lang_pred"] for r in got) and len(got) == len(rows)
+    assert langid.train(docs.filter("lang IS NULL")).langs == []
+
+
 def test_multi_index(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 16)).astype(np.float32)

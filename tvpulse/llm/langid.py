@@ -22,14 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tvpulse.llm.common import slices
 
 DIM = 4096
-#: Expected training rows of a language (all, if it has fewer); taken by hash.
+#: Training rows of a language (all, if it has fewer), least hash of the id first.
 PER_LANGUAGE = 1000
-#: Languages that are learned at most: those with the most rows.
-MAX_LANGUAGES = 64
+#: A language's rows are thinned by hash to about this many times PER_LANGUAGE
+#: before they are ranked, so that no task ranks all rows of a common language.
+SPARE = 2
 #: The family of well-known languages; any other is its own family.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af fy lb yi".split(),
@@ -115,18 +117,17 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
-    """Fit on a bounded sample: about ``per_language`` rows of each of the
-    ``max_languages`` commonest languages, chosen by a hash of the id."""
+def train(documents: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+    """Fit on a sample of every language that a training row names: at most
+    ``per_language`` rows of each, those with the least hash of the id."""
     own = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         "doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out())
-    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
-    if not sizes:
-        return LanguageModel([], np.zeros((0, DIM)), np.zeros(0, np.int64))
-    share = F.create_map(*[F.lit(v) for k, n in sizes.items() for v in (k, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    rows = own.filter(draw < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0)))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit((1 << 31) - 1)) / ((1 << 31) - 1)
+    # the least draw stays in, so that no language is thinned to nothing
+    sizes = own.groupBy("lang").agg(F.greatest(F.lit(SPARE * per_language) / F.count("*"), F.min(draw)).alias("reach"))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id", F.xxhash64("text"))
+    rows = own.withColumn("draw", draw).join(F.broadcast(sizes), "lang").filter("draw <= reach") \
+        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language).select("doc_id", "text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in slices(batches):
@@ -136,8 +137,9 @@ def train(documents: DataFrame, per_language: int = PER_LANGUAGE, max_languages:
     got = rows.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, x binary, lang string").collect()
     got.sort(key=lambda r: (r["doc_id"], r["lang"], r["x"]))
     langs = sorted({r["lang"] for r in got})
+    at = {lang: i for i, lang in enumerate(langs)}
     x = np.frombuffer(b"".join(r["x"] for r in got), np.float32).reshape(-1, DIM)
-    return LanguageModel(langs, x, np.array([langs.index(r["lang"]) for r in got], np.int64))
+    return LanguageModel(langs, x, np.array([at[r["lang"]] for r in got], np.int64))
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
