@@ -301,6 +301,36 @@ def test_html_extraction(spark):
     assert all(r["text"] == "" for r in html_blocks.extract(odd.filter("html IS NULL OR html = ''"), labeller).collect())
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>T</title><meta charset=x><style>s</style><body><p>one</p>", ["one"]),
+    ("<html><head><title>T</title><article><p>one</article>", ["one"]),
+    ("<html><HEAD><title>T</title>loose<script>x</script></HEAD><body><p>one</p>", ["one"]),
+    ("<head><title>T</title><b>one</b> two", ["one two"]),
+    ("<p>one <svg class='i'/> two</p><p>three", ["one two", "three"]),
+    ("<p>one <svg><title/><path d='1'> two</p><p>three</p>", ["one two", "three"]),
+    ("<p>a <math><mi>x</mi><mo>=</mo></math> b</p>", ["a x= b"]),
+    ("<p>one<math> two<p>three", ["one two", "three"]),
+    ("<object data=f><p>one</p></object><noscript><p>two</p></noscript><p>three</p>", ["one", "two", "three"]),
+    ("<p>one</p><canvas><video src=v><audio src=a><object><p>two</p>", ["one", "two"]),
+    ("<p>one</p><select><option>o<p>two</p>", ["one", "o", "two"]),
+    ("<p>one</p><script>x</script><template><p>no</p></template><iframe>no</iframe><textarea>no</textarea><p>two", ["one", "two"]),
+])
+def test_html_blocks_lose_no_text(page, want):
+    found = html_blocks.blocks(page)
+    assert [t for _, t, _ in found] == want
+    assert not any(html_blocks.furniture(path) for path, t, _ in found if t != "o")
+
+
+def test_html_extraction_of_odd_articles(spark):
+    pages = read(spark, "/root/testdata/sf0.01", "pages")
+    labeller = html_blocks.train(pages)
+    some = pages.filter("html LIKE '%</head>%' AND html LIKE '%<article>%'").limit(20)
+    plain = by_id(html_blocks.extract(some, labeller), "page_id")
+    icon = "regexp_replace(regexp_replace(html, '</head>', ''), '<article>', '<article><svg class=icon><canvas><video src=v><object data=o>')"
+    odd = by_id(html_blocks.extract(some.selectExpr("page_id", "url", f"{icon} AS html"), labeller), "page_id")
+    assert odd == plain and all(r["n_chars"] for r in odd.values())
+
+
 def test_pipeline_keeps_columns_and_handles_edges(spark, edges):
     import corpus_pipeline as P
     docs = edges.unionByName(edges.limit(0))

@@ -10,9 +10,13 @@ The labeller is trained here, on a bounded sample of the pages: labels come
 from the names of the ancestors, a part of the path evidence is hidden, and
 blocks of other kinds of furniture are mixed in, so that it also uses words
 and neighbours. Scripts, styles, comments, templates and the head never become
-blocks. Defined results: a null or empty page, or one without a main block,
-gives the empty text; unclosed and stray tags are tolerated; repeated rows
-each get a row; other columns are ignored; an empty table gives no rows.
+blocks; a head without an end tag ends at the body or the first block element.
+Text in math, svg, object, noscript, canvas, audio and video is text like any
+other. Defined results: a null or empty page, or one without a main block,
+gives the empty text; unclosed and stray tags are tolerated, but a script,
+style, title, template, frame or text area without its end tag takes the rest
+of the page, as in a browser; repeated rows each get a row; other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,11 +41,11 @@ DIM = PATH_DIM + WORD_DIM + 8
 DEPTH = 6
 
 #: HTML element names by the role they play here.
-SKIP = "script style noscript template iframe svg math object head title textarea select canvas audio video".split()
+SKIP = "script style template iframe title textarea".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
             "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre section "
-            "summary table tbody td tfoot th thead tr ul".split())
+            "select summary table tbody td tfoot th thead tr ul".split())
 #: Elements whose start ends an open paragraph or an open element of the same kind.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"},
             "option": {"option"}}
@@ -55,7 +59,8 @@ MAIN_TAGS = {"article", "main"}
 MAIN = set("article main content post story entry body text".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(SKIP) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    # <title/> of an svg is closed by its slash
+    r"<!--.*?(?:-->|\Z)|<(?!title\s*/>)(" + "|".join(SKIP) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z]+")
@@ -65,11 +70,11 @@ def blocks(page: str | None) -> list[tuple[tuple[tuple[str, ...], ...], str, int
     """Leaf blocks in page order: (names of the ancestors, nearest first; text;
     characters inside links)."""
     stack: list[tuple[str, tuple[str, ...]]] = []
-    out, text, linked = [], [], 0
+    out, text, linked, head = [], [], 0, False
 
-    def close():
+    def close(keep: bool = True):
         nonlocal linked
-        if body := " ".join(entities.unescape("".join(text)).split()):
+        if keep and (body := " ".join(entities.unescape("".join(text)).split())):
             out.append((tuple(names for _, names in reversed(stack)), body, linked))
         text.clear()
         linked = 0
@@ -83,8 +88,13 @@ def blocks(page: str | None) -> list[tuple[tuple[tuple[str, ...], ...], str, int
                     linked += len(t[0])
             continue
         tag = tag.lower()
+        if tag == "head":
+            close(keep=not head)
+            head = not ends and not out
+            continue
         if tag in BLOCK:
-            close()
+            close(keep=not (head and tag == "body"))
+            head = False
         elif tag == "br":
             text.append(" ")
         if ends:
@@ -95,6 +105,8 @@ def blocks(page: str | None) -> list[tuple[tuple[tuple[str, ...], ...], str, int
         if tag in VOID or attributes.endswith("/"):
             continue
         if tag in BLOCK:
+            if tag not in ("select", "option"):  # an unclosed list of choices ends here
+                del stack[next((i for i, (s, _) in enumerate(stack) if s == "select"), len(stack)):]
             ended = SIBLINGS.get(tag, set()) | {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in ended:
