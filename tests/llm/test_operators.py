@@ -241,6 +241,20 @@ def test_toxicity_grammar_reads_context():
     assert negated < plain and reported < plain < aimed
 
 
+@pytest.mark.parametrize("mark", ["'", "’", "ʼ"])
+def test_toxicity_reads_elided_words(mark):
+    model = toxicity.ToxicityModel({"idiot": 2.0})
+
+    def score(text):
+        return float(model.score(model.features(text.replace("'", mark))[None])[0])
+
+    assert score("C'est l'idiot.") == score("C'est le idiot.") >= 0.5
+    assert score("Pas d'idiot ici.") == score("Pas de idiot ici.") < score("d'idiot") == score("idiot")
+    assert score("You're an idiot.") == score("You an idiot.") > score("Here's an idiot.")
+    assert score("That isn't an idiot.") == score("That never an idiot.") < score("That is an idiot.")
+    assert score("It's the idiot's car.") == score("It the idiot car.")
+
+
 def test_language_id(spark, edges, empty):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     model = langid.train(docs)

@@ -47,7 +47,9 @@ REPORTS = ("said says say called calls reported claimed quote quoted wrote accor
 #: Words that a negation or a report reaches, and that link a target.
 NEAR = {"negated": 3, "reported": 8, "aimed": 3}
 CLAUSE_END = re.compile(r"[.!?;:\n]")
-TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)?|[\"“”«»]")
+#: Other apostrophes, read as '.
+APOSTROPHES = "’ʼ＇"
+TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[\"“”«»]")
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 FLAGS = ("aimed", "negated", "reported")
 #: An emitted pattern: insult or threat, with each flag off or on; then "target follows".
@@ -144,6 +146,8 @@ class ToxicityModel:
         """Pattern counts (log scale), targets that follow an insult, evidence."""
         x = np.zeros(len(PATTERNS) + 2)
         text = (text or "").lower()
+        for c in APOSTROPHES:
+            text = text.replace(c, "'")
         hits, i = self.matches(text), 0
         while i < len(hits):
             start = max((text.rfind(c, 0, hits[i][0]) for c in ".!?;:\n"), default=-1) + 1
@@ -155,17 +159,30 @@ class ToxicityModel:
                 i += 1
             state, since = 0, 9
             for t in TOKEN.finditer(text, start, stop):
-                symbol = own.get(t.start()) or self.words.get(t[0], OTHER)
-                state, out = self.arcs[state, symbol]
-                since += 1
-                if symbol in (INSULT, THREAT):
-                    kind, marks = out if isinstance(out, tuple) else (out, (0, 0, 0))
-                    x[self.column[kind, *marks]] += 1
-                    since = 0
-                elif symbol == TARGET and since <= 2:
-                    x[-2] += 1
+                for symbol in self._symbols(t, own):
+                    state, out = self.arcs[state, symbol]
+                    since += 1
+                    if symbol in (INSULT, THREAT):
+                        kind, marks = out if isinstance(out, tuple) else (out, (0, 0, 0))
+                        x[self.column[kind, *marks]] += 1
+                        since = 0
+                    elif symbol == TARGET and since <= 2:
+                        x[-2] += 1
         return np.log1p(x)
 
+    def _symbols(self, token: re.Match, hits: dict[int, int]) -> list[int]:
+        """A word's symbol; of a word with an apostrophe (you're, l'idiot) those
+        of its parts that have one, unless the whole word does (isn't)."""
+        start, word = token.start(), token[0]
+        if "'" not in word:
+            return [hits.get(start) or self.words.get(word, OTHER)]
+        if word in self.words and not any(start <= h < token.end() for h in hits):
+            return [self.words[word]]
+        rest = start + word.index("'") + 1
+        both = (hits.get(start) or self.words.get(word[:rest - start - 1], OTHER),
+                hits.get(rest) or self.words.get(word[rest - start:], OTHER))
+        return [s for s in both if s != OTHER] or [OTHER]
+
     def score(self, x: np.ndarray) -> np.ndarray:
         z = np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)
         return 1 / (1 + np.exp(-z))
