@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tvpulse.llm import byte_bpe, decontaminate, line_spread, simhash, toxicity
-from tvpulse.llm.common import read, staged
+from tvpulse.llm.common import read, row_key, staged
 from tvpulse.llm.queries import public_bpe
 
 
@@ -34,12 +34,14 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: the document with the smallest id of each component stays.
 
-    Rows that repeat an id count as one document. Rows without an id stay only
-    where no member of their component has one, one row per fingerprint."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    named = found.filter("doc_id = component_id").select("component_id").distinct()
-    kept = docs.join(named.withColumnRenamed("component_id", "__kept"), F.col("doc_id") == F.col("__kept"), "left_semi") \
-        .dropDuplicates(["doc_id"])
+    Rows that repeat an id and its text count as one document. Of an id with
+    several texts each is judged by its own component; in one component the
+    text with the least key stays. Rows without an id stay only where no member
+    of their component has one, one row per fingerprint."""
+    keyed = docs.withColumn("__row", row_key("doc_id", "text"))
+    found = simhash.grouped(keyed, keep=("__row",))
+    named = found.filter("doc_id = component_id").groupBy("root").agg(F.min("__row").alias("__kept"))
+    kept = keyed.join(named, F.col("__row") == F.col("__kept"), "left_semi").dropDuplicates(["__row"]).drop("__row")
     nameless = docs.filter("doc_id IS NULL")
     if nameless.isEmpty():
         return kept

@@ -79,6 +79,35 @@ def test_suffix_dedup_edges(edges, empty):
     assert (six["n_removed"], six["n_spans"]) == (six["n_bytes"], 1)
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
+def test_suffix_dedup_of_an_id_with_several_texts(spark, hot):
+    rng = np.random.default_rng(7)
+
+    def noise(n):
+        return "".join(map(chr, rng.integers(97, 123, n)))
+    w, u = noise(80), noise(200)
+    rows = [(1, "0" + noise(90) + "1" + w + "2" + noise(90)), (2, "3" + noise(40) + "4" + w + "5" + noise(60)), (2, noise(300)), (2, None),
+            (2, noise(10) + "6" + w + "7"), (3, "8" + u), (3, "9" + u), (3, ""), (4, noise(70) + "0" + u + "1" + noise(70))]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), hot).collect()
+    want = [(d, len(t or ""), 80 if d == 2 and w in (t or "") else 200 if d == 4 else 0,
+             hashlib.sha256((t or "").replace(w, "" if d == 2 else w).replace(u, "" if d == 4 else u).encode()).hexdigest()) for d, t in rows]
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted(want)
+
+
+def test_near_duplicates_judge_every_text_of_an_id(spark):
+    import corpus_pipeline as P
+    rng = np.random.default_rng(8)
+    a, b, c = (" ".join(f"w{i}" for i in rng.integers(0, 10_000, 300)) for _ in range(3))
+    rows = [(3, a), (7, a), (7, b), (7, b), (7, c), (7, c.upper()), (9, b), (8, None), (8, a)]
+    for n in (1, 4):
+        docs = spark.createDataFrame(rows if n > 1 else rows[::-1], "doc_id long, text string").repartition(n)
+        got = P.drop_near_duplicates(spark, docs, SF).collect()
+        kept = sorted((r["doc_id"], (r["text"] or "").lower()) for r in got)
+        assert kept == sorted([(3, a), (7, b), (7, c), (8, "")])
+        assert n == 1 or {r["text"] for r in got} == first
+        first = {r["text"] for r in got}
+
+
 def test_merged_transforms_find_every_repeat():
     rng = np.random.default_rng(1)
     base = bytes(rng.integers(97, 100, 3000, dtype=np.uint8))

@@ -56,15 +56,15 @@ def fingerprint(text: bytes | None, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * total > len(starts)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) for every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and ``keep`` for every row; fp holds the 64 bits as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]):
         for b in slices(batches):
             fps = [fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), *b.columns[2:]], names=["doc_id", "fp", *keep])
 
-    src = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), *keep)
+    return src.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} {src.schema[c].dataType.simpleString()}" for c in keep)]))
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -200,15 +200,21 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, chunk: int = CHUNK)
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id."""
-    fps = staged(fingerprints(docs, shingle, seed), "simhash")
+    return grouped(docs, shingle, radius, seed).select("doc_id", "fingerprint", "component_id")
+
+
+def grouped(docs: DataFrame, shingle: int = 4, radius: int = 4, seed: int = 42, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``near_duplicates`` with the columns ``keep`` of the rows and each
+    component's root, since components that share an id share its name."""
+    fps = staged(fingerprints(docs, shingle, seed, keep), "simhash")
     distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(fingerprint_links(distinct, radius))
     node = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = node.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = node.join(least, "root").select("fp", "component_id")
+    named = node.join(least, "root").select("fp", "component_id", "root")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                        "component_id")
+                                        "component_id", "root", *keep)
 
 
 def fingerprint_column(text: str, shingle: int = 4, seed: int = 42) -> Column:
