@@ -553,7 +553,9 @@ def q_publish_predictions(spark, sf):
 
 @query("top5_per_class")
 def q_top5_per_class(spark, sf):
-    return MJ.top_per_class(Pipeline(spark, sf).predictions)
+    top = MJ.top_per_class(Pipeline(spark, sf).predictions)
+    MJ.require_both_classes(top.collect())  # at most ten rows
+    return top
 
 
 # ---- 2.1 ingestion and sinks -------------------------------------------------------------
