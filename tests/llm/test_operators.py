@@ -328,6 +328,17 @@ def test_multi_index(spark):
     assert multi_index.search(none, index, entries).count() == 0
 
 
+def test_multi_index_asks_a_repeated_query_once(spark):
+    x = np.random.default_rng(5).normal(size=(60, 8)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    vectors = multi_index.valid_vectors(spark.createDataFrame(rows + [rows[20]] * 2, "vec_id long, embedding array<float>"))
+    index, entries = multi_index.build(vectors)
+    got = multi_index.search(vectors.filter("vec_id = 20"), index, entries, share=1.0).collect()
+    s = x.astype(np.float64) @ x[20].astype(np.float64)
+    want = [i for i in np.argsort(-s).tolist() if i != 20][:20]
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == want
+
+
 def test_html_extraction(spark):
     pages = read(spark, "/root/testdata/sf0.01", "pages")
     got = by_id(html_blocks.extract(pages, html_blocks.train(pages)), "page_id")

@@ -10,7 +10,10 @@ larger than ``CHUNK`` rows are dealt in chunks, so that no task holds a hot
 cell. Defined results: vectors that are null, zero, of another length than the
 commonest, or hold null or non-finite parts take no part; rows without an id
 neither; repeated ids are separate candidates, but a query never finds its own
-id; ties go to the smaller id; with fewer candidates than ``k`` all are found.
+id; repeated rows of a query ask once, and different vectors under one query id
+ask each for itself, their results ranked together (a candidate takes a rank
+for each that finds it); ties go to the smaller id; with fewer candidates than
+``k`` all are found.
 """
 
 from __future__ import annotations
@@ -217,7 +220,7 @@ def search(queries: DataFrame, index: MultiIndex, entries: DataFrame, k: int = 2
                     [[(c, -(-ix.sizes[c] // chunk)) for c in own] for own in cells],
                     pa.list_(pa.struct([("cell", pa.int64()), ("chunks", pa.int64())])))], names=["vec_id", "v", "cells"])
 
-    visits = queries.select("vec_id", "v").repartition(queries.sparkSession.sparkContext.defaultParallelism).mapInArrow(
+    visits = queries.select("vec_id", "v").distinct().repartition(queries.sparkSession.sparkContext.defaultParallelism).mapInArrow(
         visit, f"vec_id long, v {kind}, cells array<struct<cell:bigint,chunks:bigint>>")
     visits = visits.select("vec_id", "v", F.inline("cells")).select(
         "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(1).cast("long").alias("side"),
