@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,18 @@ def row_key(doc_id: str, text: str) -> Column:
 def within_bound(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows, so that it may be broadcast."""
     return df.limit(rows + 1).count() <= rows
+
+
+def weighed(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of at most ``rows`` rows and about ``size``
+    bytes of a string or binary column; a longer value has a slice of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        at, held = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if i > at and (held + n > size or i - at >= rows):
+                yield batch.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if batch.num_rows > at:
+            yield batch.slice(at)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import cache, partial
 
 from pyspark.sql import functions as F
 
-from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, secrets, simhash, suffix_dedup, toxicity
+from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, periodic, secrets, simhash, suffix_dedup, toxicity
 from tvpulse.llm.common import read, shared_folder
 
 QUERIES = {}
@@ -96,4 +97,28 @@ def op10_decontaminate(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def _with_period(doc_id, words):
+    """Every tenth document, by the checksum of its id, gets a periodic tail."""
+    part, one_in_ten = divmod(zlib.crc32(str(doc_id).encode()), 10) if doc_id is not None else (0, 1)
+    if one_in_ten or not words:
+        return words
+    at = part % len(words)
+    size = len(words) - at
+    period = 1 + size // (3 + part % 8)
+    return words[:at] + (words[at:at + period] * -(-size // period))[:size]
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic.collapse(read(spark, sf_dir, "documents"), rewrite=_with_period)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    longest = longest.cast("struct<length:bigint,start:bigint,period:bigint>")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda s: F.concat(s, F.lit("\n"))), ""), 256).alias("runs_sha256"), "collapsed_sha256")
+
+
 ORACLES = {"op6_secret_ledger": secrets.ORACLE, "op9_line_spread": line_spread.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
