@@ -25,13 +25,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 
     This cuts the lineage: an executor lost later costs a reread, never the
-    work before. Each call takes a new folder."""
+    work before. Each call takes a new folder; ``options`` are the writer's."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from functools import cache, partial
 
 from pyspark.sql import functions as F
 
-from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, periodic, secrets, simhash, suffix_dedup, toxicity
+from tvpulse.llm import byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, periodic, records, secrets, simhash, suffix_dedup, token_alignment, toxicity
 from tvpulse.llm.common import read, shared_folder
 
 QUERIES = {}
@@ -97,6 +97,13 @@ def op10_decontaminate(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    import public_tokenizers
+    return token_alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _with_period(doc_id, words):
     """Every tenth document, by the checksum of its id, gets a periodic tail."""
     part, one_in_ten = divmod(zlib.crc32(str(doc_id).encode()), 10) if doc_id is not None else (0, 1)
@@ -121,4 +128,13 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(F.transform(line, lambda s: F.concat(s, F.lit("\n"))), ""), 256).alias("runs_sha256"), "collapsed_sha256")
 
 
+@query
+def op13_token_records(spark, sf_dir):
+    import public_tokenizers
+    index = records.write(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    counted = records.read(index).select("doc_id", "part", "shard", "offset", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+                                         F.crc32("ids").alias("ids_crc32"))
+    return records.positions(counted).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 ORACLES = {"op6_secret_ledger": secrets.ORACLE, "op9_line_spread": line_spread.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
