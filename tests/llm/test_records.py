@@ -47,7 +47,7 @@ def test_crc32c_equals_the_definition():
 def test_parts_encode_as_the_whole_text(spark, file, library):
     encoder, rng = records.WordEncoder(file), random.Random(5)
     atoms = ["don't", "DON'T", "we'll", "'s", "x's.", "a,b", "Ünï", "ßÉ", "H̱h", "é", "́", "12", "½", "\x1c", "\x1f'", "<|endoftext|>",
-             "<|EndOfText|>", "<|", "|>", "İI", "ΣΑΣ", "K", "…", "—", "漢字かな", "👩‍👩‍👧", "'", "''s", "(", ")'re", " ", "　", "​", "\x85", "the", "The"]
+             "<|EndOfText|>", "<|", "|>", "İI", "ΣΑΣ", "K", "…", "—", "漢字かな", "👩‍👩‍👧", "'", "''s", "(", ")'re", "œuvre.", "fin. ", "a.. ", "x, y", "½. ", "'. ", "_. ", "“q.” ", "q.”", "ſ", "ŉ", "ı", "Ÿ", "\u2028", "\u2029", "†", "É.", "5, ", ",\n", ".\n", "ŒÆ", "ÅÅ", " ", "　", "​", "\x85", "the", "The"]
     texts = ["".join(rng.choice(atoms) + rng.choice(["", "", " ", "  ", "\n", "\t", "\r\n"]) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
     texts += [r["text"] or "" for r in read(spark, SF, "documents").collect()]
     got = encoder.encode(texts)

@@ -8,6 +8,7 @@ import pytest
 
 from tvpulse.llm import queries, token_alignment
 from tvpulse.llm.common import read
+from tvpulse.llm.recent import byte_alphabet
 
 SF = "/root/testdata/sf0.001"
 public = pytest.importorskip("public_tokenizers")
@@ -31,7 +32,7 @@ def libraries(files):
 def brute(rows, libraries):
     """The seven columns of every (id, text), from the definition alone."""
     a, b = libraries
-    inverse = {c: bytes([n]) for c, n in token_alignment.byte_alphabet().items()}
+    inverse = {c: bytes([n]) for c, n in byte_alphabet().items()}
     names = {i: t for t, i in a.get_vocab().items()}
 
     def piece(i):
@@ -104,7 +105,7 @@ def test_edges_and_rare_keys(spark, files, libraries, bounds, monkeypatch):
     monkeypatch.setattr(token_alignment, "HOT_TEXTS", bounds[1])
     rng = random.Random(11)
     atoms = ["word", "Wörter", "don't", "a▁b", "<|endoftext|>", "</s>", "<0x41>", "<unk>", "漢字", "👩‍👩‍👧", "...", "—", "é", "\x1c", "\x00", "12", "½", "\xa0",
-             "　", "​", "́", "“q”"]
+             "　", "​", "́", "“q”", "end.", "a,", "é.", "5.", "Ünï!!", "x$$$", "\x01.", "\x01", "it's,", "(b)", "ɏɐ", "ªº", "a.b.", "..."]
     rows = [(i, "".join(rng.choice(atoms) + rng.choice(["", " ", " ", "  ", "\n", " \n", "\t"]) for _ in range(rng.randrange(1, 25)))) for i in range(300)]
     rows += [(400 + i % 7, "the same text, again and again") for i in range(150)]
     rows += [(600, None), (601, ""), (602, " "), (603, "\n\n"), (604, " lead"), (605, "trail "), (None, "no id"), (None, None), (1, "other text of an id")]

@@ -31,7 +31,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tvpulse.functions.ranking import cumulative_before
 from tvpulse.llm.common import shared_folder, staged, weighed
-from tvpulse.llm.recent import Recent
+from tvpulse.llm.recent import Recent, byte_level
 
 #: Bytes after which a task starts a new file.
 ROLL = 64 << 20
@@ -116,50 +116,78 @@ class Crc32c:
 
 class WordEncoder:
     """Ids by the tokenizers library for vocabularies whose pre-tokens hold no
-    white space: parts of a text that the library would treat alone are encoded
-    once and remembered.
-
-    Cuts are made at ASCII white space. ASCII parts are also cut between letters
-    and others, unless an apostrophe (contractions) is near, and lower-cased if
-    the tokenizer does that itself; not so where a special token's string is."""
+    white space: words that the library would treat alone are encoded once and
+    remembered.
+
+    A plain text (no combining marks, no special token's string in whatever
+    case) is lower-cased as a whole if the tokenizer does that itself, and cut
+    at white space and before a full stop or comma that ends a word. A plain
+    word without apostrophe (contractions) is the sequence of its runs of
+    letters and of others; a run of letters is one pre-token, unchanged by
+    normalisation, and goes straight to the library's model. Everything else
+    goes through the whole tokenizer."""
+
+    #: Letters, digits and marks that stand alone under NFC and lower-case to one
+    #: character each; white space among them is ASCII only.
+    PLAIN = re.compile("[\t-\r\x20-\x7e¡-įĲ-ňŊ-ž‐-‧‰-⁞]*")
+    #: A stop or comma after a mark belongs to a run of marks.
+    ODD = re.compile(r"[.,](?<=[\W_].)[ \n]")
+    RUNS = re.compile(r"[^\W\d_²³¹¼-¾]+|(?:[\W\d_]|[²³¹¼-¾])+")
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(file)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or r"\Z.", re.IGNORECASE).search
+        self.opening = sorted({c for t in added for c in (t[0].lower(), t[0].upper())})
         try:
             lowers = self.tokenizer.normalizer.normalize_str("AZ") == "az"
         except AttributeError:
             lowers = False
         self.fold = str.lower if lowers else str
         self.words = re.compile(r"[^\x20\x09-\x0D]+").findall
-        self.parts = re.compile(r"[^\x20\x09-\x0D']*+'[^\x20\x09-\x0D]*|[a-zA-Z]+|[^a-zA-Z\x20\x09-\x0D']+").findall
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.known = Recent()
+        self.plain, self.whole = Recent(self.make_plain), Recent(self.make, limit=16 << 20)
+
+    def make(self, word: str) -> bytes:
+        return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def cut(self, text: str) -> list[str]:
-        if self.special(text):
-            return [text]
-        if text.isascii():
-            return self.parts(self.fold(text))
-        return list(chain.from_iterable(self.parts(self.fold(w)) if w.isascii() else (w,) for w in self.words(text)))
+    def make_plain(self, word: str) -> bytes:
+        runs = [word] if "'" in word else self.RUNS.findall(word)
+        if len(runs) > 1:
+            return b"".join(map(self.plain.__getitem__, runs))
+        if word.isalpha():
+            return self.pack([t.id for t in self.tokenizer.model.tokenize(byte_level(word))])
+        return self.make(word)
 
-    def make(self, parts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(parts), 4096):
-            for e in self.tokenizer.encode_batch_fast(parts[at:at + 4096], add_special_tokens=False):
-                yield np.array(e.ids, self.kind).tobytes()
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
-        parts = [self.cut(t) for t in texts]
-        self.known.fill(set(chain.from_iterable(parts)), self.make)
-        out = [b"".join(map(self.known.values.__getitem__, p)) for p in parts]
-        self.known.rest()
+        out = []
+        for text in texts:
+            if any(c in text for c in self.opening) and self.special(text):
+                out.append(self.make(text))
+            elif not self.PLAIN.fullmatch(text):
+                out.append(b"".join(map(self.whole.__getitem__, self.words(text))))
+            else:
+                text = self.fold(text)
+                if not self.ODD.search(text):
+                    text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n")
+                out.append(b"".join(map(self.plain.__getitem__, text.split())))
+        self.plain.rest()
+        self.whole.rest()
         return out
 
 
+@cache
+def _encoder(file: str) -> WordEncoder:
+    """One per Python worker, so that it remembers from task to task."""
+    return WordEncoder(file)
+
+
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
 

@@ -13,10 +13,10 @@ has at most 1/n of the rows and is joined by shuffle. This holds for id pairs
 (a frequent pair is in most texts) and for texts (one may have a third of all
 rows as copies).
 
-Inside a task a text is cut at single spaces between visible characters. Both
-tokenizers always end a token there (checked for the piece model when it is
-opened), so the parts are aligned alone and remembered; the text's result is
-their concatenation.
+Inside a task a text is cut at single spaces between visible characters, and
+before a full stop or comma that ends a word. Both tokenizers always end a token
+there (checked for the piece model's vocabulary when it is opened), so the parts
+are aligned alone and remembered; the text's result is their concatenation.
 
 Defined results: a null or empty text, or one whose joined token bytes differ
 from a space and the text under either tokenizer (it holds U+2581, say), has no
@@ -40,24 +40,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tvpulse.llm.common import staged, weighed
-from tvpulse.llm.recent import Recent
+from tvpulse.llm.recent import Recent, byte_alphabet, byte_level
 
 #: Bounds of the broadcast tables: fewer pairs, fewer texts than this.
 HOT_PAIRS = 1 << 18
 HOT_TEXTS = 1 << 14
 #: Wide dictionaries: ids repeat, so their numbers need few bits.
 DENSE = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
+#: Marks a part that has no space before it: no text can hold half a surrogate pair.
+STOP = "\ud800"
+SPACE = byte_level(" ")
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The public byte-level alphabet: printable bytes stand for themselves,
-    the others are numbered from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class Aligner:
     """Tokenises and aligns texts; ``byte_file`` is a byte-level tokenizer of the
     tokenizers library, ``piece_file`` a sentencepiece model that adds a space."""
@@ -79,65 +74,103 @@ class Aligner:
         self.lengths_a, self.lengths_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
         self.size_a, self.size_b = len(self.bytes_a), len(pieces)
         self.shown = [f"{i}{end}".encode() for n, ends in ((self.size_a, ",|"), (self.size_b, ",;")) for end in ends for i in range(n)]
+        # a token never holds a space after something else, nor a stop after a letter
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.stops = self.cuts and not any(re.search("[A-Za-z][.,]", p) for p in pieces)
         self.rough = re.compile(r" (?:(?<![\w!-~] )|(?![\w!-~]))").search
         self.split = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])").split
-        self.known = Recent(limit=96 << 20, overhead=350)
+        self.odd = re.compile(r"(?<![A-Za-z])[.,] ").search
+        # runs of Latin letters and of others; a contraction is left whole
+        self.runs = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+|[^A-Za-zÀ-ÖØ-öø-ɏ]+").findall
+        self.marks = re.compile("[!-&(-/:-@\\[-`{-~]+").fullmatch
+        self.tails = Recent(lambda marks: self.a.encode(marks, add_special_tokens=False).ids, limit=1 << 20)
+        self.known = Recent(overhead=350, weigh=lambda v: len(v[1]) + len(v[2]) if v else 0)
 
     def parts(self, text: str) -> list[str]:
         if not self.cuts:
             return [text]
-        return self.split(text) if self.rough(text) else text.split(" ")
+        if self.rough(text):
+            return self.split(text)
+        if self.stops and not self.odd(text):
+            text = text.replace(". ", f" {STOP}. ").replace(", ", f" {STOP}, ")
+        return text.split(" ")
+
+    def ids_a(self, part: str) -> list[int]:
+        """A run of letters is one pre-token and goes to the library's model; so
+        is a run of marks after it. Other parts go through the tokenizer."""
+        runs = self.runs(part)
+        if part[:1] == STOP:
+            return self.tails[part[1:]]
+        if len(runs) <= 2 and runs[0].isalpha() and (len(runs) == 1 or self.marks(runs[1])):
+            ids = [t.id for t in self.a.model.tokenize(SPACE + byte_level(runs[0]))]
+            return ids if len(runs) == 1 else ids + self.tails[runs[1]]
+        return self.a.encode(" " + part, add_special_tokens=False).ids
 
     def align(self, parts: list[str]) -> list[tuple | None]:
-        """(n_a, n_b, n_groups, n_links, groups, pairs) of each part, None
-        where the tokens don't spell a space and the part."""
+        """(n_a, groups, pairs) of each part, None where the tokens don't spell
+        a space and the part. ``pairs`` holds one 8-byte id pair per link."""
         out: list[tuple | None] = []
         for at in range(0, len(parts), 4096):
             some = parts[at:at + 4096]
-            spaced = [" " + p for p in some]
-            a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-            b = self.b.encode(some, num_threads=1)
-            good = [b"".join(map(self.bytes_a.__getitem__, x)) == s.encode() == b"".join(map(self.bytes_b.__getitem__, y))
-                    for s, x, y in zip(spaced, a, b)]
+            a = list(map(self.ids_a, some))
+            b = self.b.encode([p.removeprefix(STOP) for p in some], num_threads=1)
+            good = []
+            for i, part in enumerate(some):
+                if part[:1] == STOP:
+                    raw, b[i] = part[1:].encode(), [self.b.piece_to_id(part[1:])]
+                else:
+                    raw = b" " + part.encode()
+                good.append(b"".join(map(self.bytes_b.__getitem__, b[i])) == raw == b"".join(map(self.bytes_a.__getitem__, a[i])))
             found = iter(self._aligned([x for x, g in zip(a, good) if g], [y for y, g in zip(b, good) if g]))
             out += [next(found) if g else None for g in good]
         return out
 
     def _aligned(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple]:
-        """The parts side by side as one sequence: all end where both have an end."""
+        """The parts side by side as one sequence of bytes: all end where both
+        sequences have an end. ``upto_x[i]``: tokens of x that end by byte i."""
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
         ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
+        if not len(ids_a):
+            return
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
-        both, either = np.intersect1d(ends_a, ends_b, assume_unique=True), np.union1d(ends_a, ends_b)
+        upto_a, upto_b = np.zeros(ends_a[-1] + 1, np.int64), np.zeros(ends_a[-1] + 1, np.int64)
+        upto_a[ends_a] = upto_b[ends_b] = 1
+        both, either = upto_a & upto_b, np.flatnonzero(upto_a | upto_b)
+        upto_a, upto_b, groups = np.cumsum(upto_a), np.cumsum(upto_b), np.cumsum(both)
         # every stretch between ends, of whichever sequence, is one overlapping pair
-        pairs = ids_a[np.searchsorted(ends_a, either)] * self.size_b + ids_b[np.searchsorted(ends_b, either)]
-        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
-        last_a, last_b = both[group_a] == ends_a, both[group_b] == ends_b
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        codes = np.concatenate([ids_a + last_a * self.size_a, 2 * self.size_a + ids_b + last_b * self.size_b])[order]
+        pairs = ids_a[upto_a[either - 1]] * self.size_b + ids_b[upto_b[either - 1]]
+        # a group's A tokens stand before its B tokens
+        cuts = np.flatnonzero(both)
+        order_a = np.arange(len(ids_a)) + np.concatenate(([0], upto_b[cuts]))[groups[ends_a - 1]]
+        order_b = np.arange(len(ids_b)) + upto_a[cuts][groups[ends_b - 1]]
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        codes[order_a] = ids_a + both[ends_a] * self.size_a
+        codes[order_b] = 2 * self.size_a + ids_b + both[ends_b] * self.size_b
         shown = list(map(self.shown.__getitem__, codes.tolist()))
-        stops = ends_a[np.cumsum(n_a) - 1]
-        cut_groups, cut_pairs = np.searchsorted(both, stops, "right"), np.searchsorted(either, stops, "right")
-        cut_shown = np.cumsum(n_a + n_b)
-        g0 = p0 = s0 = 0
-        for x, y, g, p, s in zip(n_a.tolist(), n_b.tolist(), cut_groups.tolist(), cut_pairs.tolist(), cut_shown.tolist()):
-            yield x, y, g - g0, p - p0, b"".join(shown[s0:s]), pairs[p0:p].tobytes()
-            g0, p0, s0 = g, p, s
+        raw, stops = pairs.tobytes(), ends_a[np.cumsum(n_a) - 1]
+        cut_pairs, cut_shown = 8 * np.searchsorted(either, stops, "right"), np.cumsum(n_a + n_b)
+        p0 = s0 = 0
+        for x, p, s in zip(n_a.tolist(), cut_pairs.tolist(), cut_shown.tolist()):
+            yield x, b"".join(shown[s0:s]), raw[p0:p]
+            p0, s0 = p, s
 
     def texts(self, texts: list[str]) -> Iterator[tuple | None]:
-        """As ``align``, for whole texts; ``groups`` ends in a semicolon."""
+        """(n_a, n_b, n_groups, n_links, groups, pairs) of whole texts; the
+        listing ``groups`` ends in a semicolon."""
         cut = [self.parts(t) for t in texts]
-        self.known.fill(set(chain.from_iterable(cut)), self.align, lambda v: len(v[4]) + len(v[5]) if v else 0)
-        values = self.known.values
+        self.known.fill(set(chain.from_iterable(cut)), self.align)
         for parts in cut:
-            found = list(map(values.__getitem__, parts))
+            found = list(map(self.known.__getitem__, parts))
             if None in found:
                 yield None
-            else:
-                *numbers, groups, pairs = zip(*found)
-                yield *map(sum, numbers), b"".join(groups), b"".join(pairs)
+                continue
+            counts, groups, pairs = zip(*found)
+            n_a, groups, pairs = sum(counts), b"".join(groups), b"".join(pairs)
+            n_groups, n_links = groups.count(b";"), len(pairs) // 8
+            # every end of either sequence closes one link, every common end one group
+            yield n_a, n_links + n_groups - n_a, n_groups, n_links, groups, pairs
         self.known.rest()
+        self.tails.rest()
 
 
 @cache
