@@ -9,6 +9,7 @@ from tvpulse.sources import testdata
 from tvpulse.streaming.ingest import load_once
 
 from conftest import SF001
+from fixtures import GUIDE_SAMPLE_QUERY, genre_guide
 
 
 def test_load_once_appends_only_new_files(spark, scratch):
@@ -25,8 +26,8 @@ def test_load_once_appends_only_new_files(spark, scratch):
 
 
 def test_text_search_finds_sports_for_the_sample_query(spark):
-    guide = SR.genre_guide(spark)
-    q = spark.createDataFrame([(1, SR.GUIDE_SAMPLE_QUERY)], "QUERY_ID int, QUERY_TEXT string")
+    guide = genre_guide(spark)
+    q = spark.createDataFrame([(1, GUIDE_SAMPLE_QUERY)], "QUERY_ID int, QUERY_TEXT string")
     top = SR.text_topk(guide, q, k=3, id_col="GENRE", text_col="GUIDE_TEXT").orderBy("RANK").collect()
     assert 1 <= len(top) <= 3 and top[0].GENRE == "SPORTS"
 
@@ -54,6 +55,47 @@ def test_vector_search_returns_members_of_the_label(spark):
     assert max(r.RANK for r in rows) == 3
 
 
+def test_vector_search_equals_brute_force_in_any_blocks(spark, monkeypatch):
+    """Unfiltered and filtered; null, zero, odd and non-finite vectors, ties, repeats."""
+    import math
+    import random
+
+    rng = random.Random(2)
+    vectors = {i: [rng.gauss(0, 1) for _ in range(4)] for i in range(60)}
+    vectors |= {60: None, 61: [0.0] * 4, 62: [1.0, 2.0], 63: [math.nan, 1.0, 1.0, 1.0], 64: [math.inf, 1.0, 1.0, 1.0],
+                65: [1.0, None, 1.0, 1.0], 66: vectors[3], 67: [2 * x for x in vectors[3]], 68: [1e-200] * 4}
+    corpus = spark.createDataFrame([(i, v, i % 3, f"name {i}") for i, v in vectors.items()],
+                                   "vec_id long, embedding array<double>, label int, name string").repartition(4)
+    asked = {1: vectors[3], 2: [1.0, 0.0, 0.0, 0.0], 3: [1.0, 2.0], 4: [0.0] * 4, 5: None}
+    queries = spark.createDataFrame([(q, v, q % 3) for q, v in asked.items()], "QUERY_ID int, QUERY_VECTOR array<double>, FILTER_VALUE int")
+
+    def usable(v):
+        return v is not None and None not in v and all(map(math.isfinite, v)) and sum(x * x for x in v) > 0
+
+    def want(filtered):
+        out = []
+        for q, a in asked.items():
+            if not usable(a):
+                continue
+            found = []
+            for i, v in vectors.items():
+                if usable(v) and len(v) == len(a) and (not filtered or i % 3 == q % 3):
+                    cosine = sum(x * y for x, y in zip(a, v)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in v))
+                    found.append((-round(cosine, 9), i))
+            out += [(q, i, -s, n) for n, (s, i) in enumerate(sorted(found)[:3], 1)]
+        return sorted(out)
+
+    for cells in (SR.BLOCK_CELLS, 1):
+        monkeypatch.setattr(SR, "BLOCK_CELLS", cells)
+        for filtered in (False, True):
+            got = SR.vector_topk(corpus, queries, 3, filter_col="label" if filtered else None, returned=("label", "name"))
+            rows = got.collect()
+            assert sorted((r.QUERY_ID, r.vec_id, r.SCORE, r.RANK) for r in rows) == want(filtered)
+            assert all(r.label == r.vec_id % 3 and r.name == f"name {r.vec_id}" for r in rows)
+    assert SR.vector_topk(corpus.limit(0), queries, 3, filter_col=None).count() == 0
+    assert SR.vector_topk(corpus, queries.limit(0), 3, filter_col=None).count() == 0
+
+
 def test_text_search_equals_brute_force_in_any_blocks(spark, monkeypatch):
     """Emoji, line separators, ties and empty texts; one block and many."""
     import math

@@ -107,10 +107,67 @@ def test_trained_model_scores_and_explanations_are_additive(spark, scratch):
     logit = np.log(ex.PROB_F1 / (1 - ex.PROB_F1))
     contrib = ex[[c for c in ex.columns if c.endswith("_EXPLANATION")]].sum(axis=1)
     assert np.abs(contrib + ex.BASE_VALUE - logit).max() < 1e-6
+    against = X.explain(spark, f"{path}/model", p.test, background=p.train).join(scored, "DEVICE_ID").toPandas()
+    contrib = against[[c for c in against.columns if c.endswith("_EXPLANATION")]].sum(axis=1)
+    assert np.abs(contrib + against.BASE_VALUE - np.log(against.PROB_F1 / (1 - against.PROB_F1))).max() < 1e-6
+    one = X.device_direction(X.explain(spark, f"{path}/model", p.test, background=p.train)).collect()
+    best = against.sort_values(["RAW_SCORE", "DEVICE_ID"], ascending=[False, True]).iloc[0].DEVICE_ID
+    assert {r.DEVICE_ID for r in one} == {best} and len(one) == 12
+    assert all((r.DIRECTION == "toward_positive") == (r.SHAP_VALUE >= 0) for r in one)
+    # the same folder by its URI: nothing looks at the local disk
+    uri = path if path.startswith("file:") else f"file:{path}"
+    assert X.read_tree_table(spark, f"{uri}/model").base_value == X.read_tree_table(spark, f"{path}/model").base_value
     published = MM.publish_predictions(scored, f"{root}/predictions", expected_rows=len(probs))
     assert published.filter(F.col("MODEL_VERSION") == "V1").count() == len(probs)
     with pytest.raises(RuntimeError):
-        MM.publish_predictions(scored, f"{root}/predictions2", expected_rows=len(probs) + 1)
+        MM.publish_predictions(scored.limit(3), f"{root}/predictions", expected_rows=len(probs))
+    assert MM.published_predictions(spark, f"{root}/predictions").count() == len(probs)  # the faulty version was never current
+
+
+def _interventional_brute_force(nodes, x, background, n_feat):
+    """Shapley values of f(x's features in S, the others from the background)."""
+    from math import factorial
+    by_id = {int(r.id): r for r in nodes.itertuples()}
+
+    def score(row, i=0):
+        r = by_id[i]
+        if r.leftChild < 0:
+            return r.prediction
+        return score(row, int(r.leftChild) if row[int(r.featureIndex)] <= r.threshold else int(r.rightChild))
+
+    def value(subset):
+        return np.mean([score([x[f] if f in subset else b[f] for f in range(n_feat)]) for b in background])
+    phi = np.zeros(n_feat)
+    for i in range(n_feat):
+        others = [f for f in range(n_feat) if f != i]
+        for k in range(n_feat):
+            for sub in itertools.combinations(others, k):
+                phi[i] += factorial(k) * factorial(n_feat - k - 1) / factorial(n_feat) * (value({*sub, i}) - value(set(sub)))
+    return phi, value(set())
+
+
+def test_background_explanations_match_brute_force(spark):
+    """Random trees with repeated features on a path, against all background rows."""
+    rng = np.random.default_rng(4)
+    for _ in range(6):
+        rows, at = [], [(0, 0)]
+        while at:
+            i, depth = at.pop()
+            leaf = depth == 3 or (depth and rng.random() < 0.3)
+            rows.append((i, rng.normal(), -1 if leaf else 2 * i + 1, -1 if leaf else 2 * i + 2, -1 if leaf else rng.integers(0, 4),
+                         rng.random(), 1.0))
+            at += [] if leaf else [(2 * i + 1, depth + 1), (2 * i + 2, depth + 1)]
+        nodes = pd.DataFrame(rows, columns=["id", "prediction", "leftChild", "rightChild", "featureIndex", "threshold", "cover"])
+        nodes["treeID"] = 0
+        table = X.leaf_table(nodes, {0: 0.5}, 3)
+        background = rng.random((9, 4))
+        cols = ["a", "b", "c", "d"]
+        df = spark.createDataFrame(pd.DataFrame(background, columns=cols)).repartition(3)
+        against = X.against_background(table, X.background_counts(table, df, cols))
+        xs = rng.random((5, 4))
+        for x, phi in zip(xs, X.shap_values(against, xs)):
+            want, base = _interventional_brute_force(nodes, x, background, 4)
+            assert phi == pytest.approx(want, abs=1e-12) and against.base_value == pytest.approx(base, abs=1e-12)
 
 
 def test_feature_checks_fire(spark):

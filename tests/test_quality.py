@@ -69,14 +69,57 @@ def test_valid_intervals_fire(nw01):
 
 
 def test_station_volume_fires(spark, nw01):
-    assert Q.station_volume(nw01.raw, nw01.clean, nw01.daily).count() == 0
+    volume = lambda *stages: Q.station_volume(*stages, ["NW01"])
+    assert volume(nw01.raw, nw01.clean, nw01.daily).count() == 0
     more = nw01.daily.withColumn("SESSION_COUNT", F.col("SESSION_COUNT") + F.when(
         F.col("DEVICE_ID") == nw01.daily.first().DEVICE_ID, 1).otherwise(0))
-    assert Q.station_volume(nw01.raw, nw01.clean, more).count() == 1
+    assert volume(nw01.raw, nw01.clean, more).count() == 1
     fewer = nw01.daily.exceptAll(first_row(nw01.daily))
-    assert Q.station_volume(nw01.raw, nw01.clean, fewer).count() == 1
+    assert volume(nw01.raw, nw01.clean, fewer).count() == 1
     empty = nw01.raw.limit(0)
-    assert Q.station_volume(empty, clean_viewing(empty), device_daily(clean_viewing(empty))).count() == 1
+    assert volume(empty, clean_viewing(empty), device_daily(clean_viewing(empty))).count() == 1
+
+
+def test_station_volume_judges_each_station_alone(spark):
+    """One station's surplus doesn't cancel another's loss; an empty station fails."""
+    p = Pipeline(spark, SF001)
+    assert Q.station_volume(p.raw, p.clean, p.daily).count() == 0
+    shift = F.when(F.col("NETWORK_ID") == "NW01", 1).when(F.col("NETWORK_ID") == "NW02", -1).otherwise(0)
+    one = p.daily.groupBy("NETWORK_ID").agg(F.min(F.struct("DEVICE_ID", "VIEW_DATE", "GENRE")).alias("k")).select("NETWORK_ID", "k.*")
+    moved = p.daily.join(one.withColumn("_hit", F.lit(1)), DAILY_KEYS, "left").withColumn(
+        "SESSION_COUNT", F.col("SESSION_COUNT") + F.coalesce("_hit", F.lit(0)) * shift).drop("_hit")
+    assert moved.agg(F.sum("SESSION_COUNT")).first()[0] == p.daily.agg(F.sum("SESSION_COUNT")).first()[0]
+    found = {r.NETWORK_ID: r.WRONG_CELLS for r in Q.station_volume(p.raw, p.clean, moved).collect()}
+    assert found == {"NW01": 1, "NW02": 1}
+    without = [df.filter("NETWORK_ID <> 'NW04'") for df in (p.raw, p.clean, p.daily)]
+    assert [r.NETWORK_ID for r in Q.station_volume(*without).collect()] == ["NW04"]
+    nowhere = p.clean.withColumn("GENRE", F.when(F.col("NETWORK_ID") != "NW05", F.col("GENRE")))
+    # a NULL genre is a key of its own that never matches (the definition's equality join)
+    assert {r.NETWORK_ID for r in Q.station_volume(p.raw, nowhere, device_daily(nowhere)).collect()} == {"NW05"}
+
+
+def test_uniqueness_is_per_station(spark):
+    p = Pipeline(spark, SF001)
+    other = p.clean.filter("NETWORK_ID = 'NW01'").limit(1).withColumn("NETWORK_ID", F.lit("NW02"))
+    assert Q.unique(p.clean.unionByName(other), "EVENT_ID").count() == 0
+    assert Q.unique(p.clean.unionByName(other), "EVENT_ID", per=()).count() == 1
+
+
+def test_recount_equals_the_definition(spark):
+    p = Pipeline(spark, SF001)
+    odd = p.minutes.limit(5).withColumn("MINUTE_AT", F.timestamp_add("SECOND", F.lit(7), F.col("MINUTE_AT")))
+    null = p.minutes.limit(3).withColumn("MINUTE_AT", F.lit(None).cast("timestamp_ntz"))
+    for minutes in (p.minutes, p.minutes.unionByName(odd).unionByName(p.minutes.limit(50)), p.minutes.unionByName(null)):
+        want = minutes.groupBy("NETWORK_ID", "VIEW_DATE", "MINUTE_AT").agg(F.count_distinct("DEVICE_ID").alias("VIEWING_DEVICES"))
+        known = [df.filter("MINUTE_AT IS NOT NULL") for df in (Q.recount(minutes), want)]
+        assert sorted(map(tuple, known[0].collect())) == sorted(map(tuple, known[1].collect()))
+    assert Q.recount(p.minutes.unionByName(null)).filter("MINUTE_AT IS NULL").count() > 0
+
+
+def test_every_check_finds_its_seeded_faults(spark):
+    from tvpulse import registry
+    for name in registry.CHECKS:
+        assert registry.QUERIES[name + "_faulty"](spark, SF001).count() > 0, name
 
 
 def test_minute_expansion_fires(nw01):
@@ -143,7 +186,8 @@ def test_publish_gate(spark, scratch):
     testdata.device_labels(spark, SF001).write.parquet(f"{out}/labels")
     metrics = run_model_job(spark, out, f"{out}/labels", rounds=3)
     assert set(metrics) == {"ROC_AUC", "PRECISION", "RECALL", "F1_SCORE"}
-    assert spark.read.parquet(f"{out}/predictions").count() == Pipeline(spark, SF001).features.count()
+    from tvpulse.ml.model import published_predictions
+    assert published_predictions(spark, f"{out}/predictions").count() == Pipeline(spark, SF001).features.count()
     bad_out = f"{scratch}/build-{uuid.uuid4().hex}"
     eid = Pipeline(spark, SF001).clean.orderBy("EVENT_ID").first().EVENT_ID
     broken = raw.withColumn("DEVICE_ID", F.when(F.col("EVENT_ID") == eid, F.lit("C999999"))

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from tvpulse.operators import clean as C
 from tvpulse.operators import marts as M
 from tvpulse.operators import metrics as K
-from tvpulse.operators.intervals import fold_fixture, fold_intervals, fold_totals
+from tvpulse.operators.intervals import fold_intervals, fold_totals, fold_with_totals
 from tvpulse.operators.sweep import minute_audience_sweep
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope, ScopeError
 from tvpulse.schemas import VIEWING_LOG
 
 from conftest import SF01, rows
+from fixtures import fold_example
 
 T = dt.datetime
 
@@ -88,12 +89,22 @@ def test_daily_books_whole_interval_on_start_date(spark):
 
 
 def test_fold_worked_example(spark):
-    folded = fold_intervals(fold_fixture(spark))
+    folded = fold_intervals(fold_example(spark))
     assert sorted(r.SOURCE_ROWS for r in folded.collect()) == [1, 2, 4]
     t = fold_totals(folded).first()
     assert (t.INPUT_ROWS, t.FOLDED_ROWS) == (7, 3)
 
 
+def test_fold_totals_stand_on_every_row_without_a_single_task(spark, scratch):
+    import uuid
+    whole = fold_with_totals(fold_intervals(fold_example(spark)), f"{scratch}/fold-{uuid.uuid4().hex}")
+    assert {(r.INPUT_ROWS, r.FOLDED_ROWS) for r in whole.collect()} == {(7, 3)} and whole.count() == 3
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan and "Exchange" not in plan
+    none = fold_with_totals(fold_intervals(fold_example(spark).limit(0)), f"{scratch}/fold-{uuid.uuid4().hex}")
+    assert none.count() == 0
+
+
 def test_fold_carries_across_hour_chunks(spark):
     raw = raw_df(spark, [
         ("1", "NW01", "C1", T(2024, 1, 1, 8, 0), T(2024, 1, 1, 12, 0), "NEWS"),
@@ -108,7 +119,7 @@ def test_fold_carries_across_hour_chunks(spark):
 def test_reach_is_not_additive(spark):
     daily = Pipeline(spark, SF01).daily
     total = K.kpi(daily).first().DISTINCT_REACH
-    by_station = sum(r.DISTINCT_REACH for r in K.kpi(daily, "network").collect())
+    by_station = sum(r.DISTINCT_REACH for r in K.kpi(daily, "NETWORK_ID").collect())
     assert by_station > total
 
 
@@ -142,7 +153,7 @@ def test_summary_gate_and_empty_scope(spark):
 
 def test_calendar_keeps_missing_days_null(spark):
     daily = Pipeline(spark, SF01).daily
-    cal = K.calendar_reindex(K.kpi(daily, "daily"), "2024-01-29", "2024-02-02").orderBy("VIEW_DATE").collect()
+    cal = K.calendar_reindex(K.kpi(daily, "VIEW_DATE"), "2024-01-29", "2024-02-02").orderBy("VIEW_DATE").collect()
     assert len(cal) == 5 and cal[-1].DISTINCT_REACH is None and cal[0].DISTINCT_REACH is not None
 
 
@@ -176,12 +187,44 @@ def test_metric_view_synonyms_refusal_describe_and_empty_scope(spark):
 
 
 def test_grouping_sets_dashboard_equals_the_four_kpi_groupings(spark):
-    from tvpulse.plans.dashboards import TREND_SETS, dash_trends
+    from tvpulse.plans.dashboards import TRENDS, dash_trends
     scope = Scope.of("2024-01-10", "2024-01-20", ["NW01", "NW03"])
     daily = Pipeline(spark, SF01).daily
     trends = dash_trends(daily, scope)
-    for view, dims in TREND_SETS.items():
+    assert len(TRENDS) == 4
+    for dims in TRENDS:
+        view = "_".join(K.DIMENSIONS[d] for d in dims)
         got = rows(trends.filter(F.col("TREND_VIEW") == view), *dims, "DISTINCT_REACH", "TOTAL_MINUTES",
                    "TOTAL_SESSIONS")
-        want = rows(K.kpi(scope.apply(daily), view), *dims, "DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS")
+        want = rows(K.kpi(scope.apply(daily), *dims), *dims, "DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS")
         assert got == want
+
+
+def test_minute_dashboard_is_one_exchange_and_equals_its_parts(spark):
+    from tvpulse.plans import dashboards as D
+    stations = ("NW05", "NW01", "NW03")
+    mart = Pipeline(spark, SF01).audience
+    view = D.dash_minute(mart, "2024-01-15", stations)
+    scoped = D.minute_scope(mart, "2024-01-15", stations)
+    part = lambda v: view.filter(F.col("MINUTE_VIEW") == v)
+    assert rows(part("series"), "NETWORK_ID", "MINUTE_AT", "VIEWING_DEVICES") == rows(scoped, "NETWORK_ID", "MINUTE_AT", "VIEWING_DEVICES")
+    peaks = K.minute_peaks(scoped)
+    assert rows(part("peak"), "NETWORK_ID", "MINUTE_AT", "VIEWING_DEVICES") == rows(peaks)
+    assert rows(part("peak").filter("IS_TOP_PEAK"), "NETWORK_ID") == rows(K.minute_top_peak(peaks), "NETWORK_ID")
+    wide = ["MINUTE_AT", "NW01", "NW02", "NW03", "NW04", "NW05"]
+    assert sorted(map(str, part("pivot").select(*wide).collect())) == sorted(map(str, K.minute_pivot(scoped).select(*wide).collect()))
+    assert D.dash_minute(mart, "2031-01-01", stations).count() == 0
+
+
+def test_minute_dashboard_ties_and_plan(spark):
+    from tvpulse.plans import dashboards as D
+    at = lambda m: T(2024, 1, 15, 10, m)
+    mart = spark.createDataFrame([("NW03", dt.date(2024, 1, 15), at(1), 5), ("NW03", dt.date(2024, 1, 15), at(2), 5),
+                                  ("NW01", dt.date(2024, 1, 15), at(2), 5), ("NW01", dt.date(2024, 1, 15), at(1), 4),
+                                  ("NW02", dt.date(2024, 1, 15), at(1), 9)],
+                                 "NETWORK_ID string, VIEW_DATE date, MINUTE_AT timestamp_ntz, VIEWING_DEVICES int")
+    view = D.dash_minute(mart, "2024-01-15", ("NW03", "NW01"))
+    peaks = {(r.NETWORK_ID, r.MINUTE_AT.minute, r.IS_TOP_PEAK) for r in view.filter("MINUTE_VIEW = 'peak'").collect()}
+    assert peaks == {("NW03", 1, False), ("NW01", 2, True)}
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(VIEW_DATE" in plan

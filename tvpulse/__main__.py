@@ -1,9 +1,9 @@
 """Command line: ``python -m tvpulse <command> ...``.
 
   testdata --sf DIR --out PATH          write the test-data viewing logs, partitioned by NETWORK_ID
-  build    --logs PATH --out DIR        station marts, all checks, then the common marts behind the gate
+  build    --logs PATH --out DIR [--refresh NW03]  station marts, all checks, then the common marts behind the gate
   report   --logs PATH                  print the data-quality report (one row per check)
-  kpi      --out DIR [--group G] [--from D --to D] [--networks NW01,NW02]
+  kpi      --out DIR [--group network,genre] [--from D --to D] [--networks NW01,NW02]
                                         reach / minutes / sessions over the published common mart
   model    --out DIR --labels PATH [--rounds N]
                                         features, split, train, evaluate, register, score and publish
@@ -26,11 +26,12 @@ def main(argv=None) -> int:
     b = sub.add_parser("build")
     b.add_argument("--logs", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--refresh", help="build only these stations anew, e.g. NW03")
     r = sub.add_parser("report")
     r.add_argument("--logs", required=True)
     k = sub.add_parser("kpi")
     k.add_argument("--out", required=True)
-    k.add_argument("--group", default="summary", choices=["summary", "daily", "network", "genre", "network_genre"])
+    k.add_argument("--group", default="", help="dimensions, e.g. network or network,genre (default: overall)")
     k.add_argument("--from", dest="start")
     k.add_argument("--to", dest="end")
     k.add_argument("--networks", default=",".join(NETWORKS))
@@ -50,16 +51,14 @@ def main(argv=None) -> int:
     elif args.cmd == "build":
         from tvpulse.plans.build import publish_common
         from tvpulse.sources import readers
-        paths = publish_common(readers.viewing_log(spark, args.logs), args.out)
-        for name, path in sorted(paths.items()):
-            print(f"{name}\t{path}")
+        print(publish_common(readers.viewing_log(spark, args.logs), args.out, refresh=args.refresh and args.refresh.split(",")))
     elif args.cmd == "report":
         from tvpulse.plans.build import full_report
         from tvpulse.sources import readers
         for row in full_report(readers.viewing_log(spark, args.logs), materialize=True).collect():
             print(f"{row.SCOPE}\t{row.CHECK_NAME}\t{row.VIOLATIONS}")
     elif args.cmd == "kpi":
-        from tvpulse.operators.metrics import kpi
+        from tvpulse.operators.metrics import DIMENSIONS, kpi
         from tvpulse.plans.build import read_common
         from tvpulse.plans.scope import Scope
         from pyspark.sql import functions as F
@@ -70,7 +69,8 @@ def main(argv=None) -> int:
             row = daily.agg(F.min("VIEW_DATE"), F.max("VIEW_DATE")).first()
             bounds = (args.start or row[0], args.end or row[1])
         scope = Scope.of(bounds[0], bounds[1], [n.strip() for n in args.networks.split(",") if n.strip()])
-        out = kpi(scope.apply(daily), args.group)
+        columns = {name: c for c, name in DIMENSIONS.items()}
+        out = kpi(scope.apply(daily), *[columns[g.strip()] for g in args.group.split(",") if g.strip()])
         cols = out.columns
         print("\t".join(cols))
         for row in out.collect():

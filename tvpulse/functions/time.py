@@ -23,10 +23,15 @@ def micros_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds of a wall-clock time since 1970-01-01, whatever the zone."""
+    return micros_between(F.expr(_EPOCH), ts)
+
+
 def minute_floor(ts) -> Column:
     """Truncate an NTZ timestamp to its minute without leaving NTZ."""
     ts = _col(ts)
-    offset = F.pmod(micros_between(F.expr(_EPOCH), ts), F.lit(MICROS_PER_MINUTE))
+    offset = F.pmod(epoch_micros(ts), F.lit(MICROS_PER_MINUTE))
     return F.timestamp_add("MICROSECOND", -offset, ts)
 
 

@@ -1,5 +1,14 @@
 """Per-feature contributions of a saved MLlib boosted-tree model.
 
+Two kinds: path-dependent (below), and against background rows: the mean, over
+all background rows, of the exact Shapley values of replacing a row's features
+by the background row's (Lundberg et al., "From local explanations to global
+understanding with explainable AI for trees", 2020). For a leaf, a background
+row matters only by which of the path's features it follows, one bit each. So
+the whole background, however large, becomes one count per leaf and bit
+pattern (at most leaves x 2^depth rows, summed by Spark), from which the same
+kind of pattern table follows as for the path-dependent values.
+
 Path-dependent TreeSHAP (Lundberg, Erion, Lee: "Consistent individualized
 feature attribution for tree ensembles", 2018). Node covers are the weighted
 training counts stored with each node. The model's trees are read from its
@@ -19,8 +28,9 @@ sum(contributions) + BASE_VALUE = RAW_SCORE = log(p / (1 - p)).
 
 from __future__ import annotations
 
-import glob
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, replace
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -135,42 +145,76 @@ def leaf_table(nodes: pd.DataFrame, tree_weights: dict[int, float], depth: int)
                      np.array(slot_feats), weights, base)
 
 
+def follow_patterns(table: LeafTable, x: np.ndarray, leaf: int) -> np.ndarray:
+    """Per row, bit s set if the row follows the leaf's path at every split of
+    the path's s-th distinct feature; all bits set: the row falls in the leaf."""
+    k_slots = int((table.slot_feature[leaf] >= 0).sum())
+    pattern = np.full(len(x), (1 << k_slots) - 1, dtype=np.int64)
+    for f, threshold, left, s in zip(table.node_feature[leaf], table.node_threshold[leaf], table.node_left[leaf], table.node_slot[leaf]):
+        if f >= 0:
+            pattern &= ~(((x[:, f] <= threshold) != left).astype(np.int64) << s)
+    return pattern
+
+
 def shap_values(table: LeafTable, x: np.ndarray) -> np.ndarray:
     """[rows, features] contributions for a batch of feature rows."""
-    rows, n_feat = x.shape
-    phi = np.zeros((rows, n_feat))
-    depth = table.node_feature.shape[1]
+    phi = np.zeros(x.shape)
     for leaf in range(len(table.value)):
-        feats = table.node_feature[leaf]
-        k_slots = int((table.slot_feature[leaf] >= 0).sum())
-        follows = np.ones((rows, max(k_slots, 1)), dtype=bool)
-        for step in range(depth):
-            f = feats[step]
-            if f < 0:
-                continue
-            went_left = x[:, f] <= table.node_threshold[leaf, step]
-            ok = went_left == table.node_left[leaf, step]
-            s = table.node_slot[leaf, step]
-            follows[:, s] &= ok
-        if k_slots == 0:
-            continue
-        pattern = np.zeros(rows, dtype=np.int64)
-        for s in range(k_slots):
-            pattern |= follows[:, s].astype(np.int64) << s
-        contrib = table.weights[leaf][pattern] * table.value[leaf]      # [rows, k]
-        for s in range(k_slots):
-            np.add.at(phi, (np.arange(rows), np.full(rows, table.slot_feature[leaf, s])), contrib[:, s])
+        contrib = table.weights[leaf][follow_patterns(table, x, leaf)] * table.value[leaf]      # [rows, k]
+        for s, f in enumerate(table.slot_feature[leaf]):
+            if f >= 0:
+                phi[:, f] += contrib[:, s]
     return phi
 
 
+def background_weights(counts: np.ndarray) -> np.ndarray:
+    """[2^k, k] weights of a leaf from how many background rows have each pattern.
+
+    With a row's pattern p and a background row's b, the leaf is reached only
+    where p or b follows at every feature. Features that only the row follows
+    (a of them) each gain (a-1)! c! / (a+c)!, those that only the background
+    follows (c) each lose a! (c-1)! / (a+c)!."""
+    full = len(counts) - 1
+    k = full.bit_length()
+    out = np.zeros((full + 1, k))
+    for p in range(full + 1):
+        for b in np.flatnonzero(counts).tolist():
+            if p | b != full:
+                continue
+            mine, theirs = p & ~b, b & ~p
+            a, c = mine.bit_count(), theirs.bit_count()
+            for s in range(k):
+                if mine >> s & 1:
+                    out[p, s] += counts[b] * factorial(a - 1) * factorial(c) / factorial(a + c)
+                elif theirs >> s & 1:
+                    out[p, s] -= counts[b] * factorial(a) * factorial(c - 1) / factorial(a + c)
+    return out / max(1, counts.sum())
+
+
+def against_background(table: LeafTable, counts: list[np.ndarray]) -> LeafTable:
+    """The table whose contributions are against a background; its base value
+    is the background's mean score."""
+    inside = np.array([c[-1] / max(1, c.sum()) for c in counts])
+    return replace(table, weights=[background_weights(c) for c in counts], base_value=float((table.value * inside).sum()))
+
+
 # ---- Spark side ----------------------------------------------------------------------------
 
+def _tree_stage(spark: SparkSession, model_dir: str) -> str:
+    """The boosted-tree stage's folder, named by the saved pipeline's own
+    metadata, so that any file system Spark reads will do."""
+    folder = model_dir.rstrip("/")
+    stages = json.loads(spark.read.text(f"{folder}/metadata").first()[0])["paramMap"]["stageUids"]
+    at = max(i for i, uid in enumerate(stages) if "GBT" in uid)
+    return f"{folder}/stages/{at:0{len(str(len(stages)))}d}_{stages[at]}"
+
+
 def read_tree_table(spark: SparkSession, model_dir: str) -> LeafTable:
     """Read the boosted-tree stage of a saved PipelineModel into a LeafTable.
 
     The node table has at most trees x 2^(depth+1) rows (3,000 for 200
     depth-3 trees), so collecting it is size-bounded by the model, not data."""
-    stage = sorted(glob.glob(f"{model_dir.rstrip('/')}/stages/*GBT*"))[-1]
+    stage = _tree_stage(spark, model_dir)
     nodes = spark.read.parquet(f"{stage}/data").select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
         F.col("nodeData.split.featureIndex").alias("featureIndex"),
@@ -185,12 +229,40 @@ def read_tree_table(spark: SparkSession, model_dir: str) -> LeafTable:
     return leaf_table(nodes, weights, depth)
 
 
+def background_counts(table: LeafTable, background: DataFrame, feature_cols) -> list[np.ndarray]:
+    """Per leaf, the background rows of each follow pattern. Only these counts
+    (at most leaves x 2^depth) leave the tasks, are summed and collected."""
+    shared = background.sparkSession.sparkContext.broadcast(table)
+    cols = list(feature_cols)
+
+    def run(batches):
+        table, total = shared.value, None
+        sizes = [w.shape[0] for w in table.weights]
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float)
+            seen = [np.bincount(follow_patterns(table, x, leaf), minlength=n) for leaf, n in enumerate(sizes)]
+            total = seen if total is None else [a + b for a, b in zip(total, seen)]
+        if total is not None:
+            yield pd.DataFrame([(leaf, p, n) for leaf, counts in enumerate(total) for p, n in enumerate(counts.tolist()) if n],
+                               columns=["leaf", "pattern", "n"])
+
+    counts = [np.zeros(w.shape[0], dtype=np.int64) for w in table.weights]
+    found = background.select(*cols).mapInPandas(run, "leaf int, pattern int, n long")
+    for row in found.groupBy("leaf", "pattern").agg(F.sum("n").alias("n")).collect():
+        counts[row["leaf"]][row["pattern"]] = row["n"]
+    return counts
+
+
 def explain(spark: SparkSession, model_dir: str, features: DataFrame, feature_cols=FEATURE_COLUMNS,
-            id_col: str = "DEVICE_ID") -> DataFrame:
-    """Per-row contributions (``<FEATURE>_EXPLANATION``), BASE_VALUE and RAW_SCORE."""
-    # one copy per executor (the table is bounded by the model, not the data)
-    shared = spark.sparkContext.broadcast(read_tree_table(spark, model_dir))
+            id_col: str = "DEVICE_ID", background: DataFrame | None = None) -> DataFrame:
+    """Per-row contributions (``<FEATURE>_EXPLANATION``), BASE_VALUE and RAW_SCORE,
+    path-dependent or, with ``background`` rows, against all of these."""
     cols = list(feature_cols)
+    table = read_tree_table(spark, model_dir)
+    if background is not None:
+        table = against_background(table, background_counts(table, background, cols))
+    # one copy per executor (the table is bounded by the model, not the data)
+    shared = spark.sparkContext.broadcast(table)
     schema = T.StructType([T.StructField(id_col, T.StringType())]
                           + [T.StructField(c + "_EXPLANATION", T.DoubleType()) for c in cols]
                           + [T.StructField("BASE_VALUE", T.DoubleType()), T.StructField("RAW_SCORE", T.DoubleType())])
@@ -216,14 +288,15 @@ def mean_abs_ranking(explained: DataFrame, feature_cols=FEATURE_COLUMNS) -> Data
     return long.withColumn("RANK", F.row_number().over(Window.orderBy(F.col("MEAN_ABS_SHAP").desc(), "FEATURE")))
 
 
-def device_direction(explained: DataFrame, device_id: str, feature_cols=FEATURE_COLUMNS) -> DataFrame:
-    """One device's contributions in long form with their direction."""
-    one = explained.filter(F.col("DEVICE_ID") == device_id)
+def device_direction(explained: DataFrame, feature_cols=FEATURE_COLUMNS, device_id: str | None = None) -> DataFrame:
+    """One device's contributions in long form with their direction: the named
+    device, or the one with the highest score (lowest id on ties)."""
+    one = (explained.filter(F.col("DEVICE_ID") == device_id) if device_id is not None
+           else explained.orderBy(F.desc("RAW_SCORE"), "DEVICE_ID").limit(1))
     long = one.unpivot(["DEVICE_ID"], [c + "_EXPLANATION" for c in feature_cols], "FEATURE", "SHAP_VALUE")
     return long.select("DEVICE_ID", F.regexp_replace("FEATURE", "_EXPLANATION$", "").alias("FEATURE"), "SHAP_VALUE",
-                       F.when(F.col("SHAP_VALUE") > 0, "toward_positive")
-                       .when(F.col("SHAP_VALUE") < 0, "toward_negative").otherwise("none").alias("DIRECTION"))
+                       F.when(F.col("SHAP_VALUE") >= 0, "toward_positive").otherwise("toward_negative").alias("DIRECTION"))
 
 
 __all__ = ["explain", "shap_values", "leaf_table", "read_tree_table", "mean_abs_ranking", "device_direction",
-           "leaf_pattern_weights"]
+           "leaf_pattern_weights", "background_weights", "against_background", "background_counts"]

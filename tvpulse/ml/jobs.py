@@ -4,6 +4,7 @@ explain, score and publish, each as Spark jobs."""
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,16 @@ from tvpulse.ml import explain as MX
 from tvpulse.ml import model as MM
 from tvpulse.ml.features import require_clean_features
 from tvpulse.plans.pipeline import Pipeline
+from tvpulse.schemas import DATASET_VERSION, FEATURE_COLUMNS, MODEL_NAME, MODEL_VERSION, THRESHOLD
 from tvpulse.session import output_dir
+from tvpulse.sources.testdata import fingerprint
 
-_TRAINED: dict[tuple[int, str], PipelineModel] = {}
+_TRAINED: dict[tuple[str, str, str], PipelineModel] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[int, str]:
-    return (id(spark.sparkContext), sf_dir.rstrip("/"))
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Application, folder and the state of the files that the features come from."""
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fingerprint(spark, sf_dir))
 
 
 def registry_root(spark: SparkSession, sf_dir: str) -> str:
@@ -63,7 +67,7 @@ def registered_model_dir(spark: SparkSession, sf_dir: str) -> str:
         return register(spark, sf_dir) + "/model"
     try:
         return MM.current_run(root) + "/model"
-    except Exception:  # noqa: BLE001 - not registered yet
+    except LookupError:  # not registered yet
         return register(spark, sf_dir) + "/model"
 
 
@@ -72,6 +76,37 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MX.explain(spark, registered_model_dir(spark, sf_dir), Pipeline(spark, sf_dir).test)
 
 
+def background_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M13 over every test device against all training devices."""
+    p = Pipeline(spark, sf_dir)
+    return MX.explain(spark, registered_model_dir(spark, sf_dir), p.test, background=p.train)
+
+
+def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8, M12-M15 in figures that don't depend on the trained weights: one row
+    (STEP, DEVICES, HOLDS) per step."""
+    p = Pipeline(spark, sf_dir)
+    valid = F.col("PROB_F1").between(0.0, 1.0) & (F.col("PREDICTED_HAS_F1") == (F.col("PROB_F1") >= THRESHOLD).cast("int"))
+    tested, scored = test_scores(spark, sf_dir), all_scores(spark, sf_dir)
+    total = sum((F.col(c + "_EXPLANATION") for c in FEATURE_COLUMNS), F.col("BASE_VALUE"))
+    odds = F.log(F.col("PROB_F1") / (1 - F.col("PROB_F1")))
+
+    def row(step: str, rows: DataFrame, holds) -> DataFrame:
+        return rows.agg(F.count_distinct("DEVICE_ID").alias("DEVICES"), F.bool_and(holds).alias("HOLDS")).select(
+            F.lit(step).alias("STEP"), "DEVICES", "HOLDS")
+    explained = [row(step, found.join(tested.select("DEVICE_ID", "PROB_F1"), "DEVICE_ID"), F.abs(total - odds) < 1e-6)
+                 for step, found in (("explain", explanations(spark, sf_dir)), ("explain_background", background_explanations(spark, sf_dir)))]
+    meta = MM.load_metadata(registry_root(spark, sf_dir))
+    named = [meta[k] for k in ("MODEL_NAME", "MODEL_VERSION", "PREDICTION_THRESHOLD", "DATASET_VERSION", "FEATURES")]
+    registered = named == [MODEL_NAME, MODEL_VERSION, THRESHOLD, DATASET_VERSION, list(FEATURE_COLUMNS)]
+    chance = ME.eval_auc(tested).first()["ROC_AUC"] > 0.5
+    published = publish(spark, sf_dir)
+    again = MM.published_predictions(spark, f"{registry_root(spark, sf_dir)}/predictions")
+    return reduce(DataFrame.unionByName, [
+        row("train", tested, valid & F.lit(chance)), row("register", p.train, F.lit(registered)), row("score", scored, valid), *explained,
+        row("publish", published.join(again, "DEVICE_ID"), F.lit(True))])
+
+
 def all_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every device scored by the registered model."""
     model = PipelineModel.load(registered_model_dir(spark, sf_dir))

@@ -10,15 +10,15 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tvpulse.plans.versions import Versions
 from tvpulse.schemas import DATASET_VERSION, FEATURE_COLUMNS, MODEL_NAME, MODEL_VERSION, PREDICTIONS, THRESHOLD
 from tvpulse.session import checkpoint_dir
 
@@ -57,12 +57,12 @@ def register_model(model: PipelineModel, root: str, metrics: dict, name: str = M
                    version: str = MODEL_VERSION, threshold: float = THRESHOLD,
                    dataset_version: str = DATASET_VERSION) -> str:
     """Register under root/name/version; registering the same version
-    again replaces it. Each registration is written under its own run id
-    (model + one metadata row: metrics, threshold, dataset, features) and only
-    then the version's _CURRENT pointer is switched, so an interrupted save
-    never leaves a broken version behind. Returns the run folder."""
-    base = model_path(root, name, version)
-    run = f"{base}/runs/{uuid.uuid4().hex}"
+    again replaces it. Each registration is written to its own run folder
+    (model + one metadata row: metrics, threshold, dataset, features) and
+    becomes current by one pointer row, so an interrupted save never leaves a
+    broken version behind. Returns the run folder."""
+    versions = Versions(_session(), model_path(root, name, version))
+    run = versions.new_run()
     model.write().save(f"{run}/model")
     meta = {"MODEL_NAME": name, "MODEL_VERSION": version, "PREDICTION_THRESHOLD": threshold,
             "DATASET_VERSION": dataset_version, "FEATURES": list(FEATURE_COLUMNS),
@@ -71,13 +71,13 @@ def register_model(model: PipelineModel, root: str, metrics: dict, name: str = M
     session = _session()
     session.createDataFrame([(json.dumps(meta, ensure_ascii=False),)], "METADATA string") \
         .coalesce(1).write.mode("overwrite").text(f"{run}/metadata")
-    session.createDataFrame([(run,)], "RUN string").coalesce(1).write.mode("overwrite").text(f"{base}/_CURRENT")
+    versions.publish(run)
     return run
 
 
 def current_run(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION) -> str:
-    """The run folder the version's pointer names (raises if never registered)."""
-    return _session().read.text(f"{model_path(root, name, version)}/_CURRENT").first()[0]
+    """The current run folder of the version (LookupError if never registered)."""
+    return Versions(_session(), model_path(root, name, version)).current()
 
 
 def load_model(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSION) -> PipelineModel:
@@ -92,8 +92,9 @@ def load_metadata(root: str, name: str = MODEL_NAME, version: str = MODEL_VERSIO
 def publish_predictions(scored: DataFrame, path: str, expected_rows: int | None = None,
                         name: str = MODEL_NAME, version: str = MODEL_VERSION, threshold: float = THRESHOLD,
                         dataset_version: str = DATASET_VERSION, predicted_at: dt.datetime | None = None) -> DataFrame:
-    """M15 + S13: stamp identity columns, overwrite the table, read it back and
-    verify its row count; returns the published table."""
+    """M15 + S13: stamp identity columns, write the table's next version, read
+    it back and verify its row count, and only then make it current; a table
+    that fails the check is never seen. Returns the published table."""
     when = predicted_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     out = scored.select(
         "DEVICE_ID", F.col("PROB_F1").cast("double").alias("PROB_F1"),
@@ -102,15 +103,22 @@ def publish_predictions(scored: DataFrame, path: str, expected_rows: int | None
         # from text: a datetime literal would pass through the process time zone
         F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz").alias("PREDICTED_AT"),
         F.lit(float(threshold)).alias("PREDICTION_THRESHOLD"), F.lit(dataset_version).alias("DATASET_VERSION"))
-    out.write.mode("overwrite").parquet(path)
-    published = scored.sparkSession.read.schema(PREDICTIONS).parquet(path)
+    versions = Versions(scored.sparkSession, path)
+    run = versions.new_run()
+    out.write.parquet(run)
+    written = scored.sparkSession.read.schema(PREDICTIONS).parquet(run)
     if expected_rows is not None:
-        n = published.count()
+        n = written.count()
         if n != expected_rows:
-            raise RuntimeError(f"published {n} prediction rows, expected {expected_rows}")
-    return published
+            raise RuntimeError(f"wrote {n} prediction rows, expected {expected_rows}: not published")
+    versions.publish(run)
+    return written
+
+
+def published_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published prediction table."""
+    return spark.read.schema(PREDICTIONS).parquet(Versions(spark, path).current())
 
 
 def _session():
-    from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tvpulse.functions.text import device_id_invalid, device_id_pattern_ok
-from tvpulse.functions.time import last_touched_minute, micros_between, minute_floor, view_minutes
+from tvpulse.functions.time import epoch_micros, last_touched_minute, micros_between, minute_floor, minutes_sum, view_minutes
 from tvpulse.operators.clean import valid_interval
-from tvpulse.schemas import (DAILY_KEYS, DEVICE_ID_MAX, DEVICE_ID_MIN, MAX_INTERVAL_MICROS,
+from tvpulse.schemas import (DAILY_KEYS, DEVICE_ID_MAX, DEVICE_ID_MIN, MAX_INTERVAL_MICROS, MICROS_PER_MINUTE, NETWORKS,
                              RAW_COLUMNS)
 
 
@@ -39,9 +39,9 @@ def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.filter(_any([F.col(c).isNull() for c in columns]))
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
-    """Q3: duplicated non-NULL values of one column."""
-    return unique_grain(df.filter(F.col(column).isNotNull()), [column])
+def unique(df: DataFrame, column: str, per: tuple[str, ...] = ("NETWORK_ID",)) -> DataFrame:
+    """Q3: duplicated non-NULL values of one column within each station."""
+    return unique_grain(df.filter(F.col(column).isNotNull()), [*per, column])
 
 
 def accepted_values(df: DataFrame, column: str, values) -> DataFrame:
@@ -75,89 +75,125 @@ def invalid_intervals(clean: DataFrame) -> DataFrame:
     return clean.filter(bad).select("EVENT_ID", "NETWORK_ID", "DEVICE_ID", "VIEW_FROM", "VIEW_TO", "VIEW_MINUTES")
 
 
-def station_volume(raw: DataFrame, clean: DataFrame, daily: DataFrame) -> DataFrame:
-    """Q8: raw-valid vs clean vs daily totals and the per-key daily recount.
-
-    One row when anything disagrees (or the valid raw log is empty), else
-    none. The three totals and the difference count come from one aggregate
-    over a tagged union instead of joining single-row aggregates.
-    """
-    raw_valid = raw.filter(valid_interval()).select(*RAW_COLUMNS).dropDuplicates(RAW_COLUMNS)
-    expected_daily = (clean.groupBy("NETWORK_ID", "DEVICE_ID", F.to_date("VIEW_FROM").alias("VIEW_DATE"), "GENRE")
-                      .agg(F.count(F.lit(1)).alias("SESSIONS"), F.sum("VIEW_MINUTES").alias("MINUTES")))
-    e, a = expected_daily.alias("e"), daily.alias("a")
-    on = [F.col(f"e.{k}") == F.col(f"a.{k}") for k in DAILY_KEYS]
-    differences = e.join(a, on, "full").filter(_any([
-        F.col("e.DEVICE_ID").isNull(), F.col("a.DEVICE_ID").isNull(),
-        F.col("a.SESSION_COUNT").isNull(), F.col("a.VIEW_MINUTES").isNull(),
-        F.col("e.SESSIONS") != F.col("a.SESSION_COUNT"),
-        _tolerance_exceeded(F.col("e.MINUTES"), F.col("a.VIEW_MINUTES"), F.col("e.MINUTES"))]))
-
-    def tagged(df, tag, sessions, minutes):
-        return df.select(F.lit(tag).alias("T"), sessions.cast("bigint").alias("S"), minutes.cast("double").alias("M"))
-    union = reduce(DataFrame.unionByName, [
-        tagged(raw_valid, "E", F.lit(1), view_minutes()),
-        tagged(clean, "C", F.lit(1), F.col("VIEW_MINUTES")),
-        tagged(daily, "D", F.col("SESSION_COUNT"), F.col("VIEW_MINUTES")),
-        tagged(differences, "X", F.lit(0), F.lit(0.0))])
-    s = lambda t: F.coalesce(F.sum(F.when(F.col("T") == t, F.col("S"))), F.lit(0))
-    m = lambda t: F.coalesce(F.sum(F.when(F.col("T") == t, F.col("M"))), F.lit(0.0))
-    totals = union.agg(
-        s("E").alias("EXPECTED_SESSIONS"), s("C").alias("CLEAN_SESSIONS"), s("D").alias("DAILY_SESSIONS"),
-        m("E").alias("EXPECTED_MINUTES"), m("C").alias("CLEAN_MINUTES"), m("D").alias("DAILY_MINUTES"),
-        F.count(F.when(F.col("T") == "X", 1)).alias("_diffs"))
-    bad = _any([
-        F.col("EXPECTED_SESSIONS") == 0,
-        F.col("EXPECTED_SESSIONS") != F.col("CLEAN_SESSIONS"),
-        F.col("CLEAN_SESSIONS") != F.col("DAILY_SESSIONS"),
-        _tolerance_exceeded(F.col("EXPECTED_MINUTES"), F.col("CLEAN_MINUTES"), F.col("EXPECTED_MINUTES")),
-        _tolerance_exceeded(F.col("CLEAN_MINUTES"), F.col("DAILY_MINUTES"), F.col("CLEAN_MINUTES")),
-        F.col("_diffs") > 0])
-    return totals.filter(bad).drop("_diffs")
+def _micros(minutes: str) -> Column:
+    """Minutes back to whole microseconds: exact sums in any order."""
+    return F.round(F.col(minutes) * F.lit(float(MICROS_PER_MINUTE))).cast("bigint")
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """Microsecond totals that differ by more than the minute tolerance."""
+    as_minutes = lambda c: c.cast("double") / F.lit(float(MICROS_PER_MINUTE))
+    return _tolerance_exceeded(as_minutes(a), as_minutes(b), as_minutes(a))
+
+
+def station_volume(raw: DataFrame, clean: DataFrame, daily: DataFrame, stations=NETWORKS) -> DataFrame:
+    """Q8, J2 by station: valid raw rows vs clean vs daily totals, and every
+    mart cell against its clean rows. One row per station in which anything
+    disagrees or whose valid log is empty; a station without any row fails too.
+
+    Clean rows and mart rows meet in one aggregate by the four keys (which also
+    gives both totals), so a station's surplus can't cancel another's loss and
+    no join is needed; the distinct raw rows are counted beside it."""
+    none = F.lit(None).cast("bigint")
+    keys = [F.to_date("VIEW_FROM").alias(k) if k == "VIEW_DATE" else F.col(k) for k in DAILY_KEYS]
+    both = clean.select(*keys, F.lit(1).cast("bigint").alias("c_n"), _micros("VIEW_MINUTES").alias("c_u"), none.alias("d_n"),
+                        none.alias("d_u"), F.lit(False).alias("mart")).unionByName(
+        daily.select(*DAILY_KEYS, none.alias("c_n"), none.alias("c_u"), F.col("SESSION_COUNT").cast("bigint").alias("d_n"),
+                     _micros("VIEW_MINUTES").alias("d_u"), F.lit(True).alias("mart")))
+    cells = both.groupBy(*DAILY_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("c_n", "c_u", "d_n", "d_u")], F.bool_and("mart").alias("only_mart"),
+        F.bool_or("mart").alias("in_mart"), F.bool_or(F.col("mart") & (F.col("d_n").isNull() | F.col("d_u").isNull())).alias("holes"))
+    # a NULL key never equals a key, so such a cell has no partner
+    wrong = _any([F.col(k).isNull() for k in DAILY_KEYS]) | F.col("only_mart") | ~F.col("in_mart") | F.col("holes") | (
+        F.col("c_n") != F.col("d_n")) | _apart(F.col("c_u"), F.col("d_u"))
+    # a station's microseconds may pass 64 bits, a cell's can't
+    total = lambda c: F.sum(F.col(c).cast("decimal(28,0)" if c.endswith("_u") else "bigint")).alias(c)
+    measured = cells.groupBy("NETWORK_ID").agg(*[total(c) for c in ("c_n", "c_u", "d_n", "d_u")],
+                                               F.count_if(wrong).alias("wrong"))
+    valid = raw.filter(valid_interval()).select(*RAW_COLUMNS).dropDuplicates(RAW_COLUMNS)
+    expected = valid.groupBy("NETWORK_ID").agg(F.count(F.lit(1)).alias("e_n"),
+                                               F.sum(micros_between("VIEW_FROM", "VIEW_TO").cast("decimal(28,0)")).alias("e_u"))
+    named = raw.sparkSession.createDataFrame([(s,) for s in stations], "NETWORK_ID string")  # at most a row per station
+    parts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [named, measured, expected])
+    totals = parts.groupBy("NETWORK_ID").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c)
+                                               for c in ("e_n", "c_n", "d_n", "e_u", "c_u", "d_u", "wrong")])
+    disagree = _any([F.col("e_n") == 0, F.col("wrong") > 0, F.size(F.array_distinct(F.array("e_n", "c_n", "d_n"))) > 1,
+                     _apart(F.col("e_u"), F.col("c_u")), _apart(F.col("c_u"), F.col("d_u"))])
+    names = {"e": "EXPECTED", "c": "CLEAN", "d": "DAILY"}
+    return totals.filter(disagree).select(
+        "NETWORK_ID", *[F.col(f"{k}_n").alias(f"{n}_SESSIONS") for k, n in names.items()],
+        *[(F.col(f"{k}_u").cast("double") / F.lit(float(MICROS_PER_MINUTE))).alias(f"{n}_MINUTES") for k, n in names.items()],
+        F.col("wrong").alias("WRONG_CELLS"))
+
+
+def _words(minutes: DataFrame) -> DataFrame:
+    """Minute rows with their place in a 64-bit word: the word's number, the
+    bit, and the microseconds by which the time misses the whole minute."""
+    at = epoch_micros("MINUTE_AT")
+    number = F.floor(at / MICROS_PER_MINUTE).cast("bigint")
+    placed = minutes.withColumn("_n", number).withColumn("_off", F.pmod(at, F.lit(MICROS_PER_MINUTE)).cast("int"))
+    return placed.withColumn("_word", F.floor(F.col("_n") / 64).cast("bigint")).withColumn(
+        "_bit", F.expr("shiftleft(1L, CAST(pmod(_n, 64) AS INT))")).drop("_n")
 
 
 def minute_expansion(clean: DataFrame, minutes: DataFrame) -> DataFrame:
-    """Q9: per event, row count, distinct minutes, first/last minute and bad buckets."""
-    first = minute_floor("VIEW_FROM")
-    last = last_touched_minute("VIEW_TO")
-    expected = clean.select(
-        "EVENT_ID", "NETWORK_ID", "DEVICE_ID", first.alias("FIRST_MINUTE"), last.alias("LAST_MINUTE"),
-        (F.timestamp_diff("MINUTE", first, last) + 1).alias("EXPECTED_MINUTES"))
-    m = F.col("MINUTE_AT")
-    actual = minutes.groupBy("EVENT_ID", "NETWORK_ID", "DEVICE_ID").agg(
-        F.count(F.lit(1)).alias("ACTUAL_MINUTES"),
-        F.count_distinct("MINUTE_AT").alias("DISTINCT_MINUTES"),
-        F.min("MINUTE_AT").alias("FIRST_MINUTE"), F.max("MINUTE_AT").alias("LAST_MINUTE"),
-        F.count(F.when(m.isNull() | (m != minute_floor(m)) | F.col("VIEW_DATE").isNull()
-                       | (F.col("VIEW_DATE") != F.to_date(m)), 1)).alias("INVALID_BUCKETS"))
+    """Per event, row count, distinct minutes, first and last minute and
+    bad buckets of the stored minutes against the event's range.
+
+    The distinct minutes are the set bits of the event's 64-minute words, which
+    are or-ed map-side: at most 24 rows an event are shuffled, not its minutes.
+    (Sums of minute numbers and of their squares would not do: 1, 5, 6 and
+    2, 3, 7 agree in both.)"""
+    first, last = minute_floor("VIEW_FROM"), last_touched_minute("VIEW_TO")
+    event = ["EVENT_ID", "NETWORK_ID", "DEVICE_ID"]
+    expected = clean.select(*event, (F.timestamp_diff("MINUTE", first, last) + 1).alias("EXPECTED_MINUTES"),
+                            first.alias("_first"), last.alias("_last"))
+    misplaced = F.coalesce((F.col("_off") == 0) & (F.col("VIEW_DATE") == F.to_date("MINUTE_AT")), F.lit(False))
+    words = _words(minutes).groupBy(*event, "_word", "_off").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or("_bit").alias("bits"), F.min("MINUTE_AT").alias("lo"), F.max("MINUTE_AT").alias("hi"),
+        F.count_if(~misplaced).alias("bad"))
+    actual = words.groupBy(*event).agg(
+        F.sum("n").alias("ACTUAL_MINUTES"), F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("DISTINCT_MINUTES"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bad").alias("bad"))
     e, a = expected.alias("e"), actual.alias("a")
-    on = [F.col(f"e.{k}") == F.col(f"a.{k}") for k in ("EVENT_ID", "NETWORK_ID", "DEVICE_ID")]
-    return e.join(a, on, "full").filter(_any([
-        F.col("e.EVENT_ID").isNull(), F.col("a.EVENT_ID").isNull(),
-        F.col("e.EXPECTED_MINUTES") != F.col("a.ACTUAL_MINUTES"),
-        F.col("a.ACTUAL_MINUTES") != F.col("a.DISTINCT_MINUTES"),
-        F.col("e.FIRST_MINUTE") != F.col("a.FIRST_MINUTE"),
-        F.col("e.LAST_MINUTE") != F.col("a.LAST_MINUTE"),
-        F.col("a.INVALID_BUCKETS") > 0])).select(
+    joined = e.join(a, [F.col(f"e.{k}") == F.col(f"a.{k}") for k in event], "full")
+    one_side = F.col("e.EVENT_ID").isNull() | F.col("a.EVENT_ID").isNull()
+    # rows = distinct minutes = the range's minutes between the same ends: the minutes are the range's
+    same = F.struct("e.EXPECTED_MINUTES", F.col("e.EXPECTED_MINUTES").alias("d"), "e._first", "e._last", F.lit(0).cast("bigint").alias("b")).eqNullSafe(
+        F.struct(F.col("a.ACTUAL_MINUTES").alias("EXPECTED_MINUTES"), F.col("a.DISTINCT_MINUTES").alias("d"), F.col("a.lo").alias("_first"),
+                 F.col("a.hi").alias("_last"), F.col("a.bad").alias("b")))
+    return joined.filter(one_side | ~same).select(
         F.col("e.EVENT_ID").alias("EXPECTED_EVENT"), F.col("a.EVENT_ID").alias("ACTUAL_EVENT"),
         F.col("e.EXPECTED_MINUTES"), F.col("a.ACTUAL_MINUTES"), F.col("a.DISTINCT_MINUTES"))
 
 
+def recount(minutes: DataFrame) -> DataFrame:
+    """Devices per station, date and minute, counted in bit-vertical form.
+
+    A device's minutes become bits of 64-minute words, or-ed map-side (which
+    removes repeats); a word's 64 bit columns are then summed over devices, so
+    neither step moves a row per device and minute. Independent of the sweep."""
+    keys = ["NETWORK_ID", "VIEW_DATE", "_word", "_off"]
+    per_device = _words(minutes).groupBy(*keys, "DEVICE_ID").agg(F.bit_or("_bit").alias("bits"))
+    known = F.when(F.col("DEVICE_ID").isNotNull(), F.col("bits"))
+    counted = per_device.groupBy(*keys).agg(F.bit_or("bits").alias("seen"), *[
+        F.sum(F.shiftrightunsigned(known, i).bitwiseAND(F.lit(1))).alias(f"_{i}") for i in range(64)])
+    minute = counted.select(*keys, "seen", F.posexplode(F.array(*[F.coalesce(f"_{i}", F.lit(0)) for i in range(64)])).alias("_i", "VIEWING_DEVICES"))
+    at = F.expr("timestampadd(MICROSECOND, _off, timestampadd(MINUTE, CAST(_word * 64 + _i AS INT), TIMESTAMP_NTZ'1970-01-01 00:00:00'))")
+    return (minute.filter(F.col("seen").isNull() & (F.col("_i") == 0) | (F.expr("shiftrightunsigned(seen, _i) & 1") == 1))
+            .select("NETWORK_ID", "VIEW_DATE", at.alias("MINUTE_AT"), "VIEWING_DEVICES"))
+
+
 def minute_audience_matches(minutes: DataFrame, audience: DataFrame) -> DataFrame:
-    """Q10: independent recount vs the mart: missing, extra, misaligned, non-positive."""
+    """Independent recount vs the mart: missing, extra, misaligned, non-positive."""
     keys = ["NETWORK_ID", "VIEW_DATE", "MINUTE_AT"]
-    expected = (minutes.select(*keys, "DEVICE_ID").dropDuplicates(keys + ["DEVICE_ID"])
-                .groupBy(*keys).agg(F.count(F.lit(1)).alias("VIEWING_DEVICES")))
-    e, a = expected.alias("e"), audience.select(*keys, "VIEWING_DEVICES").alias("a")
-    on = [F.col(f"e.{k}") == F.col(f"a.{k}") for k in keys]
-    am = F.col("a.MINUTE_AT")
-    return e.join(a, on, "full").filter(_any(
-        [F.col(f"{s}.{k}").isNull() for k in keys for s in ("e", "a")]
-        + [F.col("a.VIEWING_DEVICES").isNull(), F.col("a.VIEWING_DEVICES") <= 0,
-           am != minute_floor(am), F.col("a.VIEW_DATE") != F.to_date(am),
-           F.col("e.VIEWING_DEVICES") != F.col("a.VIEWING_DEVICES")])).select(
-        F.coalesce("e.NETWORK_ID", "a.NETWORK_ID").alias("NETWORK_ID"),
-        F.coalesce("e.MINUTE_AT", "a.MINUTE_AT").alias("MINUTE_AT"),
+    e, a = recount(minutes).alias("e"), audience.select(*keys, "VIEWING_DEVICES").alias("a")
+    joined = e.join(a, [F.col(f"e.{k}") == F.col(f"a.{k}") for k in keys], "full")
+    at, devices = F.col("a.MINUTE_AT"), F.col("a.VIEWING_DEVICES")
+    right = reduce(lambda x, y: x & y, [F.col(f"{s}.{k}").isNotNull() for s in ("e", "a") for k in keys]) & (devices > 0) & (
+        devices == F.col("e.VIEWING_DEVICES")) & (at == minute_floor(at)) & (F.to_date(at) == F.col("a.VIEW_DATE"))
+    return joined.filter(~F.coalesce(right, F.lit(False))).select(
+        F.coalesce("e.NETWORK_ID", "a.NETWORK_ID").alias("NETWORK_ID"), F.coalesce("e.MINUTE_AT", "a.MINUTE_AT").alias("MINUTE_AT"),
         F.col("e.VIEWING_DEVICES").alias("EXPECTED_DEVICES"), F.col("a.VIEWING_DEVICES").alias("ACTUAL_DEVICES"))
 
 
@@ -165,7 +201,7 @@ def _totals(df: DataFrame, kind: str) -> list[Column]:
     if kind == "daily":
         return [F.count(F.lit(1)).alias("ROW_COUNT"),
                 F.coalesce(F.sum("SESSION_COUNT"), F.lit(0)).cast("bigint").alias("TOTAL_COUNT"),
-                F.coalesce(F.sum("VIEW_MINUTES"), F.lit(0.0)).alias("TOTAL_MINUTES"),
+                F.coalesce(minutes_sum("VIEW_MINUTES"), F.lit(0.0)).alias("TOTAL_MINUTES"),
                 F.count(F.when(F.col("SESSION_COUNT").isNull() | F.col("VIEW_MINUTES").isNull(), 1))
                 .alias("INVALID_ROWS")]
     v = F.col("VIEWING_DEVICES")
@@ -212,4 +248,4 @@ def label_coverage(labels: DataFrame, daily: DataFrame) -> DataFrame:
 
 __all__ = ["unique_grain", "not_null", "unique", "accepted_values", "invalid_device_ids",
            "device_id_out_of_range", "invalid_intervals", "station_volume", "minute_expansion",
-           "minute_audience_matches", "common_totals_match", "label_coverage"]
+           "recount", "minute_audience_matches", "common_totals_match", "label_coverage"]

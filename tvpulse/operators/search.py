@@ -1,7 +1,7 @@
 """top-k similarity search over vectors and over whole texts.
 
-F1 joins its queries to the corpus on the filter value; F2 scores blocks of
-queries in each task. A per-query top-k, limited before the shuffle, follows. Scores are cosine similarities; ranking uses the score rounded
+Both score blocks of queries in each task, which keeps its best rows per query;
+a per-query top-k follows. Scores are cosine similarities; ranking uses the score rounded
 to 9 decimals, then the id, so exact copies tie deterministically.
 """
 
@@ -19,14 +19,6 @@ from pyspark.sql import functions as F
 from tvpulse.session import checkpoint_dir
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def _norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(F.transform(a, lambda x: x * x), F.lit(0.0), lambda acc, v: acc + v))
-
-
 def _top_k(scored: DataFrame, query_col: str, id_col: str, k: int) -> DataFrame:
     w = Window.partitionBy(query_col).orderBy(F.col("SCORE").desc(), F.col(id_col).asc())
     return scored.withColumn("RANK", F.row_number().over(w)).filter(F.col("RANK") <= k)
@@ -42,27 +34,91 @@ def label_centroids(vectors: DataFrame, id_col="vec_id", vec_col="embedding", la
 
 
 def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col="vec_id", vec_col="embedding",
-                filter_col: str | None = "label") -> DataFrame:
+                filter_col: str | None = "label", returned: tuple[str, ...] = ()) -> DataFrame:
     """for each query (QUERY_ID, QUERY_VECTOR[, FILTER_VALUE]) the k most
-    cosine-similar corpus rows, restricted to rows whose ``filter_col``
-    equals the query's FILTER_VALUE (the attribute filter)."""
-    docs = corpus.select(id_col, *( [filter_col] if filter_col else []),
-                         F.col(vec_col).cast("array<double>").alias("_v"))
-    docs = docs.withColumn("_n", _norm(F.col("_v")))
-    if not filter_col:
-        raise ValueError("an attribute filter column is required (unfiltered search would pair every row "
-                         "with every query)")
+    cosine-similar corpus rows, of all rows or of those whose ``filter_col``
+    equals the query's FILTER_VALUE (the attribute filter), with the corpus
+    columns that are asked for.
+
+    Queries are dealt into blocks of at most BLOCK_CELLS cells, whose matrix is
+    broadcast; a task multiplies its rows with it batch by batch and keeps its
+    best ``k`` per query, so k rows a query leave a task and no vector is ever
+    shuffled. The returned columns are joined to the found rows alone. Vectors
+    that are null, zero, of another length or hold null or non-finite numbers
+    are never found; ids must be unique and not null."""
     checkpoint_dir(corpus.sparkSession)
-    q = queries.withColumn("_qn", _norm(F.col("QUERY_VECTOR"))).checkpoint()
-    # a few labels hold most rows, so the corpus isn't shuffled by label while
-    # the queries are small; beyond that AQE splits the skewed labels
-    if (q.agg(F.sum(F.size("QUERY_VECTOR"))).first()[0] or 0) <= BLOCK_CELLS:
-        q = F.broadcast(q)
-    joined = docs.join(q, docs[filter_col] == q["FILTER_VALUE"])
-    scored = joined.select(
-        "QUERY_ID", id_col,
-        F.round(_dot(F.col("_v"), F.col("QUERY_VECTOR")) / (F.col("_n") * F.col("_qn")), 9).alias("SCORE"))
-    return _top_k(scored, "QUERY_ID", id_col, k)
+    wanted = ["QUERY_ID", "QUERY_VECTOR", *(["FILTER_VALUE"] if filter_col else [])]
+    asked = queries.select(*wanted).checkpoint()
+    columns = [id_col, *([filter_col] if filter_col else [])]
+    source = corpus.select(*columns, F.col(vec_col).cast("array<double>").alias("_v")).filter("_v IS NOT NULL")
+    out = f"QUERY_ID {asked.schema['QUERY_ID'].dataType.simpleString()}, `{id_col}` {corpus.schema[id_col].dataType.simpleString()}, SCORE double"
+    found = [source.mapInPandas(_nearest(corpus.sparkSession, id_col, filter_col, block, k), out) for block in _vector_blocks(asked)]
+    if not found:
+        found = [corpus.sparkSession.createDataFrame([], out)]
+    top = _top_k(reduce(DataFrame.unionByName, found), "QUERY_ID", id_col, k)
+    if not returned:
+        return top
+    # k rows a query: small beside the corpus, which is read for these columns only
+    return top.join(corpus.select(id_col, *returned), id_col)
+
+
+def _vector_blocks(asked: DataFrame):
+    """Lists of query rows with at most BLOCK_CELLS vector cells together."""
+    block, cells = [], 0
+    for row in asked.filter("QUERY_VECTOR IS NOT NULL").orderBy("QUERY_ID").toLocalIterator():
+        if block and cells + len(row["QUERY_VECTOR"]) > BLOCK_CELLS:
+            yield block
+            block, cells = [], 0
+        block.append(row)
+        cells += len(row["QUERY_VECTOR"])
+    if block:
+        yield block
+
+
+def _unit_rows(vectors, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The usable vectors as unit rows, and which they are."""
+    rows = [v if v is not None and len(v) == size else None for v in vectors]
+    matrix = np.array([np.full(size, np.nan) if v is None else np.asarray(v, dtype=np.float64) for v in rows]).reshape(len(rows), size)
+    norms = np.sqrt((matrix * matrix).sum(axis=1))
+    good = np.isfinite(norms) & (norms > 0)
+    return matrix[good] / norms[good, None], np.flatnonzero(good)
+
+
+def _nearest(spark, id_col: str, filter_col: str | None, block: list, k: int):
+    """A task's best ``k`` rows for every query of a block, for ``mapInPandas``."""
+    by_size: dict[int, list] = {}
+    for row in block:
+        by_size.setdefault(len(row["QUERY_VECTOR"]), []).append(row)
+    groups = []
+    for size, rows in by_size.items():
+        matrix, good = _unit_rows([r["QUERY_VECTOR"] for r in rows], size)
+        groups.append((size, matrix, [(rows[i]["QUERY_ID"], rows[i]["FILTER_VALUE"] if filter_col else None) for i in good]))
+    shared = spark.sparkContext.broadcast(groups)
+
+    def best(batches):
+        kept = None
+        for batch in batches:
+            for size, matrix, asked in shared.value:
+                units, at = _unit_rows(batch["_v"], size)
+                if not len(at) or not asked:
+                    continue
+                scores = np.round(units @ matrix.T, 9)
+                ids = batch[id_col].to_numpy()[at]
+                values = batch[filter_col].to_numpy()[at] if filter_col else None
+                found = [] if kept is None else [kept]
+                for q, (query, value) in enumerate(asked):
+                    rows = np.flatnonzero(values == value) if filter_col else np.arange(len(at))
+                    if len(rows) > k:  # all that reach the k-th best here, ties included
+                        rows = rows[scores[rows, q] >= np.partition(scores[rows, q], -k)[-k]]
+                    if len(rows):
+                        found.append(pd.DataFrame({"QUERY_ID": [query] * len(rows), id_col: ids[rows], "SCORE": scores[rows, q]}))
+                if found:
+                    kept = (pd.concat(found).sort_values(["QUERY_ID", "SCORE", id_col], ascending=[True, False, True])
+                            .groupby("QUERY_ID").head(k))
+        if kept is not None:
+            yield kept
+
+    return best
 
 
 # ---- text --------------------------------------------------------------------------
@@ -216,19 +272,3 @@ def _block_best(spark, id_col: str, weights: pd.DataFrame, k: int):
         yield from kept
 
     return best
-
-
-def genre_guide(spark) -> DataFrame:
-    """The five-entry genre guide used by the text-search example."""
-    # The guide texts and the sample question, as the reference states them.
-    rows = [
-        ("NEWS", "NEWS ニュース。社会の出来事、地域の話題、政治や経済の動きを伝えるジャンル。教材用の架空説明です。"),
-        ("DRAMA", "DRAMA ドラマ。登場人物の関係や成長を物語として描くジャンル。教材用の架空説明です。"),
-        ("VARIETY", "VARIETY バラエティ。トーク、クイズ、企画などを楽しむジャンル。教材用の架空説明です。"),
-        ("ANIME", "ANIME アニメ。アニメーションで物語やキャラクターを表現するジャンル。教材用の架空説明です。"),
-        ("SPORTS", "SPORTS スポーツ。試合の結果、選手の活躍、競技の解説や中継を扱うジャンル。教材用の架空説明です。"),
-    ]
-    return spark.createDataFrame(rows, "GENRE string, GUIDE_TEXT string")
-
-
-GUIDE_SAMPLE_QUERY = "試合の結果や選手の活躍を知りたい"

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from tvpulse.operators import quality as Q
 from tvpulse.operators.clean import clean_viewing
-from tvpulse.operators.marts import device_daily, viewing_minutes
+from tvpulse.operators.marts import common_minute_audience, common_viewing_daily, device_daily, viewing_minutes
 from tvpulse.operators.sweep import minute_audience_sweep
+from tvpulse.plans.versions import Versions
 from tvpulse.session import output_dir
 from tvpulse.schemas import (AUDIENCE_COLUMNS, AUDIENCE_KEYS, CLEAN_COLUMNS, DAILY_COLUMNS, DAILY_KEYS,
                              GENRES, MINUTE_COLUMNS, NETWORKS)
@@ -31,6 +32,7 @@ COMMON_CHECKS = ("common_daily_not_null", "common_daily_grain", "common_minute_n
                  "common_minute_grain", "common_daily_totals", "common_minute_totals")
 #: The gate's own check: no raw row is outside the stations that were built.
 GATE_CHECKS = COMMON_CHECKS + ("raw_network",)
+REPORT = "CHECK_NAME string, SCOPE string, VIOLATIONS long"
 
 
 class StationBuild:
@@ -70,7 +72,7 @@ def station_checks(b: StationBuild) -> dict[str, DataFrame]:
         "clean_valid_intervals": Q.invalid_intervals(b.clean),
         "daily_not_null": Q.not_null(b.daily, DAILY_COLUMNS),
         "daily_grain": Q.unique_grain(b.daily, DAILY_KEYS),
-        "daily_station_volume": Q.station_volume(b.raw, b.clean, b.daily),
+        "daily_station_volume": Q.station_volume(b.raw, b.clean, b.daily, [b.station]),
         "minutes_not_null": Q.not_null(b.minutes, MINUTE_COLUMNS),
         "minutes_grain": Q.unique_grain(b.minutes, ["NETWORK_ID", "EVENT_ID", "MINUTE_AT"]),
         "minutes_expansion": Q.minute_expansion(b.clean, b.minutes),
@@ -161,64 +163,109 @@ def outside_stations(raw_all: DataFrame, stations=NETWORKS) -> DataFrame:
     return raw_all.filter(~F.coalesce(known, F.lit(False)))
 
 
-def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS) -> dict[str, str]:
-    """Build each station, check everything, then write the common marts.
+#: What is stored per station, and its declared form.
+_RAW = "EVENT_ID string, NETWORK_ID string, DEVICE_ID string, VIEW_FROM timestamp_ntz, VIEW_TO timestamp_ntz, GENRE string"
+STATION_MARTS = {
+    "raw": _RAW, "clean_viewing": f"{_RAW}, VIEW_MINUTES double",
+    "mart_device_daily": "NETWORK_ID string, DEVICE_ID string, VIEW_DATE date, GENRE string, SESSION_COUNT int, VIEW_MINUTES double",
+    "mart_minute_audience": "NETWORK_ID string, VIEW_DATE date, MINUTE_AT timestamp_ntz, VIEWING_DEVICES int"}
 
-    Station marts are written first (full refresh, one folder per station,
-    S11/S12) so checks and the common union read materialised tables instead
-    of recomputing lineage; the common marts are written only after the gate,
-    which also fails on raw rows of unknown stations.
-    The report itself is a handful of rows (one per check).
-    """
+
+def _stored(spark, run: str, name: str) -> DataFrame:
+    df = spark.read.schema(STATION_MARTS[name]).parquet(f"{run}/{name}")
+    return df.select(*[f.split()[0] for f in STATION_MARTS[name].split(", ")])
+
+
+def store_stations(raw_all: DataFrame, out_dir: str, stations=NETWORKS, marts=tuple(STATION_MARTS)) -> str:
+    """Build the stations' marts and make them the stations' current
+    versions; returns the run folder.
+
+    All stations are built in one pass per mart, each into a folder of its own
+    (``NETWORK_ID=...``). Other stations' folders are not touched, so this is
+    the refresh of one station as well as the build of all. ``marts`` may leave
+    out stages that nobody reads; a stage reads the stored one before it if
+    that is kept."""
+    spark, versions = raw_all.sparkSession, Versions(raw_all.sparkSession, f"{out_dir}/stations")
+    run = versions.new_run()
+    stages = {"raw": lambda stored: raw_all.filter(F.col("NETWORK_ID").isin(list(stations))),
+              "clean_viewing": lambda stored: clean_viewing(stored("raw")),
+              "mart_device_daily": lambda stored: device_daily(stored("clean_viewing")),
+              "mart_minute_audience": lambda stored: minute_audience_sweep(stored("clean_viewing"))}
+
+    def stage(name: str) -> DataFrame:
+        return _stored(spark, run, name) if name in marts else stages[name](stage)
+
+    for name in STATION_MARTS:
+        if name in marts:
+            stages[name](stage).write.partitionBy("NETWORK_ID").parquet(f"{run}/{name}")
+    versions.publish(run, *stations)
+    return run
+
+
+def station_mart(spark, out_dir: str, name: str, station: str) -> DataFrame:
+    """One station's current mart, from that station's folder alone (the others
+    are pruned); a station without rows is the empty mart."""
+    run = Versions(spark, f"{out_dir}/stations").current(station)
+    return _stored(spark, run, name).filter(F.col("NETWORK_ID") == station)
+
+
+def stored_station(spark, out_dir: str, station: str) -> StationBuild:
+    """A station's current marts as the stages of a build; minutes are derived."""
+    b = StationBuild.__new__(StationBuild)
+    b.station = station
+    b.raw, b.clean, b.daily, b.audience = (station_mart(spark, out_dir, name, station) for name in STATION_MARTS)
+    b.minutes = viewing_minutes(b.clean)
+    return b
+
+
+def common_daily(spark, out_dir: str, stations=NETWORKS) -> DataFrame:
+    """UNION ALL of the stations' separately stored daily marts."""
+    return common_viewing_daily([station_mart(spark, out_dir, "mart_device_daily", s) for s in stations])
+
+
+def common_audience(spark, out_dir: str, stations=NETWORKS) -> DataFrame:
+    """UNION ALL of the stations' separately stored minute marts."""
+    return common_minute_audience([station_mart(spark, out_dir, "mart_minute_audience", s) for s in stations])
+
+
+def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS, refresh=None) -> str:
+    """Q14: build the stations, check everything, then publish the common marts.
+
+    ``refresh`` names the stations to build anew (default: all); the others
+    keep their current versions. Checks and union read the stored marts. The
+    common marts are written only after the gate, which also fails on raw rows
+    of unknown stations, and become current by one pointer row after the last
+    of them is written: readers never see a failed or half-written build.
+    Returns the run folder; the report (one row per check) is stored in it."""
     spark = raw_all.sparkSession
-    paths: dict[str, str] = {}
-    for s in stations:
-        b = StationBuild(raw_all.filter(F.col("NETWORK_ID") == s), s)
-        for name, df in (("clean_viewing", b.clean), ("mart_device_daily", b.daily),
-                         ("mart_minute_audience", b.audience)):
-            path = f"{out_dir}/{s.lower()}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            paths[f"{s}/{name}"] = path
-    read = lambda s, n: spark.read.parquet(paths[f"{s}/{n}"])
-    daily_by = {s: read(s, "mart_device_daily") for s in stations}
-    aud_by = {s: read(s, "mart_minute_audience") for s in stations}
-    common_daily = reduce(DataFrame.unionByName, [d.select(*DAILY_COLUMNS) for d in daily_by.values()])
-    common_aud = reduce(DataFrame.unionByName, [a.select(*AUDIENCE_COLUMNS) for a in aud_by.values()])
-    parts = []
-    for s in stations:
-        b = StationBuild(raw_all.filter(F.col("NETWORK_ID") == s), s)
-        b.clean, b.daily, b.audience = read(s, "clean_viewing"), daily_by[s], aud_by[s]
-        b.minutes = viewing_minutes(b.clean)
-        parts.append(dq_report(station_checks(b), s))
-    parts.append(dq_report(common_checks(daily_by, aud_by, common_daily, common_aud)
-                           | {"raw_network": outside_stations(raw_all, stations)}, "COMMON"))
+    store_stations(raw_all, out_dir, stations if refresh is None else refresh)
+    builds = {s: stored_station(spark, out_dir, s) for s in stations}
+    daily, audience = common_daily(spark, out_dir, stations), common_audience(spark, out_dir, stations)
+    parts = [dq_report(station_checks(b), s) for s, b in builds.items()]
+    parts.append(dq_report(
+        common_checks({s: b.daily for s, b in builds.items()}, {s: b.audience for s, b in builds.items()}, daily, audience)
+        | {"raw_network": outside_stations(raw_all, stations)}, "COMMON"))
     rows = reduce(DataFrame.unionByName, parts).collect()  # one row per check
-    required = {s: STATION_CHECKS for s in stations}
-    required["COMMON"] = GATE_CHECKS
-    assert_all_passed(rows, required)
-    # write the new common version beside the current one, then switch the
-    # pointer: readers never see a half-written or failed build
-    run_id = uuid.uuid4().hex
+    assert_all_passed(rows, {s: STATION_CHECKS for s in stations} | {"COMMON": GATE_CHECKS})
+    versions = Versions(spark, f"{out_dir}/common")
+    run = versions.new_run()
+    spark.createDataFrame(rows, REPORT).coalesce(1).write.parquet(f"{run}/report")
     # station folders prune station filters; range partitioning on (station,
     # date, third key) keeps each file's dates narrow, so date scopes skip row
     # groups, and its sampled bounds split a hot station-day over several tasks
-    for name, df, order in (("viewing_daily", common_daily, ["NETWORK_ID", "VIEW_DATE", "DEVICE_ID"]),
-                            ("minute_audience", common_aud, ["NETWORK_ID", "VIEW_DATE", "MINUTE_AT"])):
-        path = f"{out_dir}/common/run={run_id}/{name}"
-        (df.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.mode("overwrite").partitionBy("NETWORK_ID").parquet(path))
-        paths[f"COMMON/{name}"] = path
-    spark.createDataFrame([(run_id,)], "RUN_ID string").coalesce(1).write.mode("overwrite") \
-        .text(f"{out_dir}/common/_CURRENT")
-    return paths
-
-
-def read_common(spark, out_dir: str, name: str):
-    """Read the published common mart ``name`` through the _CURRENT pointer."""
-    run_id = spark.read.text(f"{out_dir}/common/_CURRENT").first()[0]
-    columns = DAILY_COLUMNS if name == "viewing_daily" else AUDIENCE_COLUMNS
-    return spark.read.parquet(f"{out_dir}/common/run={run_id}/{name}").select(*columns)
-
-
-__all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report",
-           "assert_all_passed", "publish_common", "read_common", "GateError"]
+    for name, df, order in (("viewing_daily", daily, ["NETWORK_ID", "VIEW_DATE", "DEVICE_ID"]),
+                            ("minute_audience", audience, ["NETWORK_ID", "VIEW_DATE", "MINUTE_AT"])):
+        df.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("NETWORK_ID").parquet(f"{run}/{name}")
+    versions.publish(run)
+    return run
+
+
+def read_common(spark, out_dir: str, name: str) -> DataFrame:
+    """The current common mart ``name`` ("viewing_daily", "minute_audience")
+    or the "report" of its gate."""
+    columns = {"viewing_daily": DAILY_COLUMNS, "minute_audience": AUDIENCE_COLUMNS, "report": ["CHECK_NAME", "SCOPE", "VIOLATIONS"]}[name]
+    return spark.read.parquet(f"{Versions(spark, f'{out_dir}/common').current()}/{name}").select(*columns)
+
+
+__all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report", "assert_all_passed", "store_stations",
+           "station_mart", "stored_station", "common_daily", "common_audience", "publish_common", "read_common", "GateError"]

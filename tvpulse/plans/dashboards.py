@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tvpulse.functions.time import minutes_sum
+from tvpulse.functions.time import epoch_micros, minutes_sum
 from tvpulse.operators import metrics as K
 from tvpulse.plans.scope import Scope
+from tvpulse.schemas import NETWORKS
 
 KPIS = ("DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS", "MINUTES_PER_DEVICE")
 
@@ -49,47 +50,71 @@ def dash_summary(daily: DataFrame, scope: Scope, gate_on_data_start: bool = True
                              for k in KPIS])
 
 
-TREND_SETS = {
-    "daily": ("VIEW_DATE",),
-    "network": ("NETWORK_ID",),
-    "genre": ("GENRE",),
-    "network_genre": ("NETWORK_ID", "GENRE"),
-}
+#: D2's groupings: every dimension alone, and stations by genre.
+TRENDS = [(d,) for d in K.DIMENSIONS] + [("NETWORK_ID", "GENRE")]
 
 
 def dash_trends(daily: DataFrame, scope: Scope) -> DataFrame:
     """A3 + A4 + A5 + A6 for one scope in one pass (grouping sets).
 
-    ``TREND_VIEW`` names the grouping; reach is recomputed per grouping.
+    ``TREND_VIEW`` names the grouping after its dimensions; reach is
+    recomputed per grouping.
     """
-    scoped = scope.apply(daily)
-    dims = ["VIEW_DATE", "NETWORK_ID", "GENRE"]
-    grouped = scoped.groupingSets([[F.col(c) for c in cols] for cols in TREND_SETS.values()], *dims)
-    out = grouped.agg(*K.kpi_columns(), *[F.grouping(c).alias("_g_" + c) for c in dims])
-    view = F.when(F.col("_g_VIEW_DATE") == 0, F.lit("daily")) \
-        .when(F.col("_g_GENRE") == 1, F.lit("network")) \
-        .when(F.col("_g_NETWORK_ID") == 1, F.lit("genre")) \
-        .otherwise(F.lit("network_genre"))
-    return out.select(view.alias("TREND_VIEW"), *dims, "DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS")
+    grouped = scope.apply(daily).groupingSets([[F.col(c) for c in dims] for dims in TRENDS], *K.DIMENSIONS)
+    out = grouped.agg(*K.kpi_columns(), *[F.grouping(c).alias("_g_" + c) for c in K.DIMENSIONS])
+    view = F.concat_ws("_", *[F.when(F.col("_g_" + c) == 0, F.lit(name)) for c, name in K.DIMENSIONS.items()])
+    return out.select(view.alias("TREND_VIEW"), *K.DIMENSIONS, "DISTINCT_REACH", "TOTAL_MINUTES", "TOTAL_SESSIONS")
+
+
+def minute_scope(audience: DataFrame, day, networks) -> DataFrame:
+    """One day's minute audience for the chosen stations, no zero fill."""
+    return Scope.of(day, day, networks).apply(audience)
 
 
 def minute_series(audience: DataFrame, day, networks) -> DataFrame:
-    """O1: one day's minute audience for the chosen stations, no zero fill."""
-    scope = Scope.of(day, day, networks)
-    return scope.apply(audience).orderBy("MINUTE_AT", "NETWORK_ID")
+    """O1: the scope in display order."""
+    return minute_scope(audience, day, networks).orderBy("MINUTE_AT", "NETWORK_ID")
 
 
 def dash_minute(audience: DataFrame, day, networks) -> DataFrame:
-    """Station peaks of one day plus which one is the overall top peak."""
-    peaks = K.minute_peaks(minute_series(audience, day, networks))
-    # at most one row per station: the global window sees five rows
-    w = Window.orderBy(F.col("VIEWING_DEVICES").desc(), F.col("NETWORK_ID").asc())
-    return peaks.withColumn("IS_TOP_PEAK", F.row_number().over(w) == 1)
+    """The day's series (O1), its pivot (R1) and the station peaks with the
+    top one marked (W5, W6), tagged by MINUTE_VIEW.
+
+    The mart is dealt by day once. On that partitioning the minutes become
+    rows that carry a station-to-devices map, and a window over the day's
+    minutes (1,440 at most) finds the peaks, so nothing is shuffled or sorted
+    again; each minute row then unfolds into what the views show of it."""
+    scope = Scope.of(day, day, networks)
+    stations = sorted(scope.networks)
+    seen = F.map_from_entries(F.collect_list(F.struct("NETWORK_ID", "VIEWING_DEVICES")))
+    minutes = (scope.apply(audience).repartition("VIEW_DATE").groupBy("VIEW_DATE", "MINUTE_AT").agg(seen.alias("seen")))
+    # the most devices, then the earliest minute; over stations, the lowest id
+    at = epoch_micros("MINUTE_AT")
+    whole_day = Window.partitionBy("VIEW_DATE")
+    for s in stations:
+        best = F.when(F.col("seen")[s].isNotNull(), F.struct(F.col("seen")[s].alias("n"), (-at).alias("at")))
+        minutes = minutes.withColumn("_" + s, F.max(best).over(whole_day))
+    top = F.array_max(F.array(*[F.struct(F.col("_" + s)["n"].alias("n"), F.lit(-i).alias("rank")) for i, s in enumerate(stations)]))
+
+    def row(view: str, station=None, devices=None, peak=None, pivot=False):
+        none = F.lit(None)
+        return F.struct(
+            F.lit(view).alias("MINUTE_VIEW"), (none if station is None else F.lit(station)).cast("string").alias("NETWORK_ID"),
+            F.col("MINUTE_AT"), (none if devices is None else devices).cast("int").alias("VIEWING_DEVICES"),
+            (none if peak is None else peak).cast("boolean").alias("IS_TOP_PEAK"),
+            *[(F.col("seen")[n] if pivot and n in stations else none).cast("int").alias(n) for n in NETWORKS])
+
+    rows = [row("pivot", pivot=True)]
+    for i, s in enumerate(stations):
+        here, best = F.col("seen")[s], F.col("_" + s)
+        rows.append(F.when(here.isNotNull(), row("series", s, here)))
+        rows.append(F.when((here == best["n"]) & (-at == best["at"]), row("peak", s, here, F.col("top")["rank"] == -i)))
+    return minutes.withColumn("top", top).select(F.inline(F.array_compact(F.array(*rows))))
 
 
 def trend_series(daily: DataFrame, scope: Scope) -> DataFrame:
     """Daily reach on the full calendar of the scope plus the 7-day mean."""
-    cal = K.calendar_reindex(K.kpi(scope.apply(daily), "daily"), scope.start, scope.end)
+    cal = K.calendar_reindex(K.kpi(scope.apply(daily), "VIEW_DATE"), scope.start, scope.end)
     return K.reach_7d(cal)
 
 

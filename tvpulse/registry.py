@@ -2,18 +2,15 @@
 
 Every key reads the test tables under ``sf_dir`` (through the adapter in
 ``sources.testdata``) and builds its stages lazily with ``Pipeline``, so the
-work of each key grows with the data. Scopes are parameters: FOCUS and the minute day
-exercise the scope filter, previous-period comparison and one-day views.
-``minutes_per_device``, ``selected_health``, ``pred_join_strict``,
-``pred_join_compact``, ``prediction_distribution`` and ``probability_histogram``
-still cover FOCUS only, as their oracles do; other keys cover all days and
-stations.
+work of each key grows with the data. Scopes are parameters: only the scope
+filter and the dashboards use FOCUS and the minute day; all other keys cover
+all days and stations.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +34,11 @@ from tvpulse.plans import dashboards as D
 from tvpulse.plans import semantic as S
 from tvpulse.plans.pipeline import Pipeline
 from tvpulse.plans.scope import Scope
-from tvpulse.schemas import (CLEAN_COLUMNS, DAILY_KEYS, GENRES, NETWORKS,
-                             VIEWING_LOG)
+from tvpulse.schemas import (CLEAN_COLUMNS, DAILY_KEYS, DATASET_VERSION, DEVICE_LABELS, GENRES, NETWORKS, PROGRAM_MASTER,
+                             PROGRAM_SCHEDULE, VIEWING_LOG)
 from tvpulse.session import output_dir
-from tvpulse.sources import readers, testdata
+from tvpulse.sources import faults, readers, testdata
+from tvpulse.sources.history import LoadHistory
 from tvpulse.streaming.ingest import load_once
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +56,9 @@ def query(name: str):
 
 @query("src_viewing_log")
 def q_src_viewing_log(spark, sf):
-    return testdata.viewing_log(spark, sf, "NW01")
+    """The typed reader on one station's folder of the deployed logs."""
+    logs = readers.versioned(_deployed(spark, sf), DATASET_VERSION, "VIEWING_LOG")
+    return readers.viewing_log(spark, logs, "NW01")
 
 
 @query("src_device_labels")
@@ -117,12 +117,16 @@ def q_device_daily(spark, sf):
     return Pipeline(spark, sf).daily
 
 
+def _stored_stations(p: Pipeline, mart: str) -> str:
+    out = _new_folder(p.spark, "marts")
+    B.store_stations(p.raw, out, marts=(mart,))
+    return out
+
+
 @query("common_viewing_daily")
 def q_common_viewing_daily(spark, sf):
-    """U1. NETWORK_ID is a key of the station marts, so their UNION ALL is the
-    one grouped pass over all stations (one shuffle instead of five pipelines);
-    ``marts.union_marts`` unions separately written station marts in the build."""
-    return Pipeline(spark, sf).daily
+    """The union of five stored station marts."""
+    return B.common_daily(spark, _stored_stations(Pipeline(spark, sf), "mart_device_daily"))
 
 
 @query("viewing_minutes")
@@ -142,18 +146,19 @@ def q_minute_audience_sweep(spark, sf):
 
 @query("common_minute_audience")
 def q_common_minute_audience(spark, sf):
-    """U2, as U1: the all-station sweep equals the union of station sweeps."""
-    return minute_audience_sweep(C.valid_intervals_filter(Pipeline(spark, sf).raw))
+    """The union of five stored station marts."""
+    return B.common_audience(spark, _stored_stations(Pipeline(spark, sf), "mart_minute_audience"))
 
 
 @query("kpi_network")
 def q_kpi_network(spark, sf):
-    return K.kpi(Pipeline(spark, sf).daily, "network")
+    return K.kpi(Pipeline(spark, sf).daily, "NETWORK_ID")
 
 
-# ---- scopes used by the registered dashboard queries and the six FOCUS keys
-# named above; other keys cover every day and station of the data
+# ---- scopes of the dashboard queries; other keys cover every day and station
 FOCUS = Scope.of("2024-01-15", "2024-01-28", ("NW01", "NW02", "NW04"))
+
+
 def _whole_period(p: Pipeline) -> Scope:
     """First to last viewing date of the data (A9) and all stations; exact
     copies don't change it, so one scan of the valid rows is enough."""
@@ -172,27 +177,27 @@ def q_scope_filter(spark, sf):
 
 @query("kpi_summary")
 def q_kpi_summary(spark, sf):
-    return K.kpi(Pipeline(spark, sf).daily, "summary")
+    return K.kpi(Pipeline(spark, sf).daily)
 
 
 @query("kpi_daily")
 def q_kpi_daily(spark, sf):
-    return K.kpi(Pipeline(spark, sf).daily, "daily")
+    return K.kpi(Pipeline(spark, sf).daily, "VIEW_DATE")
 
 
 @query("kpi_genre")
 def q_kpi_genre(spark, sf):
-    return K.kpi(Pipeline(spark, sf).daily, "genre")
+    return K.kpi(Pipeline(spark, sf).daily, "GENRE")
 
 
 @query("kpi_network_genre")
 def q_kpi_network_genre(spark, sf):
-    return K.kpi(Pipeline(spark, sf).daily, "network_genre")
+    return K.kpi(Pipeline(spark, sf).daily, "NETWORK_ID", "GENRE")
 
 
 @query("minutes_per_device")
 def q_minutes_per_device(spark, sf):
-    return K.minutes_per_device(K.kpi(FOCUS.apply(Pipeline(spark, sf).daily), "summary"))
+    return K.minutes_per_device(K.kpi(Pipeline(spark, sf).daily))
 
 
 @query("network_share")
@@ -225,7 +230,7 @@ def q_conditional_sums(spark, sf):
 def q_calendar_reindex(spark, sf):
     p = Pipeline(spark, sf)
     period = _whole_period(p)
-    return K.calendar_reindex(K.kpi(p.daily, "daily"), period.start, period.end)
+    return K.calendar_reindex(K.kpi(p.daily, "VIEW_DATE"), period.start, period.end)
 
 
 @query("reach_7d")
@@ -247,18 +252,18 @@ def q_minute_series(spark, sf):
 
 @query("minute_peaks")
 def q_minute_peaks(spark, sf):
-    return K.minute_peaks(D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
+    return K.minute_peaks(D.minute_scope(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
 
 
 @query("minute_top_peak")
 def q_minute_top_peak(spark, sf):
-    series = D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
+    series = D.minute_scope(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS)
     return K.minute_top_peak(K.minute_peaks(series))
 
 
 @query("minute_pivot")
 def q_minute_pivot(spark, sf):
-    return K.minute_pivot(D.minute_series(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
+    return K.minute_pivot(D.minute_scope(Pipeline(spark, sf).audience, MINUTE_DAY, MINUTE_STATIONS))
 
 
 @query("dash_summary")
@@ -278,71 +283,45 @@ def q_dash_minute(spark, sf):
 
 # ---- 2.9 data quality (violating rows; empty = pass) ----------------------------
 
-@query("dq_not_null")
-def q_dq_not_null(spark, sf):
-    return Q.not_null(Pipeline(spark, sf).clean, CLEAN_COLUMNS)
-
-
-@query("dq_unique_grain")
-def q_dq_unique_grain(spark, sf):
-    return Q.unique_grain(Pipeline(spark, sf).daily, DAILY_KEYS)
-
-
-@query("dq_unique")
-def q_dq_unique(spark, sf):
-    return Q.unique(Pipeline(spark, sf).clean, "EVENT_ID")
-
-
-@query("dq_accepted_values")
-def q_dq_accepted_values(spark, sf):
-    return Q.accepted_values(Pipeline(spark, sf).clean, "GENRE", GENRES)
-
-
-@query("dq_device_id")
-def q_dq_device_id(spark, sf):
-    return Q.invalid_device_ids(Pipeline(spark, sf).clean)
+def _against_stations(p: Pipeline, common: DataFrame, mart: str, kind: str) -> DataFrame:
+    """Separately stored station marts against a common mart made in one pass."""
+    out = _stored_stations(p, mart)
+    return Q.common_totals_match({s: B.station_mart(p.spark, out, mart, s) for s in NETWORKS}, common, kind)
 
 
-@query("dq_device_id_range")
-def q_dq_device_id_range(spark, sf):
-    return Q.device_id_out_of_range(Pipeline(spark, sf).predictions)
+#: Check -> its rows, from stages (raw, clean, ...), and the stages that its
+#: ``_faulty`` twin replaces by ones with seeded faults (sources/faults.py).
+CHECKS = {
+    "dq_not_null": (lambda p: Q.not_null(p.clean, CLEAN_COLUMNS), ("clean",)),
+    "dq_unique_grain": (lambda p: Q.unique_grain(p.daily, DAILY_KEYS), ("daily",)),
+    "dq_unique": (lambda p: Q.unique(p.clean, "EVENT_ID"), ("clean",)),
+    "dq_accepted_values": (lambda p: Q.accepted_values(p.clean, "GENRE", GENRES), ("clean",)),
+    "dq_accepted_station": (lambda p: Q.accepted_values(p.clean, "NETWORK_ID", NETWORKS), ("clean",)),
+    "dq_device_id": (lambda p: Q.invalid_device_ids(p.clean), ("clean",)),
+    "dq_device_id_range": (lambda p: Q.device_id_out_of_range(p.predictions), ("predictions",)),
+    "dq_valid_intervals": (lambda p: Q.invalid_intervals(p.clean), ("clean",)),
+    "dq_station_volume": (lambda p: Q.station_volume(p.raw, p.clean, p.daily), ("clean", "daily")),
+    "dq_minute_expansion": (lambda p: Q.minute_expansion(p.clean, p.minutes), ("minutes",)),
+    "dq_minute_audience": (lambda p: Q.minute_audience_matches(p.minutes, p.audience), ("audience",)),
+    "dq_common_daily": (lambda p: _against_stations(p, p.daily, "mart_device_daily", "daily"), ("daily",)),
+    "dq_common_minute": (lambda p: _against_stations(p, p.audience, "mart_minute_audience", "minute"), ("audience",)),
+    "feature_checks": (lambda p: MF.feature_checks(p.features, p.labels), ("features", "labels")),
+}
 
 
-@query("dq_valid_intervals")
-def q_dq_valid_intervals(spark, sf):
-    return Q.invalid_intervals(Pipeline(spark, sf).clean)
+def _check(name: str, faulty: bool) -> Query:
+    rows, replaced = CHECKS[name]
 
+    def run(spark, sf):
+        p = Pipeline(spark, sf)
+        if faulty:  # every stage is planned before one is replaced: faults don't spread
+            p.__dict__.update({stage: getattr(faults, stage)(getattr(p, stage)) for stage in reversed(replaced)})
+        return rows(p)
+    return run
 
-@query("dq_station_volume")
-def q_dq_station_volume(spark, sf):
-    p = Pipeline(spark, sf)
-    return Q.station_volume(p.raw, p.clean, p.daily)
-
-
-@query("dq_minute_expansion")
-def q_dq_minute_expansion(spark, sf):
-    p = Pipeline(spark, sf)
-    return Q.minute_expansion(p.clean, p.minutes)
-
-
-@query("dq_minute_audience")
-def q_dq_minute_audience(spark, sf):
-    p = Pipeline(spark, sf)
-    return Q.minute_audience_matches(p.minutes, p.audience)
 
-
-@query("dq_common_daily")
-def q_dq_common_daily(spark, sf):
-    p = Pipeline(spark, sf)
-    stations = {s: p.daily.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
-    return Q.common_totals_match(stations, p.daily, "daily")
-
-
-@query("dq_common_minute")
-def q_dq_common_minute(spark, sf):
-    p = Pipeline(spark, sf)
-    stations = {s: p.audience.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
-    return Q.common_totals_match(stations, p.audience, "minute")
+for _name in CHECKS:
+    QUERIES[_name], QUERIES[_name + "_faulty"] = _check(_name, False), _check(_name, True)
 
 
 @query("dq_report")
@@ -350,6 +329,14 @@ def q_dq_report(spark, sf):
     return B.full_report(Pipeline(spark, sf).raw, materialize=True)
 
 
+@query("gate_report")
+def q_gate_report(spark, sf):
+    """Build, check and publish; the rows the gate let through."""
+    out = _new_folder(spark, "build")
+    B.publish_common(Pipeline(spark, sf).raw, out)
+    return B.read_common(spark, out, "report")
+
+
 @query("label_coverage")
 def q_label_coverage(spark, sf):
     p = Pipeline(spark, sf)
@@ -368,10 +355,17 @@ def q_fold_totals(spark, sf):
     return I.fold_totals(I.fold_intervals(Pipeline(spark, sf).clean))
 
 
+@query("fold_rows")
+def q_fold_rows(spark, sf):
+    """The totals on every folded row."""
+    return I.fold_with_totals(I.fold_intervals(Pipeline(spark, sf).clean), _new_folder(spark, "fold"))
+
+
 # ---- 2.10 prediction snapshot ------------------------------------------------------
 
-def _selected(p: Pipeline, scope: Scope):
-    return P.selected_devices(scope.apply(p.daily))
+def _known_devices(p: Pipeline) -> DataFrame:
+    """How many devices must have a prediction: those of the label table."""
+    return p.labels.agg(F.count_distinct("DEVICE_ID"))
 
 
 @query("prediction_health")
@@ -381,7 +375,7 @@ def q_prediction_health(spark, sf):
 
 @query("selected_health")
 def q_selected_health(spark, sf):
-    return P.selected_health(_selected(Pipeline(spark, sf), FOCUS))
+    return P.selected_health(P.selected_devices(Pipeline(spark, sf).daily))
 
 
 @query("unique_predictions")
@@ -392,19 +386,19 @@ def q_unique_predictions(spark, sf):
 @query("pred_join_strict")
 def q_pred_join_strict(spark, sf):
     p = Pipeline(spark, sf)
-    return _selected(p, FOCUS).join(P.unique_predictions(p.predictions), "DEVICE_ID", "left")
+    return P.selected_devices(p.daily).join(P.unique_predictions(p.predictions), "DEVICE_ID", "left")
 
 
 @query("pred_join_compact")
 def q_pred_join_compact(spark, sf):
     p = Pipeline(spark, sf)
-    return _selected(p, FOCUS).join(p.predictions, "DEVICE_ID")
+    return P.selected_devices(p.daily).join(p.predictions, "DEVICE_ID")
 
 
 @query("prediction_distribution")
 def q_prediction_distribution(spark, sf):
     p = Pipeline(spark, sf)
-    return P.prediction_distribution(_selected(p, FOCUS), p.predictions)
+    return P.prediction_distribution(P.selected_devices(p.daily), p.predictions)
 
 
 @query("prediction_snapshot")
@@ -422,7 +416,7 @@ def q_prediction_snapshot_compact(spark, sf):
 @query("probability_histogram")
 def q_probability_histogram(spark, sf):
     p = Pipeline(spark, sf)
-    return P.probability_histogram(P.prediction_snapshot(FOCUS.apply(p.daily), p.predictions))
+    return P.probability_histogram(P.prediction_snapshot(p.daily, p.predictions))
 
 
 @query("prediction_class_counts")
@@ -430,10 +424,17 @@ def q_prediction_class_counts(spark, sf):
     return P.prediction_class_counts(Pipeline(spark, sf).predictions)
 
 
+@query("validated_snapshot")
+def q_validated_snapshot(spark, sf):
+    p = Pipeline(spark, sf)
+    return P.validated_snapshot(P.prediction_snapshot(p.daily, p.predictions), _known_devices(p))
+
+
 @query("dash_predictions")
 def q_dash_predictions(spark, sf):
     p = Pipeline(spark, sf)
-    return P.prediction_snapshot(FOCUS.apply(p.daily), p.predictions)
+    taken = P.take_snapshot(FOCUS.apply(p.daily), p.predictions, _new_folder(spark, "snapshots"))
+    return P.prediction_views(P.validated_snapshot(P.snapshot_of(taken), _known_devices(p)))
 
 
 # ---- 2.12 semantic metric view ---------------------------------------------------------
@@ -461,12 +462,6 @@ def q_device_features(spark, sf):
     return Pipeline(spark, sf).features
 
 
-@query("feature_checks")
-def q_feature_checks(spark, sf):
-    p = Pipeline(spark, sf)
-    return MF.feature_checks(p.features, p.labels)
-
-
 @query("features_labeled")
 def q_features_labeled(spark, sf):
     return Pipeline(spark, sf).labeled
@@ -544,6 +539,22 @@ def q_explain_ranking(spark, sf):
     return MX.mean_abs_ranking(MJ.explanations(spark, sf))
 
 
+@query("explain_background")
+def q_explain_background(spark, sf):
+    return MJ.background_explanations(spark, sf)
+
+
+@query("explain_device")
+def q_explain_device(spark, sf):
+    """M13 for one device: what moved the highest score, and which way."""
+    return MX.device_direction(MJ.background_explanations(spark, sf))
+
+
+@query("model_report")
+def q_model_report(spark, sf):
+    return MJ.model_report(spark, sf)
+
+
 @query("score_devices")
 def q_score_devices(spark, sf):
     return MJ.all_scores(spark, sf)
@@ -563,42 +574,59 @@ def q_top5_per_class(spark, sf):
 
 # ---- 2.1 ingestion and sinks -------------------------------------------------------------
 
-# bump when the streaming plan's shape changes: a checkpoint only resumes the
-# same query, so a new shape gets a new target and checkpoint
-INGEST_LAYOUT = "v3"
+#: Table -> schema and partition columns of its deployed and its loaded form.
+LOADED = {"VIEWING_LOG": (VIEWING_LOG, ("NETWORK_ID",)), "DEVICE_LABELS": (DEVICE_LABELS, ()),
+          "PROGRAM_MASTER": (PROGRAM_MASTER, ()), "PROGRAM_SCHEDULE": (PROGRAM_SCHEDULE, ())}
 
 
-def _ingest_paths(spark, sf):
-    tag = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:10]
-    base = f"{output_dir(spark)}/ingest/{tag}/{INGEST_LAYOUT}"
-    return f"{base}/raw_viewing_log", f"{base}/_checkpoint"
+def _new_folder(spark, name: str) -> str:
+    """A folder of this call's own, so that no result depends on earlier runs."""
+    return f"{output_dir(spark)}/{name}/run={uuid.uuid4().hex}"
 
 
-def _ingest(spark, sf):
-    events = testdata.table(spark, sf, "events")
-    target, ckpt = _ingest_paths(spark, sf)
-    loaded = None
-    for _ in range(2):  # the second run must append nothing
-        loaded = load_once(spark, f"{sf.rstrip('/')}/events*.parquet", events.schema, target, ckpt,
-                           transform=testdata.viewing_log_from_events, out_schema=VIEWING_LOG,
-                           partition_by=["NETWORK_ID"])
-    return loaded
+def _deployed(spark, sf) -> str:
+    return testdata.deploy(spark, sf, _new_folder(spark, "deployed"))
+
+
+def _loaded(spark, source: str, *tables: str) -> LoadHistory:
+    history = LoadHistory(spark, _new_folder(spark, "loaded"))
+    for table in tables:
+        schema, by = LOADED[table]
+        for _ in range(2):  # the second run must find nothing to load
+            history.load(source, table, DATASET_VERSION, schema, by)
+    return history
 
 
 @query("ingest_load_once")
 def q_ingest_load_once(spark, sf):
-    return _ingest(spark, sf)
+    return _loaded(spark, _deployed(spark, sf), "VIEWING_LOG").table("VIEWING_LOG", VIEWING_LOG, DATASET_VERSION)
+
+
+@query("ingest_stream")
+def q_ingest_stream(spark, sf):
+    """S8 as a stream: the file source's checkpoint is the load history."""
+    events, base = testdata.table(spark, sf, "events"), _new_folder(spark, "ingest")
+    loaded = None
+    for _ in range(2):  # the second run must append nothing
+        loaded = load_once(spark, f"{sf.rstrip('/')}/events*.parquet", events.schema, f"{base}/raw_viewing_log", f"{base}/checkpoint",
+                           transform=testdata.viewing_log_from_events, out_schema=VIEWING_LOG, partition_by=["NETWORK_ID"])
+    return loaded
 
 
 @query("ingest_row_counts")
 def q_ingest_row_counts(spark, sf):
-    loaded = _ingest(spark, sf)
-    source = Pipeline(spark, sf).raw
-    tables = {f"VIEWING_LOG_{s}": loaded.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
-    expected = {f"VIEWING_LOG_{s}": source.filter(F.col("NETWORK_ID") == s) for s in NETWORKS}
-    tables["DEVICE_LABELS"] = expected["DEVICE_LABELS"] = testdata.device_labels(spark, sf)
-    tables["PROGRAM_MASTER"] = expected["PROGRAM_MASTER"] = testdata.program_master(spark, sf)
-    tables["PROGRAM_SCHEDULE"] = expected["PROGRAM_SCHEDULE"] = testdata.program_schedule(spark, sf)
+    """Loaded rows against the rows in the deployed files' footers."""
+    source = _deployed(spark, sf)
+    history = _loaded(spark, source, *LOADED)
+    tables, expected = {}, {}
+    for table, (schema, _) in LOADED.items():
+        rows, files = history.table(table, schema, DATASET_VERSION), readers.versioned(source, DATASET_VERSION, table)
+        if table == "VIEWING_LOG":
+            for s in NETWORKS:
+                tables[f"{table}_{s}"] = rows.filter(F.col("NETWORK_ID") == s)
+                expected[f"{table}_{s}"] = readers.stored_rows(spark, f"{files}/NETWORK_ID={s}").first()[0]
+        else:
+            tables[table], expected[table] = rows, readers.stored_rows(spark, files).first()[0]
     return readers.row_counts(tables, expected)
 
 
@@ -618,6 +646,13 @@ def q_search_vector_topk(spark, sf):
     return SR.vector_topk(vectors, SR.label_centroids(vectors), k=3)
 
 
+@query("search_vector_all")
+def q_search_vector_all(spark, sf):
+    """F1 without a filter, with a returned column."""
+    vectors = testdata.table(spark, sf, "embeddings")
+    return SR.vector_topk(vectors, SR.label_centroids(vectors), k=3, filter_col=None, returned=("label",))
+
+
 @query("search_text_topk")
 def q_search_text_topk(spark, sf):
     docs = testdata.table(spark, sf, "documents")

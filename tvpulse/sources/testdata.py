@@ -16,6 +16,7 @@ from tvpulse.functions.text import full_width
 from tvpulse.functions.time import minute_floor
 from tvpulse.schemas import (DATASET_VERSION, GENRES, MODEL_NAME, MODEL_VERSION, RAW_COLUMNS,
                              THRESHOLD)
+from tvpulse.sources.readers import versioned
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -25,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the event files' names, sizes and times, from the listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir.rstrip('/')}/events.parquet")
+    listed = F.concat_ws(":", "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    return files.agg(F.md5(F.array_join(F.array_sort(F.collect_list(listed)), ";"))).first()[0]
+
+
 def _genre_by_code(code: Column) -> Column:
     # position in GENRES is the code (0 = NEWS ... 7 = INFO)
     return F.element_at(F.array(*[F.lit(g) for g in GENRES]), (code + 1).cast("int"))
@@ -140,3 +148,13 @@ def program_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_add("MINUTE", start_min, day_start).alias("AIR_FROM"),
         F.timestamp_add("MINUTE", start_min + (k % 4 + 1) * 30, day_start).alias("AIR_TO"),
     )
+
+
+def deploy(spark: SparkSession, sf_dir: str, root: str, dataset_version: str = DATASET_VERSION) -> str:
+    """Write the derived tables as a deployed data set (S9): the five stations'
+    logs as one dataset with a folder per station, labels and programs beside."""
+    for name, df, by in (("VIEWING_LOG", viewing_log(spark, sf_dir), ["NETWORK_ID"]), ("DEVICE_LABELS", device_labels(spark, sf_dir), []),
+                         ("PROGRAM_MASTER", program_master(spark, sf_dir), []),
+                         ("PROGRAM_SCHEDULE", program_schedule(spark, sf_dir), [])):
+        df.write.partitionBy(*by).parquet(versioned(root, dataset_version, name))
+    return root
