@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 
-def genre_guide(spark) -> DataFrame:
-    """The five-entry genre guide used by the text-search example."""
+def genre_guide(spark):
+    """The five-entry genre guide of the text-search example."""
     # The guide texts and the sample question, as the reference states them.
     rows = [
         ("NEWS", "NEWS ニュース。社会の出来事、地域の話題、政治や経済の動きを伝えるジャンル。教材用の架空説明です。"),

@@ -18,11 +18,9 @@ from conftest import SF001
 
 @pytest.fixture(scope="module")
 def nw01(spark):
-    raw = Pipeline(spark, SF001).raw.filter(F.col("NETWORK_ID") == "NW01").cache()
-    b = B.StationBuild(raw, "NW01")
-    b.clean, b.daily, b.minutes, b.audience = (b.clean.cache(), b.daily.cache(), b.minutes.cache(),
-                                               b.audience.cache())
-    return b
+    p = Pipeline(spark, SF001, raw=Pipeline(spark, SF001).raw.filter(F.col("NETWORK_ID") == "NW01").cache())
+    p.__dict__.update({stage: getattr(p, stage).cache() for stage in ("clean", "daily", "minutes", "audience")})
+    return p
 
 
 def test_full_report_is_all_zero(spark):

@@ -33,8 +33,3 @@ def cumulative_before(df: DataFrame, partition_cols: list[str], order_cols: list
 def log_bucket(value: Column, per_octave: int = 16) -> Column:
     """Monotone bucket for non-negative values (0 gets its own lowest bucket)."""
     return F.when(value <= 0, F.lit(-100000)).otherwise(F.floor(F.log2(value) * per_octave)).cast("bigint")
-
-
-def unit_bucket(value: Column, buckets: int = 1024) -> Column:
-    """Monotone bucket for values in [0, 1] (clamped outside)."""
-    return F.least(F.greatest(F.floor(value * buckets), F.lit(-1)), F.lit(buckets)).cast("bigint")

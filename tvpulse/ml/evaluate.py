@@ -3,22 +3,32 @@ aggregates over a scored table (label column, probability column)."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tvpulse.functions.ranking import cumulative_before, unit_bucket
+from tvpulse.functions.ranking import cumulative_before
 from tvpulse.schemas import THRESHOLD
+from tvpulse.session import checkpoint_dir
+
+#: Slices of the ordered scores, each ranked by one task.
+BUCKETS = 256
 
 
 def eval_auc(scored: DataFrame, label: str = "TARGET_F1", score: str = "PROB_F1") -> DataFrame:
     """M9: Mann-Whitney AUC = P(s+ > s-) + 0.5 P(s+ = s-), exact.
 
     Counts per distinct score, then negatives strictly below each score via
-    the bucketed prefix (probabilities bucket into 1,024 slices)."""
+    the bucketed prefix. The buckets end at quantiles of the distinct scores, so
+    scores that crowd into a narrow range still spread over all of them; the
+    bounds move only work between tasks, never the result."""
+    checkpoint_dir(scored.sparkSession)
     per_score = scored.groupBy(score).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg"))
+        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg")).checkpoint()
     pos = F.col("_pos").cast("decimal(19,0)")
-    ranked = cumulative_before(per_score, [], [score], unit_bucket(F.col(score)), F.col("_neg"), "_neg_below")
+    bounds = sorted(set(per_score.approxQuantile(score, [i / BUCKETS for i in range(1, BUCKETS)], 1 / (4 * BUCKETS))))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol=score, outputCol="_slice", handleInvalid="keep")
+    ranked = cumulative_before(cut.transform(per_score), [], [score], F.col("_slice").cast("bigint"), F.col("_neg"), "_neg_below")
     agg = ranked.agg(F.sum(pos * (F.col("_neg_below") * 2 + F.col("_neg")).cast("decimal(19,0)")).alias("_num2"),
                      F.sum("_pos").alias("POSITIVES"), F.sum("_neg").alias("NEGATIVES"))
     return agg.select(

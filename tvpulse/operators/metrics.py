@@ -102,6 +102,16 @@ def calendar_reindex(daily_kpi: DataFrame, start, end) -> DataFrame:
     return F.broadcast(days).join(daily_kpi, "VIEW_DATE", "left")
 
 
+def calendar_fill(daily_kpi: DataFrame) -> DataFrame:
+    """T6 from the first to the last day of the series itself: the days missing
+    before a day's successor follow it with NULLs. One row per day comes in, so
+    the ordered window holds the calendar, and no other pass finds its bounds."""
+    day, values = F.col("VIEW_DATE"), [c for c in daily_kpi.columns if c != "VIEW_DATE"]
+    after = F.lead(day).over(Window.orderBy(day))
+    gaps = daily_kpi.withColumn("_day", F.explode(F.sequence(day, F.coalesce(F.date_sub(after, 1), day))))
+    return gaps.select(F.col("_day").alias("VIEW_DATE"), *[F.when(F.col("_day") == day, F.col(c)).alias(c) for c in values])
+
+
 def reach_7d(calendar: DataFrame) -> DataFrame:
     """7-day mean of daily reach, NULL until seven non-null days.
 

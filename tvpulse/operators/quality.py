@@ -44,16 +44,16 @@ def unique(df: DataFrame, column: str, per: tuple[str, ...] = ("NETWORK_ID",)) -
     return unique_grain(df.filter(F.col(column).isNotNull()), [*per, column])
 
 
-def accepted_values(df: DataFrame, column: str, values) -> DataFrame:
+def accepted_values(df: DataFrame, column: str, values, per: tuple[str, ...] = ()) -> DataFrame:
     """Q4: values outside the accepted set with their row counts (NULL is not
-    reported, as ``NOT IN`` with NULL is unknown)."""
-    return (df.groupBy(F.col(column).alias("VALUE_FIELD")).agg(F.count(F.lit(1)).alias("N_RECORDS"))
-            .filter(~F.col("VALUE_FIELD").isin(list(values))))
+    reported, as ``NOT IN`` with NULL is unknown), for each ``per`` key."""
+    return (df.filter(~F.col(column).isin(list(values))).groupBy(*per, F.col(column).alias("VALUE_FIELD"))
+            .agg(F.count(F.lit(1)).alias("N_RECORDS")))
 
 
-def invalid_device_ids(df: DataFrame, column: str = "DEVICE_ID") -> DataFrame:
+def invalid_device_ids(df: DataFrame, column: str = "DEVICE_ID", keep: tuple[str, ...] = ()) -> DataFrame:
     """Q5: NULL, not ``C`` + 6 digits, or number outside 1..20000."""
-    return df.select(column).filter(device_id_invalid(column))
+    return df.select(*keep, column).filter(device_id_invalid(column))
 
 
 def device_id_out_of_range(df: DataFrame, column: str = "DEVICE_ID") -> DataFrame:
@@ -136,7 +136,7 @@ def _words(minutes: DataFrame) -> DataFrame:
         "_bit", F.expr("shiftleft(1L, CAST(pmod(_n, 64) AS INT))")).drop("_n")
 
 
-def minute_expansion(clean: DataFrame, minutes: DataFrame) -> DataFrame:
+def minute_expansion(clean: DataFrame, minutes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per event, row count, distinct minutes, first and last minute and
     bad buckets of the stored minutes against the event's range.
 
@@ -163,7 +163,7 @@ def minute_expansion(clean: DataFrame, minutes: DataFrame) -> DataFrame:
         F.struct(F.col("a.ACTUAL_MINUTES").alias("EXPECTED_MINUTES"), F.col("a.DISTINCT_MINUTES").alias("d"), F.col("a.lo").alias("_first"),
                  F.col("a.hi").alias("_last"), F.col("a.bad").alias("b")))
     return joined.filter(one_side | ~same).select(
-        F.col("e.EVENT_ID").alias("EXPECTED_EVENT"), F.col("a.EVENT_ID").alias("ACTUAL_EVENT"),
+        *[F.coalesce(f"e.{k}", f"a.{k}").alias(k) for k in keep], F.col("e.EVENT_ID").alias("EXPECTED_EVENT"), F.col("a.EVENT_ID").alias("ACTUAL_EVENT"),
         F.col("e.EXPECTED_MINUTES"), F.col("a.ACTUAL_MINUTES"), F.col("a.DISTINCT_MINUTES"))
 
 

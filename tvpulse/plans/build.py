@@ -1,9 +1,9 @@
 """Station and common builds with their check reports.
 
 ``station_checks`` / ``common_checks`` name the 15 + 6 checks per scope;
-``dq_report`` turns any set of checks into rows (CHECK_NAME, SCOPE,
-VIOLATIONS); ``publish_common`` writes the common marts only when every
-selected check of every station and of common reported zero violations.
+``stations_report`` and ``dq_report`` turn them into rows (CHECK_NAME, SCOPE,
+VIOLATIONS); ``publish_common`` writes the common marts only when every check
+of every station and of common reported zero violations.
 """
 
 from __future__ import annotations
@@ -35,50 +35,26 @@ GATE_CHECKS = COMMON_CHECKS + ("raw_network",)
 REPORT = "CHECK_NAME string, SCOPE string, VIOLATIONS long"
 
 
-class StationBuild:
-    """One station's stages as lazy DataFrames."""
-
-    def __init__(self, raw: DataFrame, station: str):
-        self.station = station
-        self.raw = raw
-        self.clean = clean_viewing(raw)
-        self.daily = device_daily(self.clean)
-        self.minutes = viewing_minutes(self.clean)
-        self.audience = minute_audience_sweep(self.clean)
-
-    @classmethod
-    def view_of(cls, raw, clean, daily, minutes, audience, station: str) -> "StationBuild":
-        """A station's stages as filters of the all-station stages.
-
-        Every stage carries NETWORK_ID (a key of every aggregate and a window
-        partition column of the sweep), so the filter is pushed down to the
-        scan and the rows equal a separate station build, while the plans are
-        built once instead of once per station."""
-        b = cls.__new__(cls)
-        b.station = station
-        on = F.col("NETWORK_ID") == station
-        b.raw, b.clean, b.daily, b.minutes, b.audience = (
-            raw.filter(on), clean.filter(on), daily.filter(on), minutes.filter(on), audience.filter(on))
-        return b
-
-
-def station_checks(b: StationBuild) -> dict[str, DataFrame]:
+def station_checks(raw: DataFrame, clean: DataFrame, daily: DataFrame, minutes: DataFrame, audience: DataFrame,
+                   stations=NETWORKS) -> dict[str, DataFrame]:
+    """The checks of all stations at once: every row names its station."""
+    per = ("NETWORK_ID",)
     return {
-        "clean_not_null": Q.not_null(b.clean, CLEAN_COLUMNS),
-        "clean_network": Q.accepted_values(b.clean, "NETWORK_ID", [b.station]),
-        "clean_event_id_unique": Q.unique(b.clean, "EVENT_ID"),
-        "clean_device_id": Q.invalid_device_ids(b.clean),
-        "clean_genre": Q.accepted_values(b.clean, "GENRE", GENRES),
-        "clean_valid_intervals": Q.invalid_intervals(b.clean),
-        "daily_not_null": Q.not_null(b.daily, DAILY_COLUMNS),
-        "daily_grain": Q.unique_grain(b.daily, DAILY_KEYS),
-        "daily_station_volume": Q.station_volume(b.raw, b.clean, b.daily, [b.station]),
-        "minutes_not_null": Q.not_null(b.minutes, MINUTE_COLUMNS),
-        "minutes_grain": Q.unique_grain(b.minutes, ["NETWORK_ID", "EVENT_ID", "MINUTE_AT"]),
-        "minutes_expansion": Q.minute_expansion(b.clean, b.minutes),
-        "audience_not_null": Q.not_null(b.audience, AUDIENCE_COLUMNS),
-        "audience_grain": Q.unique_grain(b.audience, AUDIENCE_KEYS),
-        "audience_recount": Q.minute_audience_matches(b.minutes, b.audience),
+        "clean_not_null": Q.not_null(clean, CLEAN_COLUMNS),
+        "clean_network": Q.accepted_values(clean, "NETWORK_ID", stations, per),
+        "clean_event_id_unique": Q.unique(clean, "EVENT_ID"),
+        "clean_device_id": Q.invalid_device_ids(clean, keep=per),
+        "clean_genre": Q.accepted_values(clean, "GENRE", GENRES, per),
+        "clean_valid_intervals": Q.invalid_intervals(clean),
+        "daily_not_null": Q.not_null(daily, DAILY_COLUMNS),
+        "daily_grain": Q.unique_grain(daily, DAILY_KEYS),
+        "daily_station_volume": Q.station_volume(raw, clean, daily, stations),
+        "minutes_not_null": Q.not_null(minutes, MINUTE_COLUMNS),
+        "minutes_grain": Q.unique_grain(minutes, ["NETWORK_ID", "EVENT_ID", "MINUTE_AT"]),
+        "minutes_expansion": Q.minute_expansion(clean, minutes, keep=per),
+        "audience_not_null": Q.not_null(audience, AUDIENCE_COLUMNS),
+        "audience_grain": Q.unique_grain(audience, AUDIENCE_KEYS),
+        "audience_recount": Q.minute_audience_matches(minutes, audience),
     }
 
 
@@ -103,16 +79,27 @@ def dq_report(checks: dict[str, DataFrame], scope: str) -> DataFrame:
         for name, df in checks.items()])
 
 
+def stations_report(checks: dict[str, DataFrame], stations=NETWORKS) -> DataFrame:
+    """Q13 by station: each check is planned once and counted by NETWORK_ID;
+    a literal row per check and station keeps the zeros."""
+    spark = next(iter(checks.values())).sparkSession
+    zeros = spark.createDataFrame([(c, s, 0) for c in checks for s in stations], REPORT)
+    counted = [df.filter(F.col("NETWORK_ID").isin(list(stations))).groupBy(F.col("NETWORK_ID").alias("SCOPE"))
+               .agg(F.count(F.lit(1)).alias("VIOLATIONS")).select(F.lit(name).alias("CHECK_NAME"), "SCOPE", "VIOLATIONS")
+               for name, df in checks.items()]
+    return (reduce(DataFrame.unionByName, [zeros, *counted]).groupBy("CHECK_NAME", "SCOPE")
+            .agg(F.sum("VIOLATIONS").alias("VIOLATIONS")))
+
+
 def full_report(raw_all: DataFrame, stations=NETWORKS, common_daily: DataFrame | None = None,
                 common_audience: DataFrame | None = None, materialize: bool = False) -> DataFrame:
-    """All station checks (15 each) plus the 6 common checks as one DataFrame.
-
-    Stages are planned once for all stations and viewed per station. With
-    ``materialize`` every stage (raw included) is computed once and written as
-    a table partitioned by NETWORK_ID under a run id in the shared output
-    folder, which also cuts the lineage: the 81 checks then read stored stages
-    instead of recomputing them, and each station's checks read only that
-    station's folder."""
+    """All station checks (15 each) plus the 6 common checks as one DataFrame
+    of 21 plans, whatever the number of stations.
+
+    With ``materialize`` every stage (raw included) is computed once and
+    written as a table partitioned by NETWORK_ID under a run id in the shared
+    output folder, which also cuts the lineage: the checks then read stored
+    stages instead of recomputing them."""
     clean = clean_viewing(raw_all)
     daily, minutes, audience = device_daily(clean), viewing_minutes(clean), minute_audience_sweep(clean)
     if materialize:
@@ -122,18 +109,13 @@ def full_report(raw_all: DataFrame, stations=NETWORKS, common_daily: DataFrame |
         for name, df in (("raw", raw_all), ("clean", clean), ("daily", daily), ("minutes", minutes),
                          ("audience", audience)):
             df.write.mode("overwrite").partitionBy("NETWORK_ID").parquet(f"{base}/{name}")
-            stored.append(spark.read.parquet(f"{base}/{name}").select(*df.columns))
+            stored.append(spark.read.schema(df.schema).parquet(f"{base}/{name}").select(*df.columns))
         raw_all, clean, daily, minutes, audience = stored
-    builds = {s: StationBuild.view_of(raw_all, clean, daily, minutes, audience, s) for s in stations}
-    daily_by = {s: b.daily for s, b in builds.items()}
-    aud_by = {s: b.audience for s, b in builds.items()}
-    if common_daily is None:
-        common_daily = daily
-    if common_audience is None:
-        common_audience = audience
-    parts = [dq_report(station_checks(b), s) for s, b in builds.items()]
-    parts.append(dq_report(common_checks(daily_by, aud_by, common_daily, common_audience), "COMMON"))
-    return reduce(DataFrame.unionByName, parts)
+    by_station = lambda df: {s: df.filter(F.col("NETWORK_ID") == s) for s in stations}
+    common = common_checks(by_station(daily), by_station(audience), daily if common_daily is None else common_daily,
+                           audience if common_audience is None else common_audience)
+    return stations_report(station_checks(raw_all, clean, daily, minutes, audience, stations), stations).unionByName(
+        dq_report(common, "COMMON"))
 
 
 class GateError(RuntimeError):
@@ -209,15 +191,6 @@ def station_mart(spark, out_dir: str, name: str, station: str) -> DataFrame:
     return _stored(spark, run, name).filter(F.col("NETWORK_ID") == station)
 
 
-def stored_station(spark, out_dir: str, station: str) -> StationBuild:
-    """A station's current marts as the stages of a build; minutes are derived."""
-    b = StationBuild.__new__(StationBuild)
-    b.station = station
-    b.raw, b.clean, b.daily, b.audience = (station_mart(spark, out_dir, name, station) for name in STATION_MARTS)
-    b.minutes = viewing_minutes(b.clean)
-    return b
-
-
 def common_daily(spark, out_dir: str, stations=NETWORKS) -> DataFrame:
     """UNION ALL of the stations' separately stored daily marts."""
     return common_viewing_daily([station_mart(spark, out_dir, "mart_device_daily", s) for s in stations])
@@ -239,13 +212,12 @@ def publish_common(raw_all: DataFrame, out_dir: str, stations=NETWORKS, refresh=
     Returns the run folder; the report (one row per check) is stored in it."""
     spark = raw_all.sparkSession
     store_stations(raw_all, out_dir, stations if refresh is None else refresh)
-    builds = {s: stored_station(spark, out_dir, s) for s in stations}
-    daily, audience = common_daily(spark, out_dir, stations), common_audience(spark, out_dir, stations)
-    parts = [dq_report(station_checks(b), s) for s, b in builds.items()]
-    parts.append(dq_report(
-        common_checks({s: b.daily for s, b in builds.items()}, {s: b.audience for s, b in builds.items()}, daily, audience)
+    marts = {name: {s: station_mart(spark, out_dir, name, s) for s in stations} for name in STATION_MARTS}
+    raw, clean, daily, audience = (reduce(DataFrame.unionByName, by.values()) for by in marts.values())
+    report = stations_report(station_checks(raw, clean, daily, viewing_minutes(clean), audience, stations), stations).unionByName(dq_report(
+        common_checks(marts["mart_device_daily"], marts["mart_minute_audience"], daily, audience)
         | {"raw_network": outside_stations(raw_all, stations)}, "COMMON"))
-    rows = reduce(DataFrame.unionByName, parts).collect()  # one row per check
+    rows = report.collect()  # one row per check
     assert_all_passed(rows, {s: STATION_CHECKS for s in stations} | {"COMMON": GATE_CHECKS})
     versions = Versions(spark, f"{out_dir}/common")
     run = versions.new_run()
@@ -267,5 +239,5 @@ def read_common(spark, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{Versions(spark, f'{out_dir}/common').current()}/{name}").select(*columns)
 
 
-__all__ = ["StationBuild", "station_checks", "common_checks", "dq_report", "full_report", "assert_all_passed", "store_stations",
-           "station_mart", "stored_station", "common_daily", "common_audience", "publish_common", "read_common", "GateError"]
+__all__ = ["station_checks", "common_checks", "dq_report", "stations_report", "full_report", "assert_all_passed", "store_stations",
+           "station_mart", "common_daily", "common_audience", "publish_common", "read_common", "GateError"]

@@ -112,13 +112,15 @@ def dash_minute(audience: DataFrame, day, networks) -> DataFrame:
     return minutes.withColumn("top", top).select(F.inline(F.array_compact(F.array(*rows))))
 
 
-def trend_series(daily: DataFrame, scope: Scope) -> DataFrame:
-    """Daily reach on the full calendar of the scope plus the 7-day mean."""
-    cal = K.calendar_reindex(K.kpi(scope.apply(daily), "VIEW_DATE"), scope.start, scope.end)
-    return K.reach_7d(cal)
+def trend_series(daily: DataFrame, scope: Scope | None = None) -> DataFrame:
+    """Daily reach plus the 7-day mean, on the full calendar of the scope or,
+    without one, of the data."""
+    if scope is None:
+        return K.reach_7d(K.calendar_fill(K.kpi(daily, "VIEW_DATE")))
+    return K.reach_7d(K.calendar_reindex(K.kpi(scope.apply(daily), "VIEW_DATE"), scope.start, scope.end))
 
 
-def trend_unpivot(daily: DataFrame, scope: Scope) -> DataFrame:
+def trend_unpivot(daily: DataFrame, scope: Scope | None = None) -> DataFrame:
     """R2: (VIEW_DATE, SERIES, VALUE) for the daily and 7-day reach lines."""
     wide = trend_series(daily, scope).select(
         "VIEW_DATE", F.col("DISTINCT_REACH").cast("double").alias("DAILY"), F.col("REACH_7D").alias("ROLLING_7D"))

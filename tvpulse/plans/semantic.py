@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tvpulse.functions.time import minutes_sum
+from tvpulse.functions.time import micros_between, minutes_sum
 from tvpulse.plans.scope import Scope
+from tvpulse.schemas import MICROS_PER_MINUTE
 
 
 class MetricViewError(ValueError):
@@ -102,15 +103,18 @@ def viewing_metric_view(common_daily: DataFrame) -> MetricView:
                       "five-station viewing facts, one row per station, device, day and genre")
 
 
-def reconcile(view: MetricView, where: Column) -> DataFrame:
-    """V4: the metric view's totals against a directly written aggregate, in
-    one pass; MATCHES is true when all three agree."""
-    df = view.base.filter(where)
-    direct = [F.count_distinct("DEVICE_ID").alias("DIRECT_REACH"),
-              minutes_sum("VIEW_MINUTES").alias("DIRECT_MINUTES"),
-              F.sum("SESSION_COUNT").cast("bigint").alias("DIRECT_SESSIONS")]
-    via_view = [m.expr().alias("VIEW_" + m.name.upper()) for m in view.metrics]
-    out = df.agg(*via_view, *direct)
-    return out.withColumn("MATCHES", (F.col("VIEW_DISTINCT_REACH") == F.col("DIRECT_REACH"))
-                          & (F.col("VIEW_TOTAL_MINUTES") == F.col("DIRECT_MINUTES"))
-                          & (F.col("VIEW_TOTAL_SESSIONS") == F.col("DIRECT_SESSIONS")))
+def reconcile(view: MetricView, clean: DataFrame) -> DataFrame:
+    """V4: the metric view's totals over the mart against the same figures
+    counted on the clean intervals, which owe nothing to the mart: rows are
+    sessions and their own lengths the minutes. MATCHES is true when all three
+    agree; two empty sides match."""
+    names = {"distinct_reach": "REACH", "total_minutes": "MINUTES", "total_sessions": "SESSIONS"}
+    mart = view.base.agg(*[view.metric(m).expr().alias("VIEW_" + m.upper()) for m in names])
+    direct = clean.agg(F.count_distinct("DEVICE_ID").alias("DIRECT_REACH"),
+                       (F.sum(micros_between("VIEW_FROM", "VIEW_TO").cast("decimal(28,0)")).cast("double")
+                        / F.lit(float(MICROS_PER_MINUTE))).alias("DIRECT_MINUTES"),
+                       F.nullif(F.count(F.lit(1)), F.lit(0)).alias("DIRECT_SESSIONS"))
+    columns = mart.columns + direct.columns
+    both = mart.unionByName(direct, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in columns])
+    agree = [F.col("VIEW_" + m.upper()).eqNullSafe(F.col("DIRECT_" + n)) for m, n in names.items()]
+    return both.withColumn("MATCHES", agree[0] & agree[1] & agree[2])

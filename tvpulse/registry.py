@@ -235,14 +235,12 @@ def q_calendar_reindex(spark, sf):
 
 @query("reach_7d")
 def q_reach_7d(spark, sf):
-    p = Pipeline(spark, sf)
-    return D.trend_series(p.daily, _whole_period(p))
+    return D.trend_series(Pipeline(spark, sf).daily)
 
 
 @query("trend_unpivot")
 def q_trend_unpivot(spark, sf):
-    p = Pipeline(spark, sf)
-    return D.trend_unpivot(p.daily, _whole_period(p))
+    return D.trend_unpivot(Pipeline(spark, sf).daily)
 
 
 @query("minute_series")
@@ -452,7 +450,8 @@ def q_metric_view_by(spark, sf):
 
 @query("metric_view_reconcile")
 def q_metric_view_reconcile(spark, sf):
-    return S.reconcile(S.viewing_metric_view(Pipeline(spark, sf).daily), F.lit(True))
+    p = Pipeline(spark, sf)
+    return S.reconcile(S.viewing_metric_view(p.daily), p.clean)
 
 
 # ---- 2.11 machine learning (data side) ------------------------------------------------

@@ -41,9 +41,9 @@ def _converted(name: str, source: T.DataType, target: T.DataType) -> Column:
     return F.when(F.col(name).isNotNull() & value.isNull(), bad).otherwise(value).alias(name)
 
 
-def missing_columns(spark: SparkSession, paths: str | list[str], schema: T.StructType, base: str | None = None) -> DataFrame:
-    """(FILE_PATH, COLUMN_NAME, ROW_COUNT) of every required column that has
-    no value in a file that has rows. One scan, counted per file map-side."""
+def valueless_columns(spark: SparkSession, paths: str | list[str], schema: T.StructType, base: str | None = None) -> DataFrame:
+    """(FILE_PATH, COLUMN_NAME, ROW_COUNT) of every required column that has no
+    value in a file that has rows. One scan, counted per file map-side."""
     required = [f.name for f in schema.fields if f.name not in OPTIONAL]
     counted = _opened(spark, paths, schema, base).groupBy(F.col("_metadata.file_path").alias("FILE_PATH")).agg(
         F.count(F.lit(1)).alias("ROW_COUNT"), *[F.count(c).alias(c) for c in required])
@@ -51,6 +51,21 @@ def missing_columns(spark: SparkSession, paths: str | list[str], schema: T.Struc
             .filter("ROW_COUNT > 0 AND _values = 0").select("FILE_PATH", "COLUMN_NAME", "ROW_COUNT"))
 
 
+def absent_columns(spark: SparkSession, paths: str | list[str], schema: T.StructType, base: str | None = None) -> list[tuple[str, str]]:
+    """(column, file) of required columns that a file lacks, the first
+    NAMED_FAULTS. A column without a value is suspect; its file's own footer
+    tells a missing column from one that holds NULLs only."""
+    found, held = [], {}
+    for row in valueless_columns(spark, paths, schema, base).orderBy("FILE_PATH", "COLUMN_NAME").toLocalIterator():
+        if row.FILE_PATH not in held:
+            held = {row.FILE_PATH: {c.lower() for c in spark.read.parquet(row.FILE_PATH).columns}}
+        if row.COLUMN_NAME.lower() not in held[row.FILE_PATH]:
+            found.append((row.COLUMN_NAME, row.FILE_PATH))
+        if len(found) == NAMED_FAULTS:
+            break
+    return found
+
+
 def typed(spark: SparkSession, paths: str | list[str], schema: T.StructType, audit: bool = True, base: str | None = None,
           stored: dict[str, T.DataType] | None = None) -> DataFrame:
     """The files in the declared schema; ``stored`` names columns whose files
@@ -58,9 +73,9 @@ def typed(spark: SparkSession, paths: str | list[str], schema: T.StructType, aud
     a file lacks; leave it out for files that were audited when loaded."""
     opened = T.StructType([T.StructField(f.name, (stored or {}).get(f.name, f.dataType)) for f in schema.fields])
     if audit:
-        faults = missing_columns(spark, paths, opened, base).orderBy("FILE_PATH", "COLUMN_NAME").limit(NAMED_FAULTS).collect()
+        faults = absent_columns(spark, paths, opened, base)
         if faults:
-            raise ValueError("columns without a value: " + "; ".join(f"{r.COLUMN_NAME} in {r.FILE_PATH}" for r in faults))
+            raise ValueError("missing columns: " + "; ".join(f"{column} in {file}" for column, file in faults))
     df = _opened(spark, paths, opened, base)
     return df.select(*[_converted(f.name, opened[f.name].dataType, f.dataType) for f in schema.fields])
 
