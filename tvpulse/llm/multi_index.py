@@ -110,7 +110,7 @@ def build(vectors: DataFrame, sample: int = SAMPLE, max_centroids: int = MAX_CEN
     """Index of ``valid_vectors``: the codebooks with cell sizes, and (cell, vec_id, v)."""
     n = vectors.count()
     k = max(1, min(max_centroids, round(math.sqrt(n / CELL_ROWS))))
-    rows = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(min(1.0, sample / max(1, n)) * (1 << 30))) \
+    rows = vectors.filter(F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) < int(min(1.0, sample / max(1, n)) * (1 << 30))) \
         .select("vec_id", "v").collect()
     rows = sorted((r["vec_id"], r["v"]) for r in rows) or [(r["vec_id"], r["v"]) for r in vectors.limit(1).collect()]
     x = np.array([v for _, v in rows]) if rows else np.zeros((1, 2))
@@ -166,15 +166,16 @@ def _rank(batches: Iterator[pa.RecordBatch], k: int):
         own = np.concatenate(ids)
         order = np.argsort(own, kind="stable")
         own, x = own[order], np.concatenate(rows)[order]
-        out = []
-        for q, score in zip((q for q, _ in waiting), np.array([v for _, v in waiting]) @ x.T):
+        out, longest = [], np.sqrt((x * x).sum(axis=1).max())
+        for (q, v), near in zip(waiting, np.array([v for _, v in waiting]) @ x.T):
             free = np.flatnonzero(own != q)
-            s = score[free]
-            if len(s) > k:
-                keep = s >= np.partition(s, len(s) - k)[len(s) - k]
-                free, s = free[keep], s[keep]
-            best = free[np.argsort(-s, kind="stable")[:k]]
-            out.append((np.full(len(best), q), own[best], score[best]))
+            if len(free) > k:
+                # a product's last bits vary with its batch: all rows that may be among the best stay
+                slack = 1e-12 * longest * np.sqrt((v * v).sum())
+                free = free[near[free] >= np.partition(near[free], len(free) - k)[len(free) - k] - slack]
+            score = (x[free] * v).sum(axis=1)  # row by row in one fixed order
+            best = np.argsort(-score, kind="stable")[:k]
+            out.append((np.full(len(best), q), own[free[best]], score[best]))
         waiting.clear()
         return tuple(np.concatenate(c) for c in zip(*out))
 
