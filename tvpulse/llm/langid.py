@@ -14,7 +14,6 @@ ignored; ties of votes go to the larger summed margin, then the smaller name.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -38,7 +37,6 @@ FAMILIES = {
     "romance": "fr es it pt ro ca gl oc la".split(),
     "slavic": "ru uk be bg sr hr bs sl mk pl cs sk".split(),
 }
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
@@ -91,7 +89,7 @@ class LanguageModel:
                 self.pairs[i, j] = linear_svm(x[rows], np.where(y[rows] == i, 1.0, -1.0))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not LETTER.search(text):
+        if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         x, sure, own = features(text), 1.0, self.members[0]
         if len(self.families) > 1:
