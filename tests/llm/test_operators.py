@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tvpulse.llm import (byte_bpe, decontaminate, html_blocks, langid, line_spread, multi_index, queries, secrets, simhash,
                          suffix_dedup, toxicity)
@@ -339,6 +340,96 @@ def test_multi_index_asks_a_repeated_query_once(spark):
     assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == want
 
 
+def test_multi_index_ties_and_scores_do_not_depend_on_batches(spark):
+    """Equal vectors rank by id; a score is the same however the rows are dealt."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 24)).astype(np.float32)
+    x[100:180] = x[100]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    found = set()
+    for parts, chunk in ((1, 1 << 14), (5, 37)):
+        vectors = multi_index.valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(parts))
+        index, entries = multi_index.build(vectors)
+        got = multi_index.search(vectors.filter("vec_id % 20 = 0"), index, entries, share=1.0, chunk=chunk).collect()
+        found.add(tuple(sorted(map(tuple, got))))
+    assert len(found) == 1
+    x = x.astype(np.float64)
+    for q in range(0, 400, 20):
+        s = (x * x[q]).sum(axis=1)
+        want = [i for i in np.lexsort((np.arange(400), -s)).tolist() if i != q][:20]
+        own = sorted((r, v, e) for a, r, v, e in next(iter(found)) if a == q)
+        assert [v for _, v, _ in own] == want and [e for *_, e in own] == s[want].tolist()
+
+
+def test_multi_index_recall_at_the_shipped_share(spark):
+    vectors = multi_index.valid_vectors(read(spark, "/root/testdata/sf0.01", "embeddings"))
+    index, entries = multi_index.build(vectors)
+    got = {}
+    for r in multi_index.search(vectors.filter("vec_id % 20 = 0"), index, entries).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    rows = vectors.select("vec_id", "v").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["v"] for r in rows], dtype=np.float64)
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        best = [i for i in np.lexsort((ids, -(x @ x[q]))).tolist() if i != q][:20]
+        hits += len(got[ids[q]] & set(ids[best].tolist()))
+        total += len(best)
+    assert hits / total >= 0.9
+
+
+def test_merge_keeps_only_what_several_owners_share():
+    from tvpulse.llm import suffix_merge
+    strings = [b"abcdefgh" * 2, b"xxabcdefghyy", b"abcdefgh", b"only one owner", b"only one owner"]
+    shards = [suffix_merge.Shard(strings[:2]), suffix_merge.Shard(strings[2:])]
+    block, which, string, offset = suffix_merge.merge(shards, 8, np.array([0, 1, 2, 3, 3]))
+    found = sorted((int(b), strings[[0, 2][w] + s][o:o + 8]) for b, w, s, o in zip(block, which, string, offset))
+    assert found == [(found[0][0], b"abcdefgh")] * 4
+    assert not any(len(x) for x in suffix_merge.merge(shards, 8, np.zeros(5, int)))
+
+
+@pytest.mark.parametrize("page, count", [
+    ('<p>start</p>' + '<a "' * 250_000, 2), ('<a x="' * 100_000 + '>', 0), ("<div>" * 100_000 + "deep", 1),
+    ("<div>x" * 50_000, 50_000), ("<b>" + "<div></b>" * 50_000 + "x", 1), ("<" * 300_000, 1), ("<p>one <b>two</b></p>" * 200_000, 200_000)])
+def test_html_blocks_read_any_page_in_linear_time(page, count):
+    import time
+    started = time.process_time()
+    found = html_blocks.blocks(page)
+    assert len(found) == count and time.process_time() - started < 20
+    assert all(len(path) <= html_blocks.DEPTH + 2 for path, _, _ in found)
+
+
+def test_html_labels_of_a_long_page_do_not_depend_on_stretches(monkeypatch):
+    labeller = html_blocks.BlockLabeller()
+    page = html_blocks.blocks("<p>some words here.</p><div class=menu>home</div><article><p>text</p></article>" * 400)
+    whole = labeller.label([page, page[:7], []])
+    monkeypatch.setattr(html_blocks, "CELLS", 100)
+    cut = labeller.label([page, page[:7], []])
+    assert [w.tolist() for w in whole] == [c.tolist() for c in cut] and len(whole[0]) == 1200
+
+
+def test_html_training_sees_whole_pages_and_null_ids(spark):
+    page = [((("p",),), f"block {i}", 0) for i in range(5000)]
+    seen = html_blocks.spans(5000)
+    assert seen[0].start == 0 and seen[-1].stop == 5000 and len(seen) == html_blocks.SPANS
+    assert len(html_blocks.lessons([page])) == 3 * html_blocks.SPANS and html_blocks.spans(3) == [slice(0, 3)]
+    pages = read(spark, "/root/testdata/sf0.001", "pages")
+    nameless = pages.withColumn("page_id", F.lit(None).cast("long")).unionByName(pages.limit(1).withColumn("html", F.lit(None).cast("string")))
+    got = html_blocks.extract(nameless, html_blocks.train(nameless)).collect()
+    want = {r["url"]: r["text"] for r in html_blocks.extract(pages, html_blocks.train(pages)).collect()}
+    assert len(got) == nameless.count() and all(r["text"] in (want[r["url"]], "") for r in got) and sum(r["text"] == "" for r in got) == 1
+    # a repeated id brings one page to the driver, however often it occurs; clashing names don't matter
+    many = pages.limit(1).select("page_id", "url", "html", F.explode(F.sequence(F.lit(1), F.lit(300))).alias("text"), F.lit(1).alias("n_chars"))
+    assert html_blocks.extract(many, html_blocks.train(many)).count() == 300
+
+
+@pytest.mark.parametrize("text", ["½", "²³", "①", "½ 12 _ ²", "Ⅷ"])
+def test_numbers_of_all_kinds_are_no_letters(spark, text):
+    docs = read(spark, SF, "documents")
+    odd = spark.createDataFrame([(1, text), (2, f"{text} the")], "doc_id long, text string")
+    got = by_id(langid.predict(odd, langid.train(docs)))
+    assert got[1]["lang_pred"] == "und" and got[2]["lang_pred"] != "und"
+
+
 def test_html_extraction(spark):
     pages = read(spark, "/root/testdata/sf0.01", "pages")
     got = by_id(html_blocks.extract(pages, html_blocks.train(pages)), "page_id")
