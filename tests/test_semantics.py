@@ -228,3 +228,11 @@ def test_minute_dashboard_ties_and_plan(spark):
     assert peaks == {("NW03", 1, False), ("NW01", 2, True)}
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "hashpartitioning(VIEW_DATE" in plan
+
+
+def test_calendar_fill_keeps_missing_days_null(spark):
+    days = [dt.date(2024, 1, 3), dt.date(2024, 1, 1), dt.date(2024, 1, 7)]
+    kpi = spark.createDataFrame([(d, d.day) for d in days], "VIEW_DATE date, DISTINCT_REACH int")
+    got = {r.VIEW_DATE.day: r.DISTINCT_REACH for r in K.calendar_fill(kpi).collect()}
+    assert got == {1: 1, 2: None, 3: 3, 4: None, 5: None, 6: None, 7: 7}
+    assert K.calendar_fill(kpi.limit(0)).count() == 0

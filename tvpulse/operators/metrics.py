@@ -107,8 +107,8 @@ def calendar_fill(daily_kpi: DataFrame) -> DataFrame:
     before a day's successor follow it with NULLs. One row per day comes in, so
     the ordered window holds the calendar, and no other pass finds its bounds."""
     day, values = F.col("VIEW_DATE"), [c for c in daily_kpi.columns if c != "VIEW_DATE"]
-    after = F.lead(day).over(Window.orderBy(day))
-    gaps = daily_kpi.withColumn("_day", F.explode(F.sequence(day, F.coalesce(F.date_sub(after, 1), day))))
+    known = daily_kpi.withColumn("_last", F.coalesce(F.date_sub(F.lead(day).over(Window.orderBy(day)), 1), day))
+    gaps = known.withColumn("_day", F.explode(F.sequence(day, F.col("_last"))))
     return gaps.select(F.col("_day").alias("VIEW_DATE"), *[F.when(F.col("_day") == day, F.col(c)).alias(c) for c in values])
 
 
