@@ -208,7 +208,7 @@ def collapse(docs: DataFrame, least: int = 6, power: int = 4, rewrite: Rewrite |
     one space. ``rewrite`` may change a document's words before the search."""
     if power < 4:
         raise ValueError("tiles find runs of at least four periods")
-    spread = staged(_explode(docs, rewrite, texts), "period-tiles")
+    spread = staged(_explode(docs, rewrite, texts), "period-tiles", compression="zstd")
     kind = spread.schema["doc_id"].dataType.simpleString()
     tiles = (spread.filter("octave IS NOT NULL").select("row", "octave", "low", "codes", "bounds")
              .repartition("row", "octave", "low"))
