@@ -211,3 +211,21 @@ def test_publishing_rows_of_an_unknown_station_fails(spark, scratch):
         assert B.outside_stations(odd).count() == 1
     with pytest.raises(B.GateError, match="raw_network"):
         B.publish_common(odd, f"{scratch}/unknown-{uuid.uuid4().hex}")
+
+
+def test_a_refused_build_reports_its_violations(spark, scratch):
+    """A device outside the known numbers: nothing is published, every check has its row."""
+    import duckdb
+    from tvpulse.oracles.report import gate_sql
+    from tvpulse.registry import QUERIES
+    sf = f"{scratch}/refused-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    odd = events.agg(F.min("user_id")).first()[0]
+    events.withColumn("user_id", F.when(F.col("user_id") == odd, 30000).otherwise(F.col("user_id")).cast("bigint")) \
+        .coalesce(1).write.parquet(f"{sf}/events.parquet")
+    got = sorted(map(tuple, QUERIES["gate_report"](spark, sf).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{sf.removeprefix('file:')}/events.parquet/*.parquet')")
+    assert got == sorted(con.execute(gate_sql()).fetchall())
+    assert {check for check, _, n in got if n} == {"clean_device_id"}
+    assert not {s for s in NETWORKS} - {scope for check, scope, n in got if n}
