@@ -174,3 +174,14 @@ def test_command_line_writes_station_partitioned_logs(spark, scratch, capsys):
     import os
     assert sorted(d for d in os.listdir(out) if d.startswith("NETWORK_ID=")) == [
         f"NETWORK_ID=NW0{i}" for i in range(1, 6)]
+
+
+def test_schedule_is_dealt_out_by_its_rows(spark, monkeypatch):
+    """The few bytes of ``part`` don't leave the whole schedule to one task."""
+    from tvpulse.sources import testdata
+    whole = sorted(map(tuple, testdata.program_schedule(spark, SF001).collect()))
+    monkeypatch.setattr(testdata, "SCHEDULE_ROWS_PER_TASK", len(whole) // 5)
+    dealt = testdata.program_schedule(spark, SF001)
+    per_task = [n for n in dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert len(per_task) >= 3 and max(per_task) < len(whole) // 2
+    assert sorted(map(tuple, dealt.collect())) == whole
