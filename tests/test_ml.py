@@ -183,3 +183,21 @@ def test_model_job_refuses_failing_features(spark):
     dup_label = p.labels.filter("LABEL_AVAILABLE").limit(1)
     with pytest.raises(MF.FeatureCheckError):
         MF.require_clean_features(p.features, p.labels.unionByName(dup_label))
+
+
+def test_model_steps_read_stored_stages_and_few_partitions(spark, monkeypatch):
+    """Features and split are made from the logs once; training rows are dealt by their number."""
+    from tvpulse.ml import jobs as MJ
+    p, logs = MJ.prepared(spark, SF01), Pipeline(spark, SF01)
+    for stage in ("features", "labels", "split"):
+        assert sorted(map(str, getattr(p, stage).collect())) == sorted(map(str, getattr(logs, stage).collect()))
+    for df in (p.features, p.train, p.test):
+        assert not any("events.parquet" in f for f in df.inputFiles())
+    assert MJ.prepared(spark, SF01).features is p.features
+    fitted = []
+    monkeypatch.setattr(MM, "build_pipeline", lambda **_: type("Fit", (), {"fit": lambda self, data: fitted.append(data)})())
+    MM.train_model(p.train.repartition(40))
+    monkeypatch.setattr(MM, "TRAIN_ROWS_PER_TASK", 25)
+    MM.train_model(p.train.repartition(40))
+    assert [data.rdd.getNumPartitions() for data in fitted] == [1, 3]
+    assert all(data.count() == p.train.count() for data in fitted)
