@@ -229,3 +229,29 @@ def test_a_refused_build_reports_its_violations(spark, scratch):
     assert got == sorted(con.execute(gate_sql()).fetchall())
     assert {check for check, _, n in got if n} == {"clean_device_id"}
     assert not {s for s in NETWORKS} - {scope for check, scope, n in got if n}
+
+
+def test_minute_grain_counts_words_and_finds_every_repeat(nw01):
+    keys = ["NETWORK_ID", "EVENT_ID", "MINUTE_AT"]
+    minutes = nw01.minutes
+    # within a word, over a word's end, thrice, off the minute, without a time
+    odd = minutes.filter(F.substring("EVENT_ID", 8, 2) == "05")
+    more = [minutes, odd.filter(F.minute("MINUTE_AT") % 7 == 0), odd.filter(F.minute("MINUTE_AT") % 14 == 0),
+            odd.limit(3).withColumn("MINUTE_AT", F.lit(None).cast("timestamp_ntz")),
+            odd.limit(2).withColumn("MINUTE_AT", F.timestamp_add("SECOND", F.lit(1), F.col("MINUTE_AT")))]
+    faulty = more[0]
+    for extra in more[1:]:
+        faulty = faulty.unionByName(extra)
+    want = sorted(map(str, Q.unique_grain(faulty, keys).collect()))
+    assert want and sorted(map(str, Q.minute_grain(faulty).collect())) == want
+    assert Q.minute_grain(minutes).count() == 0
+
+
+def test_report_and_mart_shuffle_words_of_minutes(spark):
+    """No aggregate of the minute rows is keyed by the minute itself, but behind the suspects' join."""
+    p = Pipeline(spark, SF001)
+    plan = p.audience_exploded._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and not any(line.strip().startswith(("Aggregate", "+- Aggregate")) and "MINUTE_AT#" in line.split("]")[0]
+                                        for line in plan.splitlines())
+    plan = B.station_checks(p.raw, p.clean, p.daily, p.minutes, p.audience)["minutes_grain"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "bit_or" in plan
