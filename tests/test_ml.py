@@ -201,3 +201,20 @@ def test_model_steps_read_stored_stages_and_few_partitions(spark, monkeypatch):
     MM.train_model(p.train.repartition(40))
     assert [data.rdd.getNumPartitions() for data in fitted] == [1, 3]
     assert all(data.count() == p.train.count() for data in fitted)
+
+
+def test_features_move_the_daily_mart_once(spark):
+    """One shuffle, by device; dates are counted once over stations and genres, a NULL date not at all."""
+    import datetime as dt
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    daily = spark.createDataFrame([
+        ("NW01", "C1", d1, "NEWS", 1, 0.5), ("NW02", "C1", d1, "NEWS", 2, 1.5), ("NW01", "C1", d2, "DRAMA", 1, 2.0),
+        ("NW01", "C2", None, "NEWS", 1, 1.0), ("NW01", "C2", d2, None, 1, 3.0), ("NW01", None, d1, "NEWS", 1, None),
+        ("NW01", "C3", None, "OTHER", 4, 4.0)],
+        "NETWORK_ID string, DEVICE_ID string, VIEW_DATE date, GENRE string, SESSION_COUNT int, VIEW_MINUTES double")
+    features = MF.device_features(daily)
+    got = {r.DEVICE_ID: (r.ACTIVE_DAYS, r.TOTAL_SESSIONS, r.TOTAL_MINUTES, r.NEWS_SHARE, r.DRAMA_SHARE) for r in features.collect()}
+    assert got == {"C1": (2.0, 4.0, 4.0, 0.5, 0.5), "C2": (1.0, 2.0, 4.0, 0.25, 0.0), "C3": (0.0, 4.0, 4.0, 0.0, 0.0),
+                   None: (1.0, 1.0, None, None, None)}
+    plan = MF.device_features(daily)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
